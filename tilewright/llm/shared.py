@@ -1,53 +1,16 @@
-"""Places, tables and small helpers that the operators of this subpackage share."""
+"""Tables, and byte ranges in the shared store, for the operators of this subpackage."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
+from tilewright.functions.storage import forget, fresh_path, shared_folder, written
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    Only a session that names none (a single-machine test) gets one of its own.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = f"file://{tempfile.mkdtemp(prefix='tilewright-')}"
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
+__all__ = ["forget", "fresh_path", "open_store", "shared_folder", "table", "written"]
 
 
-def fresh_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that nothing else uses."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table in the shared folder: its lineage ends there, so that a
-    lost executor costs no recomputation of what came before."""
-    spark = df.sparkSession
-    path = fresh_path(spark, name)
-    df.write.parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._written_path = path
-    return out
-
-
-def forget(*tables: DataFrame) -> None:
-    """Deletes tables made by :func:`written` that no later plan reads."""
-    for t in tables:
-        path = getattr(t, "_written_path", None)
-        if path:
-            spark = t.sparkSession
-            p = spark._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def open_store(uri: str):
@@ -55,6 +18,6 @@ def open_store(uri: str):
     or read byte ranges. Works for every scheme that pyarrow knows."""
     from pyarrow import fs
 
-    if "://" not in uri and not uri.startswith("file:"):
-        uri = f"file://{uri}"
-    return fs.FileSystem.from_uri(uri if "://" in uri else uri.replace("file:", "file://", 1))
+    if uri.startswith("file:") and "://" not in uri:
+        uri = uri.replace("file:", "file://", 1)
+    return fs.FileSystem.from_uri(uri if "://" in uri else f"file://{uri}")
