@@ -20,23 +20,23 @@ def overhead_shade(z: np.ndarray, res: float) -> np.ndarray:
     return 255 / np.sqrt(1 + x**2 + y**2)
 
 
-def cubic_weights(scale: int, a: float = -0.5) -> np.ndarray:
-    """Weights of cubic convolution (Keys, 1981) for shrinking by a whole factor:
-    the kernel is stretched by the factor, and the weights add up to 1."""
-    at = (np.arange(4 * scale) - (3 * scale // 2 + scale / 2) + 0.5) / scale
-    t = np.abs(at)
+def cubic_weights(scale: int, a: float = -0.5) -> tuple[int, np.ndarray]:
+    """(first pixel, weights) of cubic convolution (Keys, 1981) for the cell 0
+    that a band has once shrunk by a whole factor: the kernel is stretched by the
+    factor, and the weights add up to 1."""
+    first = -(3 * scale // 2) - 1
+    t = np.abs(first + np.arange(4 * scale + 2) + 0.5 - scale / 2) / scale
     w = np.where(t < 1, (a + 2) * t**3 - (a + 3) * t**2 + 1, np.where(t < 2, a * t**3 - 5 * a * t**2 + 8 * a * t - 4 * a, 0))
-    return w / w.sum()
+    return first, w / w.sum()
 
 
 def shrink(band: np.ndarray, scale: int) -> np.ndarray:
     """A uint8 band shrunk by a whole factor, rounded and clipped."""
-    w, side = cubic_weights(scale), 3 * scale // 2
+    first, w = cubic_weights(scale)
     out = band.astype(np.float64)
     for axis in (0, 1):
         n = out.shape[axis] // scale
-        # the window of an output cell reaches one and a half cells beyond it
-        take = np.arange(n)[:, None] * scale - side + np.arange(4 * scale)[None, :]
+        take = np.arange(n)[:, None] * scale + first + np.arange(len(w))[None, :]
         windows = np.take(out, np.clip(take, 0, out.shape[axis] - 1), axis=axis)
         out = np.tensordot(windows, w, axes=([axis + 1], [0]))
     return np.clip(np.rint(out), 0, 255).astype(np.uint8)
