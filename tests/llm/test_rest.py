@@ -11,7 +11,7 @@ import pytest
 
 from tilewright.llm.mixing import bisected, entropy, epochs_of, mix_sources, tempered
 from tilewright.llm.sharding import Ring, even_capacities, shard_documents
-from tilewright.llm.toxicity import BlockMaxIndex, drop_toxic, score_toxicity
+from tilewright.llm.toxicity import BlockMaxIndex, TermFinder, drop_toxic, score_toxicity, words_of
 from tilewright.llm.url_filter import bloom_words, filter_urls, rule_table
 from tilewright.llm.warc import look_up, parse_record, record, reversed_host_key, round_trip, write_archive
 
@@ -151,20 +151,19 @@ def test_reversed_hosts(spark):
 
 def test_block_max_search_is_exact():
     rng = random.Random(6)
-    names = [f"t{k}" for k in range(30)]
-    labelled = [Counter({rng.choice(names): rng.randrange(1, 4) for _ in range(rng.randrange(6))}) for _ in range(300)]
+    labelled = [{rng.randrange(30): rng.randrange(1, 4) for _ in range(rng.randrange(6))} for _ in range(300)]
     toxic = np.array([rng.randrange(2) for _ in labelled])
-    index = BlockMaxIndex(labelled, toxic, list(range(300)), names, np.linspace(1, 5, 30), (1.0, 2.0))
+    index = BlockMaxIndex(labelled, toxic, list(range(300)), np.linspace(1, 5, 30), (1.0, 2.0))
 
     def unit(c):
         v = np.zeros(30)
-        where, weight = index.vector([(index.place[t], n) for t, n in c.items()])
+        where, weight = index.vector(list(c.items()))
         v[where] = weight
         return v
 
     matrix = np.array([unit(c) for c in labelled])
     for c in labelled[:60]:
-        where, weight = index.vector([(index.place[t], n) for t, n in c.items()])
+        where, weight = index.vector(list(c.items()))
         if not len(where):
             continue
         cosines = matrix @ unit(c)
@@ -173,6 +172,13 @@ def test_block_max_search_is_exact():
         assert [round(s, 9) for s, _ in found] == [-s for s, _ in expected]
 
 
+def test_finder_counts_words_and_their_beginnings():
+    find = TermFinder(["nasty", "vile*", "ab"])
+    at = {find.names[k]: n for k, n in find(words_of("Nasty vilest VILER vile ab abc nasty")).items()}
+    assert at == {"nasty": 2, "vile*": 3, "ab": 1, "#5": 2}
+    assert find(words_of(None)) == {}
+
+
 def toxic_corpus(n=600):
     rng = random.Random(9)
     rows, labels = [], []

@@ -7,9 +7,11 @@ text visits blocks in order of the most that they can reach and stops when that
 is no more than its k-th best.
 
 The terms are words and the beginnings of words. Of those of the examples, the
-ones count whose presence goes with the label (a likelihood-ratio test), so a
-long harmless text does not hide a few telling words. Document frequencies are
-counted over all documents.
+ones count whose presence goes with the label (by a likelihood-ratio test and the
+ratio of their rates), so a long harmless text does not hide a few telling words.
+One more term says how many different telling words a text has, so a text with
+one by chance is nearest to others with one. Document frequencies are counted
+over all documents.
 """
 
 from __future__ import annotations
@@ -28,34 +30,60 @@ from pyspark.sql import functions as F
 from .shared import forget, written
 
 WORD = re.compile(r"\w+")
-#: Letters of the beginning of a word that are a term of their own.
-STEM = 4
+#: Letters of the beginnings of words that are terms of their own.
+STEMS = range(3, 9)
 #: The bounded sample that is learnt from: labelled documents of each class.
 EXAMPLES = 2000
-#: Terms with a likelihood ratio of at least LEAST_RATIO, MOST_TERMS at most.
-LEAST_RATIO, MOST_TERMS = 30.0, 4096
+#: Terms with a likelihood ratio of at least LEAST_RATIO, and in one class so many
+#: times as frequent as in the other; MOST_TERMS at most.
+LEAST_RATIO, LEAST_RISK, MOST_TERMS = 30.0, 10.0, 4096
+#: Different telling words are told apart up to so many; the count of that term.
+MOST_WORDS, WORDS_COUNT = 6, 2
 NEIGHBOURS = 15
 #: Weight of the base rate beside the votes.
 PRIOR_WEIGHT = 0.05
 BLOCK = 64
 
 
-def terms(text: str | None) -> Counter:
-    """Counts of the words, and of the beginnings of longer ones (as "ab.." *)."""
-    found = Counter(WORD.findall(text.lower())) if text else Counter()
-    stems = Counter()
-    for word, n in found.items():
-        if len(word) >= STEM:
-            stems[word[:STEM] + "*"] += n
-    found.update(stems)
-    return found
+def terms(words: Counter) -> set[str]:
+    """The words, and the beginnings of longer ones (as "abc*")."""
+    return {*words, *(w[:n] + "*" for w in words for n in STEMS if len(w) >= n)}
 
 
-def telling_terms(labelled: list[Counter], toxic: np.ndarray) -> list[str]:
+def words_of(text: str | None) -> Counter:
+    return Counter(WORD.findall(text.lower())) if text else Counter()
+
+
+class TermFinder:
+    """The telling terms of a text, with their counts, as places in ``names``."""
+
+    def __init__(self, names: list[str]):
+        self.names = [*names, *(f"#{k}" for k in range(1, MOST_WORDS + 1))]
+        self.place = {t: k for k, t in enumerate(self.names)}
+        # most words differ from all terms in their first letters
+        self.heads = {t.removesuffix("*")[: STEMS[0]] for t in names}
+
+    def __call__(self, words: Counter) -> dict[int, int]:
+        found: dict[int, int] = {}
+        telling = 0
+        for w, n in words.items():
+            if w[: STEMS[0]] not in self.heads:
+                continue
+            at = [self.place.get(w), *(self.place.get(w[:k] + "*") for k in STEMS if len(w) >= k)]
+            at = [k for k in at if k is not None]
+            telling += bool(at)
+            for k in at:
+                found[k] = found.get(k, 0) + n
+        if telling:
+            found[self.place[f"#{min(telling, MOST_WORDS)}"]] = WORDS_COUNT
+        return dict(sorted(found.items()))
+
+
+def telling_terms(labelled: list[set[str]], toxic: np.ndarray) -> list[str]:
     """The terms whose presence goes with the label, by the ratio G squared."""
     with_term = [Counter(), Counter()]
     for t, y in zip(labelled, toxic, strict=True):
-        with_term[y].update(t.keys())
+        with_term[y].update(t)
     n1, n0 = int(toxic.sum()), int(len(toxic) - toxic.sum())
     names = sorted(with_term[0] | with_term[1])
     a, b = (np.array([with_term[y][t] for t in names], float) for y in (1, 0))
@@ -65,23 +93,24 @@ def telling_terms(labelled: list[Counter], toxic: np.ndarray) -> list[str]:
 
     p = (a + b) / max(1, n1 + n0)
     ratio = 2 * (part(a, n1 * p) + part(b, n0 * p) + part(n1 - a, n1 * (1 - p)) + part(n0 - b, n0 * (1 - p)))
-    best = np.lexsort((names, -ratio))[:MOST_TERMS] if names else []
-    return sorted(names[k] for k in best if ratio[k] >= LEAST_RATIO)
+    risk = (a + 0.5) / (n1 + 1) / ((b + 0.5) / (n0 + 1))
+    fit = np.flatnonzero((ratio >= LEAST_RATIO) & (np.maximum(risk, 1 / risk) >= LEAST_RISK))
+    best = sorted(fit.tolist(), key=lambda k: (-ratio[k], names[k]))[:MOST_TERMS]
+    return sorted(names[k] for k in best)
 
 
 class BlockMaxIndex:
     """Unit TF-IDF vectors of the examples, as postings in blocks."""
 
-    def __init__(self, labelled: list[Counter], toxic: np.ndarray, ids: list, names: list[str], idf: np.ndarray, weights: tuple[float, float]):
-        self.place = {t: k for k, t in enumerate(names)}
+    def __init__(self, labelled: list[dict[int, int]], toxic: np.ndarray, ids: list, idf: np.ndarray, weights: tuple[float, float]):
         self.idf = idf
         self.toxic, self.ids = toxic.astype(float), ids
         self.votes = np.where(toxic == 1, weights[1], weights[0])
-        rows = [self.vector([(self.place[t], n) for t, n in c.items() if t in self.place]) for c in labelled]
+        rows = [self.vector(list(c.items())) for c in labelled]
         self.blank = np.array([len(r[0]) == 0 for r in rows])
         blocks = max(1, -(-len(rows) // BLOCK))
-        lists: list[dict[int, list[tuple[int, float]]]] = [{} for _ in names]
-        self.top = np.zeros((len(names), blocks))
+        lists: list[dict[int, list[tuple[int, float]]]] = [{} for _ in idf]
+        self.top = np.zeros((len(idf), blocks))
         for e, (where, weight) in enumerate(rows):
             for t, w in zip(where.tolist(), weight.tolist(), strict=True):
                 lists[t].setdefault(e // BLOCK, []).append((e % BLOCK, w))
@@ -146,21 +175,13 @@ def labelled_examples(docs: DataFrame, labels: DataFrame, per_class: int = EXAMP
     return texts.sort_values(["doc_id", "text"], ignore_index=True), sizes
 
 
-def _hits(batches: Iterator[pa.RecordBatch], names) -> Iterator[pa.RecordBatch]:
-    place = {t: k for k, t in enumerate(names.value)}
-    known = place.keys()
+def _hits(batches: Iterator[pa.RecordBatch], finder) -> Iterator[pa.RecordBatch]:
+    find = finder.value
     for batch in batches:
-        where, count = [], []
-        for text in batch.column(1).to_pylist():
-            words = Counter(WORD.findall(text.lower())) if text else {}
-            found = {place[w]: words[w] for w in known & words.keys()}
-            for w, n in words.items():
-                k = place.get(w[:STEM] + "*") if len(w) >= STEM else None
-                if k is not None:
-                    found[k] = found.get(k, 0) + n
-            where.append(sorted(found))
-            count.append([found[k] for k in sorted(found)])
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(where, pa.list_(pa.int32())), pa.array(count, pa.list_(pa.int32()))], ["doc_id", "terms", "counts"])
+        found = [find(words_of(text)) for text in batch.column(1).to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array([list(f) for f in found], pa.list_(pa.int32())), pa.array([list(f.values()) for f in found], pa.list_(pa.int32()))], ["doc_id", "terms", "counts"]
+        )
 
 
 def _scores(batches: Iterator[pa.RecordBatch], index) -> Iterator[pa.RecordBatch]:
@@ -194,15 +215,16 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = EXAMPLES
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sample, sizes = labelled_examples(slim, labels, per_class)
     toxic = sample["toxic"].to_numpy(np.int64)
-    counted = [terms(t) for t in sample["text"]]
-    names = telling_terms(counted, toxic)
-    hits = written(slim.mapInArrow(lambda it, n=sc.broadcast(names): _hits(it, n), "doc_id long, terms array<int>, counts array<int>"), "toxic-hits")
-    frequency = np.zeros(len(names))
+    words = [words_of(t) for t in sample["text"]]
+    find = TermFinder(telling_terms([terms(w) for w in words], toxic))
+    finder = sc.broadcast(find)
+    hits = written(slim.mapInArrow(lambda it: _hits(it, finder), "doc_id long, terms array<int>, counts array<int>"), "toxic-hits")
+    frequency = np.zeros(len(find.names))
     for r in hits.select(F.explode("terms").alias("term")).groupBy("term").count().collect():
         frequency[r.term] = r["count"]
     idf = np.log((1 + hits.count()) / (1 + frequency)) + 1
     weights = tuple(sizes.get(y, 0) / max(1, int((toxic == y).sum())) for y in (0, 1))
-    index = sc.broadcast(BlockMaxIndex(counted, toxic, sample["doc_id"].tolist(), names, idf, weights))
+    index = sc.broadcast(BlockMaxIndex([find(w) for w in words], toxic, sample["doc_id"].tolist(), idf, weights))
     scored = hits.mapInArrow(lambda it: _scores(it, index), "doc_id long, score double, evidence array<long>")
     held = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0, F.lit(False))
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
