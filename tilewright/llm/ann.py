@@ -112,4 +112,4 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = 10) -> D
                 best.add(n, ids[left], distances(block.m[left], search.queries.m[n]))
 
     state.integer = False
-    return ranked(search_blocks(q, stored, max(1, min(blocks, -(-24 // q_blocks))), k, visit, state), k, lowest=True)
+    return ranked(search_blocks(q, stored, blocks, q_blocks, visit, state), k, lowest=True)

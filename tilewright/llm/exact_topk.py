@@ -130,4 +130,4 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int =
             _best_first(tree, mine, bounds[n], search.queries[n], n, search.found)
 
     state.integer = True
-    return ranked(search_blocks(q, trees, max(1, min(shards, -(-24 // blocks))), k, visit, state), k, lowest=False)
+    return ranked(search_blocks(q, trees, shards, blocks, visit, state), k, lowest=False)

@@ -163,7 +163,7 @@ def _common(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.n
     gram = np.unique(gram, return_inverse=True)[1]
     order = np.argsort(gram, kind="stable")
     gram, owner = gram[order], owner[order]
-    width = max(1, 4_000_000 // len(sets))
+    width = min(int(gram[-1]) + 1, max(1, 4_000_000 // len(sets)))
     cuts = np.searchsorted(gram, np.arange(0, gram[-1] + 1 + width, width))
     for k, (a, b) in enumerate(zip(cuts[:-1], cuts[1:], strict=True)):
         tile = np.zeros((len(sets), width), np.float32)

@@ -5,18 +5,37 @@ pre-token, so a text can be encoded as its space-separated units, one after the
 other, and the ids of a unit can be remembered. The exceptions are spaces next
 to other white space, where the pattern looks over the boundary; such texts go
 through the library whole. Tokenizers of any other kind always do.
+
+A unit that is made of letters, digits, plain punctuation and single line ends has
+its pre-tokens in plain sight; these go to the library's model one by one, so a
+word costs the same once with and without a full stop.
 """
 
 from __future__ import annotations
 
 import json
 import re
+import struct
 from functools import lru_cache
 
 import numpy as np
 
 #: A space beside other white space (or at the end behind some).
 _ACROSS = re.compile(r"\s (?:\s|\Z)")
+#: Pre-tokens that can be told apart without the tokenizer's own pattern.
+_PLAIN = re.compile(r" ?[^\W\d_]+| ?[0-9]+| ?[!-&(-/:-@\[-`{-~]+|\n")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in byte-level vocabularies: printable
+    bytes for themselves, the others for the letters from 256 on, in order."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    rest = (b for b in range(256) if b not in printable)
+    return {b: chr(b) for b in printable} | {b: chr(256 + k) for k, b in enumerate(rest)}
+
+
+_LETTERS = _byte_letters()
+_STOPS = frozenset(".,;:!?")
 
 
 class TextEncoder:
@@ -25,7 +44,7 @@ class TextEncoder:
     remember: units whose ids are kept, which bounds the memory of a worker.
     """
 
-    def __init__(self, path: str, remember: int = 500_000):
+    def __init__(self, path: str, remember: int = 800_000):
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
@@ -33,47 +52,82 @@ class TextEncoder:
         self.tokenizer = Tokenizer.from_str(spec)
         self.remember = remember
         self.by_unit = _splits_at_spaces(json.loads(spec))
-        self.heads: dict[str, bytes] = {}
         self.tails: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _word(self, word: str) -> bytes:
+        """The ids of one pre-token."""
+        found = self.words.get(word)
+        if found is None:
+            if word.isascii() and word.isalnum():
+                letters = word
+            else:
+                letters = word.encode().decode("latin-1").translate(_LETTERS)
+            ids = [t.id for t in self.tokenizer.model.tokenize(letters)]
+            found = struct.pack(f"<{len(ids)}I", *ids)
+            if len(self.words) < self.remember:
+                self.words[word] = found
+        return found
+
+    def _units(self, units: list[str], lead: str) -> list[bytes]:
+        """The ids of units with ``lead`` before each."""
+        out: list[bytes | None] = []
+        word = self._word
+        for u in units:
+            if u.isalpha():
+                out.append(word(lead + u))
+            elif u[-1:] in _STOPS and u[:-1].isalpha():
+                out.append(word(lead + u[:-1]) + word(u[-1]))
+            else:
+                u = lead + u
+                parts = _PLAIN.findall(u)
+                plain = len("".join(parts)) == len(u) and "\n\n" not in u and "<|" not in u
+                if plain and not u.isascii():
+                    # word characters beyond ASCII may be numbers of other kinds
+                    plain = all(p.isascii() or p.strip(" ").isalpha() for p in parts)
+                out.append(b"".join(map(word, parts)) if plain else None)
+        others = [k for k, ids in enumerate(out) if ids is None]
+        for k, ids in zip(others, self._library([lead + units[k] for k in others]), strict=True):
+            out[k] = ids
+        return out
+
     def encode(self, texts: list[str | None]) -> list[bytes]:
         out: list[bytes | None] = [None] * len(texts)
-        units: list[list[str] | None] = [None] * len(texts)
+        found: list[list[bytes | None] | None] = [None] * len(texts)
+        gaps: dict[int, tuple[list[int], list[str]]] = {}
         whole: list[int] = []
-        new_heads: dict[str, bytes] = {}
-        new_tails: dict[str, bytes] = {}
+        heads: dict[str, bytes] = {}
+        tails: dict[str, bytes] = {}
         for i, text in enumerate(texts):
             if not text:
                 out[i] = b""
             elif not self.by_unit or _ACROSS.search(text) or text[0] == " " and text[:2].isspace():
                 whole.append(i)
             else:
-                units[i] = parts = text.split(" ")
-                if parts[0] not in self.heads:
-                    new_heads[parts[0]] = b""
-                for u in set(parts[1:]).difference(self.tails):
-                    new_tails[u] = b""
+                units = text.split(" ")
+                found[i] = ids = list(map(self.tails.get, units))
+                ids[0] = None  # the first has no space before it
+                at = [k for k, x in enumerate(ids) if x is None] if None in ids[1:] else [0]
+                missing = [units[k] for k in at]
+                gaps[i] = at, missing
+                heads[missing[0]] = b""
+                tails.update(dict.fromkeys(missing[1:], b""))
         for i, ids in zip(whole, self._library([texts[i] for i in whole]), strict=True):
             out[i] = ids
-        for known, new, lead in ((self.heads, new_heads, ""), (self.tails, new_tails, " ")):
-            for u, ids in zip(list(new), self._library([lead + u for u in new]), strict=True):
+        for new, lead in ((heads, ""), (tails, " ")):
+            for u, ids in zip(list(new), self._units(list(new), lead), strict=True):
                 new[u] = ids
-            if len(known) + len(new) <= self.remember:
-                known.update(new)
-                new.clear()
-        for i, parts in enumerate(units):
-            if parts is None:
-                continue
-            if new_tails:
-                known, extra = self.tails, new_tails
-                tail = [known[u] if u in known else extra[u] for u in parts[1:]]
-            else:
-                tail = list(map(self.tails.__getitem__, parts[1:]))
-            head = self.heads.get(parts[0])
-            out[i] = (new_heads[parts[0]] if head is None else head) + b"".join(tail)
+        for i, (at, missing) in gaps.items():
+            ids = found[i]
+            ids[0] = heads[missing[0]]
+            for k, u in zip(at[1:], missing[1:], strict=True):
+                ids[k] = tails[u]
+            out[i] = b"".join(ids)
+        if len(self.tails) + len(tails) <= self.remember // 2:
+            self.tails.update(tails)
         return out
 
 
@@ -86,7 +140,7 @@ def _splits_at_spaces(spec: dict) -> bool:
         and not spec.get("normalizer")
         and spec.get("model", {}).get("type", "BPE") == "BPE"
         and not spec["model"].get("dropout")
-        and not any(" " in t["content"] or t.get("lstrip") or t.get("rstrip") for t in spec.get("added_tokens", []))
+        and all("<|" in t["content"] and " " not in t["content"] and not t.get("lstrip") and not t.get("rstrip") for t in spec.get("added_tokens", []))
     )
 
 

@@ -2,18 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import written
-
-BLOCK = "block int, ids binary, data binary"
-
 
 def usable_vectors(vectors: DataFrame, zeros: bool) -> DataFrame:
     """(vec_id, dim, v): vectors of doubles without null or non-finite components;
@@ -39,39 +34,37 @@ def as_blocks(rows: DataFrame, n_blocks: int, build: Callable[[np.ndarray, np.nd
     return dealt.groupBy("dim", "block").applyInPandas(block, "dim int, block int, ids binary, data binary")
 
 
-def search_blocks(queries: DataFrame, blocks: DataFrame, groups: int, k: int, visit: Callable, state: Callable) -> DataFrame:
+#: Candidate blocks of one task at most, whatever the size of the tables.
+GROUP_BLOCKS = 64
+
+
+def search_blocks(queries: DataFrame, blocks: DataFrame, n_blocks: int, q_blocks: int, visit: Callable, state: Callable) -> DataFrame:
     """Runs ``visit`` over every query block and candidate block of one length.
 
-    A task holds one query block and goes through the candidate blocks of its
-    group, so the k best so far carry over from one to the next. state(ids,
-    data) makes what it carries; visit(state, ids, data) takes in a block;
-    state.best() gives (query_id, vec_id, score) arrays, at most k of a query.
-    Every candidate block is stored once and sent to each query block's task.
+    A task holds one query block and a group of candidate blocks, and goes
+    through these in order, so the k best so far carry over from one to the next.
+    state(ids, data) makes what it carries; visit(state, ids, data) takes in a
+    block; state.best() gives (query_id, vec_id, score) arrays, at most k of a
+    query. n_blocks and q_blocks: about how many blocks there are; few query
+    blocks make for smaller groups, so that there are tasks enough.
     """
-    asked = queries.select(F.col("dim"), F.col("block").alias("q_block"), F.col("ids").alias("q_ids"), F.col("data").alias("q_data"))
+    groups = max(1, -(-n_blocks // GROUP_BLOCKS), min(n_blocks, -(-24 // q_blocks)))
     # a stated query set against all rows, in blocks: pairs of blocks, never of rows
-    pairs = blocks.select("dim", "block").join(asked.select("dim", "q_block"), "dim").withColumn("group", F.pmod("block", F.lit(groups)))
-    sent = pairs.join(blocks, ["dim", "block"]).join(asked, ["dim", "q_block"])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, held = None, None
-        for batch in batches:
-            for row in batch.to_pylist():
-                key = (row["dim"], row["q_block"], row["group"])
-                if key != now:
-                    if held is not None:
-                        yield _rows(held)
-                    now, held = key, state(np.frombuffer(row["q_ids"], np.int64), row["q_data"])
-                visit(held, np.frombuffer(row["ids"], np.int64), row["data"])
-        if held is not None:
-            yield _rows(held)
-
-    def _rows(held) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in held.best()], ["query_id", "vec_id", "score"])
+    pairs = blocks.select("dim", "block").join(queries.select("dim", F.col("block").alias("q_block")), "dim")
+    sent = pairs.join(blocks, ["dim", "block"]).withColumn("group", F.pmod("block", F.lit(groups)))
+    asked = queries.withColumnRenamed("block", "q_block").withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
+    key = ["dim", "q_block", "group"]
+
+    def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if not len(left):
+            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
+        held = state(np.frombuffer(right["ids"][0], np.int64), right["data"][0])
+        for ids, data in left.sort_values("block")[["ids", "data"]].itertuples(index=False):
+            visit(held, np.frombuffer(ids, np.int64), data)
+        return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), held.best(), strict=True)))
 
     kind = "query_id long, vec_id long, score " + ("long" if state.integer else "double")
-    dealt = sent.repartition("dim", "q_block", "group").sortWithinPartitions("dim", "q_block", "group", "block")
-    return dealt.mapInArrow(run, kind)
+    return sent.groupBy(*key).cogroup(asked.groupBy(*key)).applyInPandas(run, kind)
 
 
 class Best:
@@ -100,8 +93,6 @@ class Best:
 
 def ranked(found: DataFrame, k: int, lowest: bool) -> DataFrame:
     """query_id, rank, vec_id, score of the k best in all groups."""
-    from pyspark.sql import Window
-
     by = F.col("score").asc() if lowest else F.col("score").desc()
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(by, "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
@@ -109,7 +100,3 @@ def ranked(found: DataFrame, k: int, lowest: bool) -> DataFrame:
 
 def block_counts(rows: DataFrame, rows_per_block: int) -> int:
     return max(1, -(-rows.count() // rows_per_block))
-
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    return written(df, name)

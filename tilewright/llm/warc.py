@@ -62,7 +62,7 @@ def _header(kind: str, page: str, url: str, digest: str, refers: str | None, blo
 def record(kind: str, page: str, url: str, digest: str, refers: str | None, payload: bytes) -> bytes:
     """One gzip member. The block is the payload, or nothing for a revisit."""
     body = b"" if kind == "revisit" else payload
-    return gzip.compress(_header(kind, page, url, digest, refers, body, "text/html; charset=utf-8"), 1, mtime=0)
+    return gzip.compress(_header(kind, page, url, digest, refers, body, "text/html; charset=utf-8"), 6, mtime=0)
 
 
 def parse_record(data: bytes) -> tuple[dict[str, str], bytes]:
@@ -133,6 +133,21 @@ class IndexReader:
                 yield line
 
 
+def _name(number: int | None) -> str:
+    return "null" if number is None else str(number)
+
+
+def _responses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each row's response, compressed where it is read, so that the shuffles to
+    come move no plain payloads."""
+    names = ["page_id", "url", "key", "digest", "size"]
+    for batch in batches:
+        columns = [batch.column(c) for c in names]
+        rows = zip(*[batch.column(c).to_pylist() for c in ("page_id", "url", "digest", "payload")], strict=True)
+        data = [record("response", _name(page), url or "", digest, None, payload) for page, url, digest, payload in rows]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(data, pa.binary())], [*names, "data"])
+
+
 def _write(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
     archive, index, at, first, last, n = None, None, 0, None, None, 0
     for batch in batches:
@@ -144,8 +159,9 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.Record
                 archive = store.open_output_stream(f"{place}/{name}.warc.gz", compression=None)
                 index = IndexWriter(store.open_output_stream(f"{place}/{name}.idx", compression=None))
                 first = row["key"]
-            page, refers = ("null" if row[k] is None else str(row[k]) for k in ("page_id", "refers_to"))
-            data = record(row["record_type"], page, row["url"] or "", row["digest"], refers if row["record_type"] == "revisit" else None, row["payload"])
+            data = row["data"]
+            if row["record_type"] == "revisit":
+                data = record("revisit", _name(row["page_id"]), row["url"] or "", row["digest"], _name(row["refers_to"]), b"")
             archive.write(data)
             index.add(row["key"], at, len(data))
             at, last, n = at + len(data), row["key"], n + 1
@@ -169,21 +185,20 @@ def write_archive(pages: DataFrame, folder: str | None = None) -> str:
     payload = F.encode(F.coalesce(F.col("html").cast("string"), F.lit("")), "UTF-8")
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), payload.alias("payload"))
     rows = rows.withColumn("digest", F.sha1("payload")).withColumn("key", reversed_host_key(F.col("url")))
-    # digests alone decide; the payloads stay where they are
+    rows = rows.withColumn("size", F.octet_length("payload"))
     place = F.struct(F.coalesce("page_id", F.lit(-(2**63))).alias("page_id"), F.xxhash64("url").alias("url"))
-    narrow = rows.withColumn("place", place)
-    firsts = narrow.where(F.octet_length("payload") >= LEAST_SHARED).groupBy("digest").agg(F.max("place").alias("shown"), F.count("*").alias("copies")).where("copies > 1").select("digest", "shown", F.lit(True).alias("shared"))
-    decided = narrow.join(firsts, "digest", "left").select(
-        "page_id", "url", "payload", "digest", "key", "shared", (F.col("place") == F.col("shown")).alias("is_shown"), F.when(F.col("shown.page_id") > -(2**63), F.col("shown.page_id")).alias("refers_to")
-    )
+    firsts = rows.where(F.col("size") >= LEAST_SHARED).groupBy("digest").agg(F.max(place).alias("shown"), F.count("*").alias("copies")).where("copies > 1").select("digest", "shown", F.lit(True).alias("shared"))
+    built = rows.mapInArrow(_responses, "page_id long, url string, key string, digest string, size int, data binary")
+    shown_id = F.when(F.col("shown.page_id") > -(2**63), F.col("shown.page_id"))
+    decided = built.join(firsts, "digest", "left").select("page_id", "url", "data", "digest", "key", "shared", (place == F.col("shown")).alias("is_shown"), shown_id.alias("refers_to"))
     kind = F.when(F.col("shared") & ~F.col("is_shown"), "revisit").otherwise("response")
     out = decided.withColumn("record_type", kind).withColumn("refers_to", F.when(F.col("record_type") == "revisit", F.col("refers_to")))
-    ordered = out.repartitionByRange("key", F.coalesce("page_id", F.lit(-1))).sortWithinPartitions("key", "page_id").select("page_id", "url", "payload", "digest", "key", "record_type", "refers_to")
+    ordered = out.repartitionByRange("key", F.coalesce("page_id", F.lit(-1))).sortWithinPartitions("key", "page_id").select("page_id", "url", "data", "digest", "key", "record_type", "refers_to")
     ordered.mapInArrow(lambda it: _write(it, f"{folder}/files"), "file string, first string, last string, n long").write.parquet(f"{folder}/manifest")
     return folder
 
 
-def _look_up(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
+def _look_up(batches: Iterator[pa.RecordBatch], folder: str, payloads: bool) -> Iterator[pa.RecordBatch]:
     store, place = open_store(folder)
     now = index = archive = None
     names = ["key", "url", "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"]
@@ -209,7 +224,7 @@ def _look_up(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.Reco
                 told = head["WARC-Payload-Digest"].removeprefix("sha1:")
                 if not revisit and hashlib.sha1(payload).hexdigest() != told:
                     raise ValueError(f"the payload of {head['WARC-Record-ID']} does not have its digest")
-                rows.append((key, json.loads(f'"{head["WARC-Target-URI"]}"'), number(head["WARC-Record-ID"]), None if revisit else len(payload), told, head["WARC-Type"], number(head["WARC-Refers-To"]) if revisit else None, payload))
+                rows.append((key, json.loads(f'"{head["WARC-Target-URI"]}"'), number(head["WARC-Record-ID"]), None if revisit else len(payload), told, head["WARC-Type"], number(head["WARC-Refers-To"]) if revisit else None, payload if payloads else None))
                 size += len(payload)
                 if size > 8 << 20:
                     yield batch_of(rows)
@@ -218,10 +233,11 @@ def _look_up(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.Reco
             yield batch_of(rows)
 
 
-def look_up(spark: SparkSession, folder: str, urls: DataFrame) -> DataFrame:
+def look_up(spark: SparkSession, folder: str, urls: DataFrame, payloads: bool = True) -> DataFrame:
     """All captures of the ``urls`` (url), whatever the case of their hosts: key,
     url, page_id, payload_bytes, payload_digest, record_type, refers_to, payload.
-    A revisit has its payload in the record that it refers to, and null bytes."""
+    A revisit has its payload in the record that it refers to, and null bytes.
+    Without ``payloads`` records are read and verified but not returned."""
     files = spark.read.parquet(f"{folder}/manifest").orderBy("first", "last").collect()  # a row for each task that wrote
     ranges = spark.sparkContext.broadcast([(f.first, f.last, f.file) for f in files])
 
@@ -239,7 +255,7 @@ def look_up(spark: SparkSession, folder: str, urls: DataFrame) -> DataFrame:
     keys = urls.select(reversed_host_key(F.col("url").cast("string")).alias("key")).distinct()
     asked = keys.mapInArrow(holders, "file string, key string").repartition(max(1, len(files)), "file").sortWithinPartitions("file", "key")
     kind = "key string, url string, page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
-    return asked.mapInArrow(lambda it: _look_up(it, f"{folder}/files"), kind)
+    return asked.mapInArrow(lambda it: _look_up(it, f"{folder}/files", payloads), kind)
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
@@ -248,7 +264,7 @@ def round_trip(pages: DataFrame) -> DataFrame:
     refers_to. Revisits take their bytes from the response of the same digest."""
     spark = pages.sparkSession
     folder = write_archive(pages)
-    read = written(look_up(spark, folder, pages.select("url")).drop("payload", "url", "key"), "warc-read")
+    read = written(look_up(spark, folder, pages.select("url"), payloads=False).drop("payload", "url", "key"), "warc-read")
     lengths = read.where("record_type = 'response'").groupBy("payload_digest").agg(F.max("payload_bytes").alias("full"))
     # only the digests that are revisited
     lengths = lengths.join(read.where("record_type = 'revisit'").select("payload_digest").distinct(), "payload_digest", "left_semi")
