@@ -1,32 +1,38 @@
 """Best-fit packing of token sequences.
 
-Method: bulk-synchronous best-fit. Each superstep deals the open pieces into
-shards of bounded size, all of which are packed at once: a shard sorts its
-pieces by size and its gaps by size, and sweeps over the pieces from the largest
-down; each takes its successor among the gaps (the smallest that holds it), of
-pieces of one size the one of lesser rank first, and the gap it leaves is sorted
-in again. Sequences that came out nearly full are closed. The pieces of the
-others go into the next superstep, with as many fewer shards, until one shard
-holds them all or the supersteps end.
+Method: bulk-synchronous best-fit. Pieces and gaps are sorted by size. Sizes are
+whole numbers up to the capacity, so gaps of one size form runs of sequences, and
+a superstep takes all pieces of one size, from the largest down. Its sweep gives
+each piece, by its rank among those of its size, its successor among the gaps (the
+smallest that holds it, or a new sequence): rank r of a run of gaps goes to the
+(r // k)-th sequence of the run, if k such pieces fit into one. The gaps are then
+updated and the next superstep follows. The result is that of best-fit over all
+pieces in falling order of size, one at a time.
+
+How many pieces have each size settles all sweeps, so these need a table of at
+most ``capacity`` counts, and give one of intervals of ranks whose size depends on
+the capacity too, not on the corpus. Ranks and places are found on the executors.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import forget, written
+from .shared import written
 from .tokenise import default_tokenizer, encoder
 
-#: Pieces that one task packs.
+#: Pieces of one size that are ranked together; more are dealt out first.
 SHARD_PIECES = 16_384
+#: Ranks of one size are below this.
+_RANKS = 1 << 40
+
+PIECES = 16_384
 #: A sequence is closed when no more than this share of it is empty.
 CLOSED = 0.01
 SUPERSTEPS = 4
@@ -65,76 +71,107 @@ def token_pieces(docs: DataFrame, capacity: int = 2048, end_id: int = 0, tokeniz
     return slim.mapInArrow(lambda it: _pieces(it, path, capacity, end_id), PIECES)
 
 
+class Sweeps:
+    """The supersteps over ``counts`` (size -> pieces), as intervals of ranks.
+
+    An interval starts at (size, rank) and says into which sequence its first
+    piece goes, how many pieces each sequence takes, and where in it they begin.
+    gaps: lists of (first sequence, sequences) for each size of gap at the end.
+    """
+
+    def __init__(self, counts: dict[int, int], capacity: int):
+        self.gaps: list[list[tuple[int, int]]] = [[] for _ in range(capacity + 1)]
+        self.used, self.open, found = 0, 0, []
+        for size in sorted(counts, reverse=True):
+            rank, n = 0, counts[size]
+            while rank < n:
+                above = self.open >> size
+                if above:
+                    gap = size + (above & -above).bit_length() - 1
+                    first, sequences = self._take(gap)
+                else:
+                    gap, first = capacity, self.used
+                    sequences = -(-(n - rank) // (capacity // size))
+                    self.used += sequences
+                each = gap // size
+                found.append((size * _RANKS + rank, first, each, capacity - gap))
+                full, over = min(sequences, (n - rank) // each), 0
+                self._put(gap - each * size, first, full)
+                if full < sequences:
+                    over = n - rank - full * each
+                    self._put(gap - over * size, first + full, 1 if over else 0)
+                    self._put(gap, first + full + bool(over), sequences - full - bool(over))
+                rank += full * each + over
+        found.sort()
+        self.start, self.first, self.each, self.at = np.array(found, np.int64).reshape(-1, 4).T
+
+    def _take(self, gap: int) -> tuple[int, int]:
+        run = self.gaps[gap].pop()
+        if not self.gaps[gap]:
+            self.open ^= 1 << gap
+        return run
+
+    def _put(self, gap: int, first: int, sequences: int) -> None:
+        if sequences:
+            self.gaps[gap].append((first, sequences))
+            self.open |= 1 << gap
+
+    def places(self, size: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(sequence, offset) of the pieces of these sizes and ranks."""
+        key = size * _RANKS + rank
+        k = np.searchsorted(self.start, key, side="right") - 1
+        nth, inside = np.divmod(key - self.start[k], self.each[k])
+        return self.first[k] + nth, self.at[k] + inside * size
+
+
 def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(bin, offset) of each size, and what is left of each bin. sizes come in
-    falling order. Gaps of one size lie on one pile; a bit mask of the piles
-    that hold any finds the successor of a size at once."""
-    piles: list[list[int]] = [[] for _ in range(capacity + 1)]
-    mask, gaps = 0, []
-    place, offset = np.empty(len(sizes), np.int64), np.empty(len(sizes), np.int64)
-    for k, size in enumerate(sizes.tolist()):
-        above = mask >> size
-        if above:
-            gap = size + (above & -above).bit_length() - 1
-            b = piles[gap].pop()
-            if not piles[gap]:
-                mask ^= 1 << gap
-        else:
-            gap, b = capacity, len(gaps)
-            gaps.append(capacity)
-        place[k], offset[k] = b, capacity - gap
-        gaps[b] = gap = gap - size
-        piles[gap].append(b)
-        mask |= 1 << gap
-    return place, offset, np.array(gaps, np.int64)
-
-
-def _pack_shard(pdf: pd.DataFrame, capacity: int, step: int, last: bool) -> pd.DataFrame:
-    pdf = pdf.sort_values(["length", "doc_id", "piece", "row"], ascending=[False, True, True, True], ignore_index=True)
-    place, offset, gaps = best_fit(pdf["length"].to_numpy(), capacity)
-    closed = np.ones(len(gaps), bool) if last else gaps <= CLOSED * capacity
-    name = (np.int64(step) << 58) | (np.int64(pdf["shard"][0]) << 24)
-    return pd.DataFrame({"row": pdf["row"], "sequence_id": np.where(closed[place], name | place, -1), "offset": offset})
-
-
-def _packer(capacity: int, step: int, last: bool):
-    return lambda pdf: _pack_shard(pdf, capacity, step, last)
+    """(bin, offset) of each size, and what is left of each bin."""
+    size, which, n = np.unique(np.asarray(sizes, np.int64), return_inverse=True, return_counts=True)
+    order = np.argsort(which, kind="stable")
+    rank = np.empty(len(which), np.int64)
+    rank[order] = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
+    sweeps = Sweeps(dict(zip(size.tolist(), n.tolist(), strict=True)), capacity)
+    left = np.empty(sweeps.used, np.int64)
+    for gap, runs in enumerate(sweeps.gaps):
+        for first, sequences in runs:
+            left[first : first + sequences] = gap
+    return *sweeps.places(size[which], rank), left
+
+
+def _place(batches: Iterator[pa.RecordBatch], sweeps) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        size, rank = (batch.column(c).to_numpy() for c in ("length", "__rank"))
+        put = [pa.array(x) for x in sweeps.value.places(size, rank)]
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *put], [*batch.schema.names[:-1], "sequence_id", "offset"])
 
 
 def pack_pieces(pieces: DataFrame, capacity: int = 2048, shard_pieces: int = SHARD_PIECES) -> DataFrame:
-    """``pieces`` (with length between 1 and capacity; doc_id and piece break
-    ties) with sequence_id and offset: the pieces of a sequence lie without gaps
-    from 0 and hold at most ``capacity`` tokens.
+    """``pieces`` (with length between 1 and capacity, and doc_id and piece, which
+    order those of one length) with sequence_id and offset: the pieces of a
+    sequence lie without gaps from 0 and hold at most ``capacity`` tokens.
 
-    Pieces of just the capacity fill a sequence each. Pieces are told apart by a
-    row number, so repeated rows are packed as often as they come. Lengths that
-    are null or out of range are an error.
+    Repeated rows are packed as often as they come; null doc_ids and pieces are
+    packed like others. Other columns stay. Lengths that are null or out of range
+    are an error. At most about ``shard_pieces`` of one length are sorted together.
     """
-    held = written(pieces.withColumn("row", F.monotonically_increasing_id()), "pack-pieces")
-    n, low, high, bad = held.agg(F.count("*"), F.min("length"), F.max("length"), F.count_if(F.col("length").isNull())).first()
-    if n and (bad or low < 1 or high > capacity):
+    sc, names = pieces.sparkSession.sparkContext, pieces.columns
+    held = written(pieces.withColumn("length", F.col("length").cast("long")).withColumn("__row", F.monotonically_increasing_id()), "pack-pieces")
+    low, high, bad = held.agg(F.min("length"), F.max("length"), F.count_if(F.col("length").isNull())).first()
+    if bad or low is not None and (low < 1 or high > capacity):
         raise ValueError(f"lengths must be from 1 to {capacity}")
-    key = ["row", "doc_id", "piece", "length"]
-    todo, placed, old = held.where(F.col("length") < capacity).select(*key), [], []
-    whole = held.where(F.col("length") == capacity)
-    placed.append(whole.select("row", F.lit(1 << 62).bitwiseOR(F.col("row")).alias("sequence_id"), F.lit(0).cast("long").alias("offset")))
-    left = n
-    for step in range(SUPERSTEPS):
-        shards = max(1, -(-left // shard_pieces))
-        last = shards == 1 or step == SUPERSTEPS - 1
-        dealt = todo.withColumn("shard", F.pmod(F.xxhash64("row", F.lit(step)), F.lit(shards)))
-        now = written(dealt.groupBy("shard").applyInPandas(_packer(capacity, step, last), "row long, sequence_id long, offset long"), "pack-step")
-        old.append(now)
-        placed.append(now.where("sequence_id >= 0"))
-        if last:
-            break
-        todo = todo.join(now.where("sequence_id < 0").select("row"), "row", "left_semi")
-        left = now.where("sequence_id < 0").count()
-        if not left:
-            break
-    result = written(held.join(reduce(DataFrame.union, placed), "row").drop("row"), "packed")
-    forget(held, *old)
-    return result
+    # at most ``capacity`` counts
+    counts = {r.length: r["count"] for r in held.groupBy("length").count().collect()}
+    sweeps = sc.broadcast(Sweeps(counts, capacity))
+
+    # ranks: inside (length, part), and the pieces of the parts before
+    parts = F.broadcast(pieces.sparkSession.createDataFrame([(s, -(-n // shard_pieces)) for s, n in counts.items()], "length long, __parts long"))
+    dealt = held.join(parts, "length").withColumn("__part", F.pmod(F.xxhash64("__row"), F.col("__parts"))).drop("__parts")
+    sized = dealt.groupBy("length", "__part").count()
+    before = sized.select("length", "__part", (F.sum("count").over(Window.partitionBy("length").orderBy("__part")) - F.col("count")).alias("__before"))
+    inside = F.row_number().over(Window.partitionBy("length", "__part").orderBy("doc_id", "piece", "__row")) - 1
+    ranked = dealt.withColumn("__inside", inside).join(before, ["length", "__part"])
+    kinds = ", ".join(f"`{c}` {'long' if c == 'length' else kind}" for c, kind in pieces.dtypes)
+    return ranked.select(*names, (F.col("__inside") + F.col("__before")).alias("__rank")).mapInArrow(lambda it: _place(it, sweeps), f"{kinds}, sequence_id long, offset long")
 
 
 def pack_documents(docs: DataFrame, capacity: int = 2048, end_id: int = 0, tokenizer: str | None = None) -> DataFrame:
