@@ -28,7 +28,7 @@ from .shared import written
 from .tokenise import default_tokenizer, encoder
 
 #: Pieces of one size that are ranked together; more are dealt out first.
-SHARD_PIECES = 16_384
+SHARD_PIECES = 1024
 #: Ranks of one size are below this.
 _RANKS = 1 << 40
 
