@@ -22,7 +22,6 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -79,24 +78,32 @@ class TermFinder:
         return dict(sorted(found.items()))
 
 
-def telling_terms(labelled: list[set[str]], toxic: np.ndarray) -> list[str]:
-    """The terms whose presence goes with the label, by the ratio G squared."""
-    with_term = [Counter(), Counter()]
-    for t, y in zip(labelled, toxic, strict=True):
-        with_term[y].update(t)
-    n1, n0 = int(toxic.sum()), int(len(toxic) - toxic.sum())
-    names = sorted(with_term[0] | with_term[1])
-    a, b = (np.array([with_term[y][t] for t in names], float) for y in (1, 0))
+def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(term, toxic, n): how many texts of a batch have the term."""
+    for whole in batches:
+        for at in range(0, whole.num_rows, 200):
+            found = [Counter(), Counter()]
+            for toxic, text in zip(*[c.to_pylist() for c in whole.slice(at, 200).columns], strict=True):
+                found[toxic].update(terms(words_of(text)))
+            for toxic, by in enumerate(found):
+                yield pa.RecordBatch.from_arrays([pa.array(list(by), pa.string()), pa.array([toxic] * len(by), pa.int32()), pa.array(list(by.values()), pa.int64())], ["term", "toxic", "n"])
+
+
+def telling_terms(examples: DataFrame, n0: int, n1: int) -> list[str]:
+    """The terms of the examples (toxic, text) whose presence goes with the label,
+    by the ratio G squared, MOST_TERMS at most. n0, n1: examples of each class."""
+    seen = examples.select("toxic", "text").mapInArrow(_terms, "term string, toxic int, n long")
+    count = [F.coalesce(F.sum(F.when(F.col("toxic") == y, F.col("n"))), F.lit(0)).cast("double") for y in (0, 1)]
+    by = seen.groupBy("term").agg(count[1].alias("a"), count[0].alias("b"))
+    a, b, p = F.col("a"), F.col("b"), (F.col("a") + F.col("b")) / max(1, n0 + n1)
 
     def part(seen, expected):
-        return np.where(seen > 0, seen * np.log(np.maximum(seen, 1e-9) / np.maximum(expected, 1e-9)), 0)
+        return F.when(seen > 0, seen * F.log(seen / expected)).otherwise(0.0)
 
-    p = (a + b) / max(1, n1 + n0)
     ratio = 2 * (part(a, n1 * p) + part(b, n0 * p) + part(n1 - a, n1 * (1 - p)) + part(n0 - b, n0 * (1 - p)))
     risk = (a + 0.5) / (n1 + 1) / ((b + 0.5) / (n0 + 1))
-    fit = np.flatnonzero((ratio >= LEAST_RATIO) & (np.maximum(risk, 1 / risk) >= LEAST_RISK))
-    best = sorted(fit.tolist(), key=lambda k: (-ratio[k], names[k]))[:MOST_TERMS]
-    return sorted(names[k] for k in best)
+    fit = by.select("term", F.round(ratio, 6).alias("ratio"), F.greatest(risk, 1 / risk).alias("risk")).where((F.col("ratio") >= LEAST_RATIO) & (F.col("risk") >= LEAST_RISK))
+    return sorted(r.term for r in fit.orderBy(F.desc("ratio"), "term").limit(MOST_TERMS).select("term").collect())
 
 
 class BlockMaxIndex:
@@ -159,29 +166,29 @@ class BlockMaxIndex:
         return min(1.0, max(0.0, score)), [self.ids[e] for e in at[:3]]
 
 
-def labelled_examples(docs: DataFrame, labels: DataFrame, per_class: int = EXAMPLES) -> tuple[pd.DataFrame, dict[int, int]]:
-    """A bounded sample of the labelled documents outside the held-out fold, and
-    how many there are of each class. A hash of the text picks them."""
+def labelled_examples(docs: DataFrame, labels: DataFrame, per_class: int = EXAMPLES) -> tuple[DataFrame, dict[int, int]]:
+    """A bounded sample of the different labelled texts outside the held-out fold
+    (doc_id, toxic, text), at most ``per_class`` of each class, and how many there
+    are of each class. A hash of the text picks them."""
     fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) != 0
     known = labels.where("doc_id is not null and toxic is not null").where(fold).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    both = docs.where("text is not null").select("doc_id", "text").join(known, "doc_id")
-    picked = written(both.select("toxic", "doc_id", F.xxhash64("text").alias("pick")), "toxic-known")
+    texts = docs.where("text is not null").withColumn("pick", F.xxhash64("text"))
+    picked = written(texts.select("doc_id", "pick").join(known, "doc_id").groupBy("toxic", "pick").agg(F.min("doc_id").alias("doc_id")), "toxic-known")
     sizes = {r.toxic: r["count"] for r in picked.groupBy("toxic").count().collect()}
-    few = [picked.where(F.col("toxic") == y).orderBy("pick", "doc_id").limit(per_class) for y in (0, 1)]
-    chosen = written(few[0].union(few[1]).select("doc_id", "toxic").distinct(), "toxic-chosen")
+    few = [picked.where(F.col("toxic") == y).orderBy("pick").limit(per_class) for y in (0, 1)]
     # at most twice per_class rows
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").where("text is not null").toPandas()
-    forget(picked, chosen)
-    return texts.sort_values(["doc_id", "text"], ignore_index=True), sizes
+    chosen = F.broadcast(few[0].union(few[1]))
+    examples = written(texts.join(chosen, ["doc_id", "pick"]).groupBy("doc_id", "pick", "toxic").agg(F.min("text").alias("text")).select("doc_id", "toxic", "text"), "toxic-examples")
+    forget(picked)
+    return examples, sizes
 
 
 def _hits(batches: Iterator[pa.RecordBatch], finder) -> Iterator[pa.RecordBatch]:
     find = finder.value
     for batch in batches:
         found = [find(words_of(text)) for text in batch.column(1).to_pylist()]
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array([list(f) for f in found], pa.list_(pa.int32())), pa.array([list(f.values()) for f in found], pa.list_(pa.int32()))], ["doc_id", "terms", "counts"]
-        )
+        columns = [batch.column(0), pa.array([list(f) for f in found], pa.list_(pa.int32())), pa.array([list(f.values()) for f in found], pa.list_(pa.int32()))]
+        yield pa.RecordBatch.from_arrays([*columns, *batch.columns[2:]], ["doc_id", "terms", "counts", *batch.schema.names[2:]])
 
 
 def _scores(batches: Iterator[pa.RecordBatch], index) -> Iterator[pa.RecordBatch]:
@@ -205,7 +212,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = EXAMPLES
     predicted (1 if score >= 0.5), evidence (doc_ids of the nearest examples).
 
     labels (doc_id, toxic): rows outside the held-out fold are learnt from, at most
-    ``per_class`` of each class; a doc_id with several labels is toxic if any says
+    ``per_class`` different texts of each class; a doc_id with several labels is toxic if any says
     so. Votes are weighted by what a sampled document of its class stands for.
     Texts without a telling term (null and empty ones too) have the rate of such
     examples. Without labels of both classes every score is the rate of the one
@@ -213,18 +220,20 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = EXAMPLES
     """
     sc = docs.sparkSession.sparkContext
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sample, sizes = labelled_examples(slim, labels, per_class)
-    toxic = sample["toxic"].to_numpy(np.int64)
-    words = [words_of(t) for t in sample["text"]]
-    find = TermFinder(telling_terms([terms(w) for w in words], toxic))
+    examples, sizes = labelled_examples(slim, labels, per_class)
+    n = {r.toxic: r["count"] for r in examples.groupBy("toxic").count().collect()}
+    find = TermFinder(telling_terms(examples, n.get(0, 0), n.get(1, 0)))
     finder = sc.broadcast(find)
-    hits = written(slim.mapInArrow(lambda it: _hits(it, finder), "doc_id long, terms array<int>, counts array<int>"), "toxic-hits")
+    hit = "doc_id long, terms array<int>, counts array<int>"
+    sample = examples.select("doc_id", "text", "toxic").mapInArrow(lambda it: _hits(it, finder), f"{hit}, toxic int").collect()
+    sample.sort(key=lambda r: (r.doc_id, r.terms, r.counts, r.toxic))
+    hits = written(slim.mapInArrow(lambda it: _hits(it, finder), hit), "toxic-hits")
     frequency = np.zeros(len(find.names))
     for r in hits.select(F.explode("terms").alias("term")).groupBy("term").count().collect():
         frequency[r.term] = r["count"]
     idf = np.log((1 + hits.count()) / (1 + frequency)) + 1
-    weights = tuple(sizes.get(y, 0) / max(1, int((toxic == y).sum())) for y in (0, 1))
-    index = sc.broadcast(BlockMaxIndex([find(w) for w in words], toxic, sample["doc_id"].tolist(), idf, weights))
+    weights = tuple(sizes.get(y, 0) / max(1, n.get(y, 0)) for y in (0, 1))
+    index = sc.broadcast(BlockMaxIndex([dict(zip(r.terms, r.counts, strict=True)) for r in sample], np.array([r.toxic for r in sample], np.int64), [r.doc_id for r in sample], idf, weights))
     scored = hits.mapInArrow(lambda it: _scores(it, index), "doc_id long, score double, evidence array<long>")
     held = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0, F.lit(False))
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
