@@ -327,7 +327,7 @@ def channel_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
  when i % 10 < 8 then b.z[(i // 10 - 8) * 8 + i % 10 + 1] else c.z[(i // 10 - 8) * 8 + i % 10 - 8 + 1] end, 0)) as mosaic
  from dsm_grid g left join dsm_grid r on r.vec_id = g.vec_id + 1 and g.vec_id % 10 < 9 left join dsm_grid b on b.vec_id = g.vec_id - 10 left join dsm_grid c on c.vec_id = g.vec_id - 9 and g.vec_id % 10 < 9""")
 def mosaic_zero_pad(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A 10 by 10 field of grids; north is where ids grow by ten."""
+    """A field of grids, ten wide; north is where ids grow by ten."""
     grids = view(spark, sf_dir, "dsm_grid")
     lends = F.explode(F.expr("filter(array(named_struct('side', 'right', 'to', vec_id - 1, 'ok', vec_id % 10 > 0), named_struct('side', 'bottom', 'to', vec_id + 10, 'ok', true), named_struct('side', 'corner', 'to', vec_id + 9, 'ok', vec_id % 10 > 0)), s -> s.ok)")).alias("s")
     sent = grids.select("z", lends).groupBy(F.col("s.to").alias("to")).agg(*[F.first(F.when(F.col("s.side") == n, F.col("z")), ignorenulls=True).alias(n) for n in ("right", "bottom", "corner")])

@@ -49,7 +49,7 @@ VIEWS["images"] = "select distinct cast(user_id as string) img from events"
 
 VIEWS["files"] = "select event_id as file_id, ts as mtime, cast(1 + round(value*100) as bigint) as size from events"
 
-VIEWS["dsm_grid"] = "select vec_id, transform(embedding, v -> 1500 + cast(round(cast(v as double)*100) as int)) as z from embeddings where vec_id < 100"
+VIEWS["dsm_grid"] = "select vec_id, transform(embedding, v -> 1500 + cast(round(cast(v as double)*100) as int)) as z from embeddings"
 
 VIEWS["rgb_grid"] = """
 select vec_id, transform(z, v -> (v*3) % 256) as red, transform(z, v -> (v*5) % 256) as green, transform(z, v -> (v*7) % 256) as blue, transform(z, v -> (v*11) % 256) as shade
