@@ -7,6 +7,7 @@ import os
 import pytest
 
 from tilewright.plans import catalogue
+from tilewright.plans.fixtures import view
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="the general tables are not here")
@@ -34,3 +35,19 @@ def test_mosaic_of_grids_beyond_the_first_hundred(spark):
         parts = [[z[i], right], [bottom, corner]]
         expected = [(parts[r // 8][c // 8] or [0] * 64)[r % 8 * 8 + c % 8] for r in range(10) for c in range(10)]
         assert found[i] == expected
+
+
+def test_log_of_all_orders(spark):
+    """Every order is a line of the log, the table has the last line of each key,
+    and both done and undone tiles are there for resume."""
+    log = [(r.tile_id, r.processed_at, r.seq, r.n_detections, r.skip_reason) for r in view(spark, SF, "done_log").collect()]
+    assert sorted(r[2] for r in log) == sorted(r.o_orderkey for r in table(spark, "orders").select("o_orderkey").collect())
+    last = {}
+    for key, *row in sorted(log, key=lambda r: (r[1], r[2])):
+        last[key] = row
+    found = catalogue.QUERIES["checkpoint_upsert"](spark, SF).collect()
+    assert {r.tile_id: (r.processed_at, r.n_detections, r.skip_reason) for r in found} == {k: (at, n, why) for k, (at, _, n, why) in last.items()}
+    assert len(found) == len(last) and sum(r.n for r in catalogue.QUERIES["status_counts"](spark, SF).collect()) == len(last)
+    tiles = {r.coord.replace("-", "_") for r in catalogue.QUERIES["rgb_dsm_pairs"](spark, SF).collect()}
+    left = {r.tile_id for r in catalogue.QUERIES["resume_remaining"](spark, SF).collect()}
+    assert left == tiles - set(last) and 0 < len(left) < len(tiles)
