@@ -51,3 +51,15 @@ def test_log_of_all_orders(spark):
     tiles = {r.coord.replace("-", "_") for r in catalogue.QUERIES["rgb_dsm_pairs"](spark, SF).collect()}
     left = {r.tile_id for r in catalogue.QUERIES["resume_remaining"](spark, SF).collect()}
     assert left == tiles - set(last) and 0 < len(left) < len(tiles)
+
+
+def test_items_of_all_orders_take_in_the_tiles_of_all_detections(spark):
+    items = view(spark, SF, "stac_items").collect()
+    assert sorted(r.seq for r in items) == sorted(r.o_orderkey for r in table(spark, "orders").select("o_orderkey").collect())
+    coords = {r.item_id[-9:] for r in items}
+    tiles = {r.coord for r in catalogue.QUERIES["rgb_dsm_pairs"](spark, SF).collect()}
+    assert tiles == {r.coord for r in catalogue.QUERIES["url_list_pairs"](spark, SF).collect()}
+    assert {r.item_id[-9:] for r in items if r.layer == "dsm" and r.href} >= tiles and tiles < coords
+    assert len(catalogue.QUERIES["patch_grid_25"](spark, SF).collect()) == 25 * len(tiles)
+    outcomes = {r.tile_id: r.n_detections for r in catalogue.QUERIES["tile_outcomes"](spark, SF).collect()}
+    assert sum(outcomes.values()) == table(spark, "lineitem").count() and 0 in outcomes.values()

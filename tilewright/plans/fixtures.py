@@ -21,12 +21,13 @@ select l_orderkey k1, l_linenumber k2, l_partkey k3, l_suppkey k4, l_extendedpri
 from lineitem) t
 """
 
+# the grid of det_raw, which o_custkey div 7 covers, and a field west of it, ten rows high at first, that
+# has no detections; there every third tile has no elevation
 VIEWS["stac_items"] = """
-select o_orderkey as seq, case when o_orderkey % 2 = 0 then 'rgb' else 'dsm' end as layer,
- concat('item', case when o_orderkey % 11 = 0 then '_' else concat('_', cast(year(o_orderdate) as string), '_') end,
-  cast(2500 + (o_custkey % 100) % 10 as string), '-', cast(1100 + (o_custkey % 100) div 10 as string)) as item_id,
- case when o_orderkey % 7 = 0 then null else concat('tile_', cast(o_orderkey as string), '.tif') end as href
-from orders where not (o_orderkey % 2 = 1 and (o_custkey % 100) % 9 = 0)
+select seq, layer, concat('item', case when seq % 11 = 0 then '_' else concat('_', cast(yr as string), '_') end,
+  cast(case when west then 2499 - (k div 10) % 100 else 2500 + k % 100 end as string), '-', cast(1100 + case when west then k % 10 + 10 * (k div 1000) else k div 100 end as string)) as item_id,
+ case when seq % 7 = 0 or (west and layer = 'dsm' and k % 3 = 1) then null else concat('tile_', cast(seq as string), '.tif') end as href
+from (select o_orderkey as seq, case when o_orderkey % 2 = 0 then 'rgb' else 'dsm' end as layer, year(o_orderdate) as yr, o_custkey div 7 as k, o_custkey % 7 = 6 as west from orders) t
 """
 
 # every order is a line of the log; its keys are the tiles of even columns only, so that tiles stay undone
