@@ -63,3 +63,25 @@ def test_items_of_all_orders_take_in_the_tiles_of_all_detections(spark):
     assert len(catalogue.QUERIES["patch_grid_25"](spark, SF).collect()) == 25 * len(tiles)
     outcomes = {r.tile_id: r.n_detections for r in catalogue.QUERIES["tile_outcomes"](spark, SF).collect()}
     assert sum(outcomes.values()) == table(spark, "lineitem").count() and 0 in outcomes.values()
+
+
+def test_all_events_are_scored(spark):
+    cents = {}
+    for r in table(spark, "events").select("user_id", "value").collect():
+        cents.setdefault(str(r.user_id), []).append(int(abs(r.value) * 100 + 0.5) * (1 if r.value >= 0 else -1))
+    found = {r.img: r.mean_conf for r in catalogue.QUERIES["mean_confidence"](spark, SF).collect()}
+    assert {i: found[i] for i in cents} == pytest.approx({i: sum(v) / len(v) for i, v in cents.items()}, abs=1)
+    assert len(found) > len(cents) and all(found[i] == 0 for i in found if i not in cents)
+
+
+def test_all_line_items_are_labelled(spark):
+    labels = [r.label for r in catalogue.QUERIES["yolo_labels"](spark, SF).collect()]
+    assert sum(len(x.splitlines()) for x in labels) == table(spark, "lineitem").count() and "" in labels
+
+
+def test_all_boxes_are_matched_or_left_over(spark):
+    n, background = table(spark, "lineitem").count(), 2
+    found = catalogue.QUERIES["confusion_matrix"](spark, SF).collect()
+    assert sum(r.n for r in found if r.pred_cls != background) == sum(r.n for r in found if r.true_cls != background) == n
+    hits = sum(r.n for r in found if background not in (r.pred_cls, r.true_cls))
+    assert 0 < hits < n

@@ -45,9 +45,10 @@ select p_partkey as idx,
 from part) t
 """
 
-VIEWS["preds"] = "select cast(user_id as string) img, event_id seq, round(value*100) as cents from events where user_id % 5 <> 0"
+VIEWS["preds"] = "select cast(user_id as string) img, event_id seq, round(value*100) as cents from events"
 
-VIEWS["images"] = "select distinct cast(user_id as string) img from events"
+# besides the users, images that have no predictions
+VIEWS["images"] = "select distinct cast(user_id as string) img from events union select distinct concat('empty_', cast(user_id div 4 as string)) from events"
 
 VIEWS["files"] = "select event_id as file_id, ts as mtime, cast(1 + round(value*100) as bigint) as size from events"
 
@@ -61,21 +62,24 @@ from dsm_grid
 VIEWS["annotations"] = """
 select concat('patch_', cast(l_partkey as string), '.tif') as file_name, l_orderkey*10000000 + l_suppkey*100 + l_linenumber as seq,
  ((l_orderkey*7919 + l_suppkey*31) % 10000)/10000.0D as cx, ((l_orderkey*104729 + l_linenumber*613) % 10000)/10000.0D as cy
-from lineitem where l_partkey % 3 <> 0
+from lineitem
 """
 
-VIEWS["patch_files"] = "select concat('patch_', cast(p_partkey as string), '.tif') as file_name from part"
+# besides the parts, patches that have no annotations
+VIEWS["patch_files"] = "select concat('patch_', cast(p_partkey as string), '.tif') as file_name from part union select concat('empty_', cast(p_partkey div 2 as string), '.tif') from part"
 
 VIEWS["iou_boxes"] = """
 select tile_id, rk, k1, k2, k3, k4, k5, easting - 6*k2 as xmin, northing - 6*k2 as ymin, easting + 6*k2 as xmax, northing + 6*k2 as ymax from det_raw
 """
 
 VIEWS["match_preds"] = """
-select tile_id as img, rk as p_id, cast(k1 % 2 as int) as cls, easting - 8 as xmin, northing - 8 as ymin, easting + 8 as xmax, northing + 8 as ymax from det_raw where rk % 2 = 0
+select tile_id as img, rk as p_id, cast(k1 % 2 as int) as cls, easting - 8 as xmin, northing - 8 as ymin, easting + 8 as xmax, northing + 8 as ymax from det_raw
 """
 
+# every other pair of truths lies 60 m east of its prediction, so that both are left over
 VIEWS["match_truths"] = """
-select tile_id as img, rk as t_id, cast((k1 div 2) % 2 as int) as cls, easting - 6.5 as xmin, northing - 8 as ymin, easting + 9.5 as xmax, northing + 8 as ymax from det_raw where rk % 4 = 0 or rk % 4 = 1
+select img, t_id, cls, xmin + away as xmin, ymin, xmax + away as xmax, ymax from (
+select tile_id as img, rk as t_id, cast((k1 div 2) % 2 as int) as cls, easting - 6.5 as xmin, northing - 8 as ymin, easting + 9.5 as xmax, northing + 8 as ymax, case when rk % 4 >= 2 then 60 else 0 end as away from det_raw) t
 """
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages")
