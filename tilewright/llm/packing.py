@@ -1,17 +1,16 @@
 """Best-fit packing of token sequences.
 
-Method: bulk-synchronous best-fit. Pieces and gaps are sorted by size. Sizes are
-whole numbers up to the capacity, so gaps of one size form runs of sequences, and
-a superstep takes all pieces of one size, from the largest down. Its sweep gives
-each piece, by its rank among those of its size, its successor among the gaps (the
-smallest that holds it, or a new sequence): rank r of a run of gaps goes to the
-(r // k)-th sequence of the run, if k such pieces fit into one. The gaps are then
-updated and the next superstep follows. The result is that of best-fit over all
-pieces in falling order of size, one at a time.
-
-How many pieces have each size settles all sweeps, so these need a table of at
-most ``capacity`` counts, and give one of intervals of ranks whose size depends on
-the capacity too, not on the corpus. Ranks and places are found on the executors.
+Method: a plan of best-fit from a histogram of sizes. It takes the place of
+bulk-synchronous sweeps over sorted pieces and gaps on Spark. Sizes are whole
+numbers up to the capacity, so gaps of one size form runs of sequences, and how many
+pieces have each size settles where all of them go. The driver goes through the
+sizes from the largest down, in a loop over at most ``capacity`` counts: rank r among
+the pieces of a size goes to the (r // k)-th sequence of the smallest gaps that hold
+it, if k such pieces fit into one, or to a new sequence. The result is that of
+best-fit over all pieces in falling order of size, one at a time.
+
+The plan is a table of intervals of ranks whose size depends on the capacity, not on
+the corpus. Executors rank the pieces and look their places up.
 """
 
 from __future__ import annotations
@@ -32,11 +31,6 @@ SHARD_PIECES = 1024
 #: Ranks of one size are below this.
 _RANKS = 1 << 40
 
-PIECES = 16_384
-#: A sequence is closed when no more than this share of it is empty.
-CLOSED = 0.01
-SUPERSTEPS = 4
-
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -72,7 +66,7 @@ def token_pieces(docs: DataFrame, capacity: int = 2048, end_id: int = 0, tokeniz
 
 
 class Sweeps:
-    """The supersteps over ``counts`` (size -> pieces), as intervals of ranks.
+    """The plan of best-fit over ``counts`` (size -> pieces), as intervals of ranks.
 
     An interval starts at (size, rank) and says into which sequence its first
     piece goes, how many pieces each sequence takes, and where in it they begin.
