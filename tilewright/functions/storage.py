@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``. Only a session that names none (a single-machine
-    test) gets one of its own."""
+    """``spark.checkpoint.dir``. Only a session on one machine (a test) that names
+    none gets one of its own."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = f"file://{tempfile.mkdtemp(prefix='tilewright-')}"
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")

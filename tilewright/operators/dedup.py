@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
@@ -57,12 +55,14 @@ def near_pairs(points: DataFrame, radius: float) -> DataFrame:
     return at.join(sent, ["tile_id", "i", "j"]).where((F.col("rk") < F.col("second")) & (d2 < radius * radius)).select("tile_id", F.col("rk").alias("first"), "second")
 
 
-def greedy_by_rounds(points: DataFrame, pairs: DataFrame, max_rounds: int = 200) -> DataFrame:
+def greedy_by_rounds(points: DataFrame, pairs: DataFrame) -> DataFrame:
     """The same greedy rule over any pairs (tile_id, first, second), without a
     task that holds a tile: in each round, points without an open point before
-    them are kept, and those behind a kept one go. Points: (tile_id, rk, ...)."""
+    them are kept, and those behind a kept one go. Points: (tile_id, rk, ...).
+    Each round settles the head of every chain, so there are as many rounds as the
+    longest chain of alternating decisions has links."""
     open_pairs, gone = pairs, None
-    for _ in range(max_rounds):
+    while True:
         # kept now: firsts that are nobody's second
         heads = open_pairs.select("tile_id", F.col("first").alias("rk")).distinct().join(open_pairs.select("tile_id", F.col("second").alias("rk")).distinct(), ["tile_id", "rk"], "left_anti")
         drop = open_pairs.join(heads.withColumnRenamed("rk", "first"), ["tile_id", "first"], "left_semi").select("tile_id", F.col("second").alias("rk")).distinct()
@@ -72,8 +72,6 @@ def greedy_by_rounds(points: DataFrame, pairs: DataFrame, max_rounds: int = 200)
         gone = drop if gone is None else gone.union(drop)
         left = open_pairs.join(drop.withColumnRenamed("rk", "second"), ["tile_id", "second"], "left_anti").join(drop.withColumnRenamed("rk", "first"), ["tile_id", "first"], "left_anti")
         open_pairs = written(left.select("tile_id", "first", "second"), "dedup-open")
-    else:
-        raise RuntimeError(f"still open after {max_rounds} rounds")
     return points if gone is None else points.join(gone, ["tile_id", "rk"], "left_anti")
 
 
@@ -124,6 +122,3 @@ def matched(predictions: DataFrame, truths: DataFrame, threshold: float = 0.5) -
         pairs = written(pairs.join(best.select("img", "p_id"), ["img", "p_id"], "left_anti").join(best.select("img", "t_id"), ["img", "t_id"], "left_anti").select(*old.columns), "match-pairs")
         forget(old)
     return pairs if found is None else found
-
-
-Dedup = Callable[[DataFrame], DataFrame]

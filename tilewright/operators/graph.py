@@ -6,20 +6,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from tilewright.functions.joins import spread_join
 from tilewright.functions.storage import forget, written
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
+def connected_components(edges: DataFrame) -> DataFrame:
     """(node, component): the smallest node of each component, for every node
     that has an edge. edges: (a, b) of one orderable type; loops, repeats and
     either direction are welcome, rows with a null end are ignored.
 
     Each round is two joins and two minimum aggregations; a hub's edges are
-    combined before the shuffle, and no neighbour list is ever built.
+    combined before the shuffle, its neighbours are dealt to many tasks, and no
+    neighbour list is ever built. Rounds grow with the logarithm of the nodes.
     """
     now = written(_down(edges.select("a", "b").where("a is not null and b is not null")), "cc")
     seen = None
-    for _ in range(max_rounds):
+    while True:
         state = Observation()
         after = _star(_star(now, larger=True), larger=False).observe(state, F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("hash"))
         after = written(after, "cc")
@@ -28,8 +30,6 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         if state.get == seen:
             break
         seen = state.get
-    else:
-        raise RuntimeError(f"no fixed point after {max_rounds} rounds")
     return now.select(F.col("a").alias("node"), F.col("b").alias("component")).union(now.select("b", "b").distinct())
 
 
@@ -44,8 +44,8 @@ def _star(edges: DataFrame, larger: bool) -> DataFrame:
     if larger:
         both = edges.union(edges.select("b", "a"))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("least"))
-        moved = both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("least").alias("b"))
+        moved = spread_join(both.where("b > a"), least, ["a"], by=["b"], how="inner").select(F.col("b").alias("a"), F.col("least").alias("b"))
     else:
         least = edges.groupBy("a").agg(F.min("b").alias("least"))
-        moved = edges.join(least, "a").select("b", "least").union(least.select("a", "least")).toDF("a", "b")
+        moved = spread_join(edges, least, ["a"], by=["b"], how="inner").select("b", "least").union(least.select("a", "least")).toDF("a", "b")
     return _down(moved)
