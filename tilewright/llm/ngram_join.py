@@ -12,10 +12,16 @@ Shapes that hurt at scale, and what is done about them:
   text with a million copies costs one row from there on;
 * buckets are not expanded into pairs. Each gives edges from its members to its
   least member, and the connected components of these edges are the *candidate
-  clusters*: whatever pair shares a bucket lies in one cluster;
-* a cluster is verified in blocks of bounded weight, each pair of blocks being
-  one task's work, as one product of 0/1 matrices. Blocks give counts and a
-  spanning forest, never the pairs.
+  clusters*: whatever pair shares a bucket lies in one cluster. A cluster of
+  bounded weight is one task's work, and each n-gram set travels once;
+* a passage that many texts share chains texts that are not alike into one large
+  cluster. Large clusters are taken apart before anything is verified, exactly, by
+  prefixes: sets of similarity s share an n-gram among the rarest (1 - s) of each,
+  and a frequent passage is not among these. How frequent an n-gram is, comes from
+  a table of FREQUENCIES counters, whatever the corpus;
+* what is still large then (many different texts that are alike) is verified in
+  blocks of bounded weight, each pair of blocks being one task's work, as one
+  product of 0/1 matrices. Blocks give counts and a spanning forest, never pairs.
 """
 
 from __future__ import annotations
@@ -32,14 +38,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tilewright.functions.joins import spread_join
 from tilewright.operators.graph import connected_components
 
-from .shared import forget, written
+from .shared import forget, slices, written, written_slim
 
 WORD = re.compile(r"\w+")
 #: Weight (n-grams, plus a charge for each text) of a block that one task holds.
 BLOCK_WEIGHT = 400_000
 TEXT_WEIGHT = 400
+#: Counters of n-grams by which large clusters are taken apart.
+FREQUENCIES = 1 << 18
 
 
 def bands_for(similarity: float, recall: float, rows: int = 5) -> int:
@@ -54,7 +63,8 @@ def words(text: str | None) -> list[str]:
 
 @lru_cache(maxsize=1)
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of an odd number modulo 2^64, and of its inverse."""
+    """Powers of an odd number modulo 2^64, and of its inverse; those of the last
+    length are kept."""
     base = 0x9E3779B97F4A7C15
     up, down = np.full(n, base, np.uint64), np.full(n, pow(base, -1, 2**64), np.uint64)
     up[0] = down[0] = 1
@@ -98,7 +108,7 @@ def band_keys(grams: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 def _signatures(batches: Iterator[pa.RecordBatch], n: int, bands: int, rows: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         digest, size, keys = [], [], []
         for text in batch.column(1).to_pylist():
             parts = words(text)
@@ -114,9 +124,47 @@ def _digest(parts: list[str]) -> bytes | None:
 
 
 def _grams(batches: Iterator[pa.RecordBatch], n: int) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         texts = [words(t) for t in batch.column(0).to_pylist()]
-        yield pa.RecordBatch.from_arrays([pa.array([_digest(t) for t in texts], pa.binary()), pa.array([ngrams(t, n).tobytes() for t in texts], pa.binary())], ["digest", "grams"])
+        yield pa.RecordBatch.from_arrays([pa.array([_digest(t) for t in texts], pa.binary()), pa.array([ngrams(t, n).view(np.int64) for t in texts], pa.list_(pa.int64()))], ["digest", "grams"])
+
+
+def _prefixes(batches: Iterator[pa.RecordBatch], frequency, similarity: float) -> Iterator[pa.RecordBatch]:
+    """Of each set the rarest n-grams, so many that sets of this similarity have
+    one of them in common."""
+    counts, s = frequency.value, round(similarity * 1_000_000)
+    for batch in slices(batches):
+        found = []
+        for grams in batch.column(2).to_pylist():
+            grams = np.array(grams, np.int64)
+            keep = len(grams) + s * len(grams) // -1_000_000 + 1
+            found.append(grams[np.lexsort((grams, counts[grams % FREQUENCIES]))[:keep]])
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.list_(pa.int64()))], ["cluster", "key", "prefix"])
+
+
+def _taken_apart(large: DataFrame, similarity: float) -> DataFrame:
+    """(key, cluster): members of large clusters (cluster, key, grams) in smaller
+    clusters, which still hold every pair of this similarity. Members that can
+    have no such partner are left out."""
+    sc = large.sparkSession.sparkContext
+    counts = np.zeros(FREQUENCIES, np.int64)
+    # one row for each counter at most
+    for r in large.select(F.explode("grams").alias("g")).groupBy(F.pmod("g", F.lit(FREQUENCIES)).alias("at")).count().toLocalIterator():
+        counts[r["at"]] = r["count"]
+    frequency = sc.broadcast(counts)
+    rare = large.select("cluster", "key", "grams").mapInArrow(lambda it: _prefixes(it, frequency, similarity), "cluster long, key long, prefix array<long>")
+    met = written(rare.select("cluster", "key", F.explode("prefix").alias("gram")), "ngram-prefixes")
+    frequency.destroy()
+    heads = met.groupBy("cluster", "gram").agg(F.min("key").alias("head"), F.count("*").alias("met")).where("met > 1").drop("met")
+    apart = connected_components(spread_join(met, heads, ["cluster", "gram"], by=["key"], how="inner").where("key <> head").select(F.col("key").alias("a"), F.col("head").alias("b")))
+    forget(met)
+    return apart.toDF("key", "cluster")
+
+
+def _in_blocks(members: DataFrame) -> DataFrame:
+    """Members (cluster, key, n_grams, ...) with the blocks of their cluster."""
+    weight = members.groupBy("cluster").agg(F.sum(F.col("n_grams") + TEXT_WEIGHT).alias("weight")).withColumn("n_blocks", F.ceil(F.col("weight") / BLOCK_WEIGHT).cast("int"))
+    return spread_join(members, weight, ["cluster"], by=["key"], how="inner")
 
 
 def _verify_bin(pdf: pd.DataFrame, similarity: float) -> pd.DataFrame:
@@ -133,7 +181,7 @@ def _verify(pdf: pd.DataFrame, similarity: float) -> pd.DataFrame:
 
     A block against itself counts both ends of a pair; block i against j > i too.
     """
-    sets = [np.frombuffer(g, np.uint64) for g in pdf["grams"]]
+    sets = list(pdf["grams"])
     ids, copies = pdf["key"].to_numpy(), pdf["n_copies"].to_numpy()
     side, sizes = pdf["side"].to_numpy(), np.array([len(s) for s in sets])
     left, right = np.flatnonzero(side != 1), np.flatnonzero(side != 0)
@@ -203,7 +251,7 @@ def ngram_jaccard_join(docs: DataFrame, n: int = 5, similarity: float = 0.8, rec
     """
     bands = bands_for(similarity, recall, rows)
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    signed = written(
+    signed = written_slim(
         slim.mapInArrow(lambda it: _signatures(it, n, bands, rows), "doc_id long, digest binary, n_grams int, bands array<long>").withColumn("row", F.monotonically_increasing_id()),
         "ngram-signatures",
     )
@@ -216,44 +264,51 @@ def ngram_jaccard_join(docs: DataFrame, n: int = 5, similarity: float = 0.8, rec
 
     met = classes.select("key", F.posexplode("bands").alias("band", "hash"))
     heads = met.groupBy("band", "hash").agg(F.min("key").alias("head"), F.count("*").alias("met")).where("met > 1").select("band", "hash", "head")
-    edges = met.join(heads, ["band", "hash"]).where("key <> head").select(F.col("key").alias("a"), F.col("head").alias("b"))
+    edges = spread_join(met, heads, ["band", "hash"], by=["key"], how="inner").where("key <> head").select(F.col("key").alias("a"), F.col("head").alias("b"))
     clusters = connected_components(edges).toDF("key", "cluster")
 
-    # blocks of bounded weight; small clusters share bins of as much
+    # n-gram sets of the members alone, from their whole texts
     member = written(clusters.join(classes.drop("bands"), "key"), "ngram-members")
-    weight = member.groupBy("cluster").agg(F.sum(F.col("n_grams") + TEXT_WEIGHT).alias("weight")).withColumn("n_blocks", F.ceil(F.col("weight") / BLOCK_WEIGHT).cast("int"))
-    light = weight.where("n_blocks = 1").agg(F.sum("weight")).first()[0] or 0
+    ids = member.select(F.col("text_class").alias("doc_id")).distinct().alias("m")
+    sets = slim.join(ids, slim["doc_id"].eqNullSafe(F.col("m.doc_id")), "left_semi").select("text").mapInArrow(lambda it: _grams(it, n), "digest binary, grams array<long>")
+    held = written_slim(_in_blocks(member).join(sets.dropDuplicates(["digest"]), "digest").select("cluster", "key", "n_copies", "n_grams", "weight", "n_blocks", "grams"), "ngram-sets")
+
+    # small clusters share bins of bounded weight; large ones are taken apart and then cut into blocks
+    small, large = held.where("n_blocks = 1"), held.where("n_blocks > 1")
+    if not large.isEmpty():
+        apart = _in_blocks(large.drop("cluster", "weight", "n_blocks", "grams").join(_taken_apart(large, similarity), "key"))
+        apart = written(apart.join(large.select("key", "grams"), "key"), "ngram-apart")
+        small, large = small.unionByName(apart.where("n_blocks = 1")), apart.where("n_blocks > 1")
+    else:
+        apart = None
+    light = small.agg(F.sum(F.col("n_grams") + TEXT_WEIGHT)).first()[0] or 0
     n_bins = max(1, math.ceil(light / BLOCK_WEIGHT))
-    blocks = member.join(weight, "cluster").withColumn("block", F.pmod(F.xxhash64("key"), F.col("n_blocks")).cast("int"))
-
-    # n-gram sets of the members alone, from their whole texts
-    sets = slim.join(member.select(F.col("text_class").alias("doc_id")).distinct().alias("m"), slim["doc_id"].eqNullSafe(F.col("m.doc_id")), "left_semi").select("text").mapInArrow(lambda it: _grams(it, n), "digest binary, grams binary")
-    i, j = F.least("block", "other"), F.greatest("block", "other")
-    dealt = (
-        blocks.join(sets.dropDuplicates(["digest"]), "digest")
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
-        .select("cluster", "n_blocks", "key", "n_copies", "grams", i.alias("i"), j.alias("j"), F.when(F.col("block") == F.col("other"), 2).when(F.col("block") < F.col("other"), 0).otherwise(1).alias("side"))
-        .withColumn("bin", F.when(F.col("n_blocks") == 1, F.pmod(F.xxhash64("cluster"), F.lit(n_bins))).otherwise(-1 - F.col("cluster")))
-    )
-    found = written(dealt.groupBy("bin", "i", "j").applyInPandas(lambda pdf: _verify_bin(pdf, similarity), "key long, peer long, whole boolean, n_links long, n_docs long"), "ngram-links")
+    columns = ["cluster", "n_blocks", "key", "n_copies", "grams"]
+    binned = small.select(*columns, F.lit(0).alias("i"), F.lit(0).alias("j"), F.lit(2).alias("side"), F.pmod(F.xxhash64("cluster"), F.lit(n_bins)).alias("bin"))
+    block = large.withColumn("block", F.pmod(F.xxhash64("key"), F.col("n_blocks")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1)))
+    side = F.when(F.col("block") == F.col("other"), 2).when(F.col("block") < F.col("other"), 0).otherwise(1)
+    blocks = block.select(*columns, F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), side.alias("side"), (-1 - F.col("cluster")).alias("bin"))
+    found = written(binned.unionByName(blocks).groupBy("bin", "i", "j").applyInPandas(lambda pdf: _verify_bin(pdf, similarity), "key long, peer long, whole boolean, n_links long, n_docs long"), "ngram-links")
 
     across = connected_components(found.where("not whole").select(F.col("key").alias("a"), F.col("peer").alias("b"))).toDF("key", "far")
     links = found.groupBy("key").agg(F.sum("n_links").alias("n_links"), F.sum("n_docs").alias("n_docs"), F.min(F.when(F.col("whole"), F.col("peer"))).alias("near")).join(across, "key", "left")
-    named = classes.drop("bands", "n_grams").join(links, "key", "left").withColumn("group", F.coalesce("far", "near", "key"))
+    named = written(classes.drop("bands", "n_grams").join(links, "key", "left").withColumn("group", F.coalesce("far", "near", "key")), "ngram-named")
     least = named.groupBy("group").agg(F.min("text_class").alias("class_id"))
-    by_class = named.join(least, "group").select("digest", "text_class", "class_id", "n_copies", "n_links", "n_docs")
+    by_class = spread_join(named, least, ["group"], by=["key"], how="inner").select("digest", "text_class", "class_id", "n_copies", "n_links", "n_docs")
+    bare = signed.where("digest is null").select("doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("text_class"), F.lit(1).cast("long").alias("n_copies"), F.lit(0).cast("long").alias("n_links"), F.lit(0).cast("long").alias("n_doc_links"))
+    wordy = spread_join(signed.where("digest is not null").select("doc_id", "digest", "row"), by_class, ["digest"], by=["row"], how="inner")
     result = written(
-        signed.select("doc_id", "digest").join(by_class, "digest", "left").select(
+        wordy.select(
             "doc_id",
             F.coalesce("class_id", "doc_id").alias("class_id"),
             F.coalesce("text_class", "doc_id").alias("text_class"),
-            F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"),
+            "n_copies",
             F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-            (F.coalesce("n_docs", F.lit(0)) + F.coalesce("n_copies", F.lit(1)) - 1).cast("long").alias("n_doc_links"),
-        ),
+            (F.coalesce("n_docs", F.lit(0)) + F.col("n_copies") - 1).cast("long").alias("n_doc_links"),
+        ).unionByName(bare),
         "ngram-join",
     )
-    forget(signed, classes, member, found)
+    forget(signed, classes, member, held, found, named, *([apart] if apart else []))
     return result
 
 

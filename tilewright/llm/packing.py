@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import written
+from .shared import slices, written_slim
 from .tokenise import default_tokenizer, encoder
 
 #: Pieces of one size that are ranked together; more are dealt out first.
@@ -45,15 +45,13 @@ def cut(length: int, capacity: int) -> list[tuple[int, int]]:
 
 def _pieces(batches: Iterator[pa.RecordBatch], path: str, capacity: int, end_id: int) -> Iterator[pa.RecordBatch]:
     end = np.array([end_id], "<u4").tobytes()
-    for whole in batches:
-        for at in range(0, whole.num_rows, 500):
-            batch = whole.slice(at, 500)
-            rows = []
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder(path).encode(batch.column(1).to_pylist()), strict=True):
-                ids += end
-                rows += [(doc_id, k, s, n, zlib.crc32(memoryview(ids)[4 * s : 4 * (s + n)])) for k, (s, n) in enumerate(cut(len(ids) // 4, capacity))]
-            kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], ["doc_id", "piece", "start", "length", "ids_crc32"])
+    for batch in slices(batches):
+        rows = []
+        for doc_id, ids in zip(batch.column(0).to_pylist(), encoder(path).encode(batch.column(1).to_pylist()), strict=True):
+            ids += end
+            rows += [(doc_id, k, s, n, zlib.crc32(memoryview(ids)[4 * s : 4 * (s + n)])) for k, (s, n) in enumerate(cut(len(ids) // 4, capacity))]
+        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
 
 def token_pieces(docs: DataFrame, capacity: int = 2048, end_id: int = 0, tokenizer: str | None = None) -> DataFrame:
@@ -149,7 +147,7 @@ def pack_pieces(pieces: DataFrame, capacity: int = 2048, shard_pieces: int = SHA
     are an error. At most about ``shard_pieces`` of one length are sorted together.
     """
     sc, names = pieces.sparkSession.sparkContext, pieces.columns
-    held = written(pieces.withColumn("length", F.col("length").cast("long")).withColumn("__row", F.monotonically_increasing_id()), "pack-pieces")
+    held = written_slim(pieces.withColumn("length", F.col("length").cast("long")).withColumn("__row", F.monotonically_increasing_id()), "pack-pieces")
     low, high, bad = held.agg(F.min("length"), F.max("length"), F.count_if(F.col("length").isNull())).first()
     if bad or low is not None and (low < 1 or high > capacity):
         raise ValueError(f"lengths must be from 1 to {capacity}")

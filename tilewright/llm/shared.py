@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from tilewright.functions.storage import forget, fresh_path, shared_folder, written
 
-__all__ = ["forget", "fresh_path", "open_store", "shared_folder", "table", "written"]
+__all__ = ["forget", "fresh_path", "open_store", "shared_folder", "slices", "table", "written", "written_slim"]
+
+#: Rows of whole texts that a task turns into Python objects at a time.
+SLICE_ROWS = 250
+#: Bytes of an Arrow batch of whole texts.
+BATCH_BYTES = "4m"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,3 +29,29 @@ def open_store(uri: str):
     if uri.startswith("file:") and "://" not in uri:
         uri = uri.replace("file:", "file://", 1)
     return fs.FileSystem.from_uri(uri if "://" in uri else f"file://{uri}")
+
+
+def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of few rows. Memory that Arrow holds in reserve goes
+    back at the end, since the worker lives on."""
+    try:
+        for batch in batches:
+            for at in range(0, batch.num_rows, rows):
+                yield batch.slice(at, rows)
+    finally:
+        pa.default_memory_pool().release_unused()
+
+
+def written_slim(df: DataFrame, name: str, path: str | None = None) -> DataFrame:
+    """:func:`written` (or a write to ``path``) of a table that whole texts are read
+    for, with Arrow batches of few bytes, so that tasks hold few texts."""
+    spark, key = df.sparkSession, "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, BATCH_BYTES)
+    try:
+        if path is None:
+            return written(df, name)
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+    finally:
+        spark.conf.set(key, before)

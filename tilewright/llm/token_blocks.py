@@ -24,16 +24,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import fresh_path, open_store
+from .shared import fresh_path, open_store, slices, written_slim
 from .tokenise import default_tokenizer, encoder
 
 MAGIC = b"PFOR1\n"
 BLOCK = 1024
 WIDTH_SHARE = 0.95
 _HEAD, _FOOT = struct.Struct("<IHBHI"), struct.Struct("<QQQQQ6s")
+#: Letters of the text that order rows of one doc_id.
+TIE_LETTERS = 16
 #: doc_id that stands for null.
 NO_ID = -(2**63)
 
@@ -140,21 +143,18 @@ class BlockReader:
 
 def _write(batches: Iterator[pa.RecordBatch], folder: str, path: str, end_id: int) -> Iterator[pa.RecordBatch]:
     end, writer, name = np.array([end_id], "<u4").tobytes(), None, None
-    for whole in batches:
-        for at in range(0, whole.num_rows, 500):
-            batch = whole.slice(at, 500)
-            if writer is None:
-                store, place = open_store(folder)
-                name = f"ids-{uuid.uuid4().hex}.pfor"
-                store.create_dir(place, recursive=True)
-                writer = BlockWriter(store.open_output_stream(f"{place}/{name}"))
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder(path).encode(batch.column(1).to_pylist()), strict=True):
-                writer.add(doc_id, ids + end)
+    for batch in slices(batches):
+        if writer is None:
+            store, place = open_store(folder)
+            name = f"ids-{uuid.uuid4().hex}.pfor"
+            store.create_dir(place, recursive=True)
+            writer = BlockWriter(store.open_output_stream(f"{place}/{name}"))
+        for doc_id, ids in zip(batch.column(0).to_pylist(), encoder(path).encode(batch.column(1).to_pylist()), strict=True):
+            writer.add(doc_id, ids + end)
     if writer is not None:
         writer.close()
-        docs = [d for d in writer.docs if d != NO_ID]
-        row = [[name], [min(docs, default=None)], [len(writer.docs)], [sum(writer.sizes)]]
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(row, (pa.string(), *[pa.int64()] * 3), strict=True)], ["file", "least", "n_docs", "n_ids"])
+        row = [[name], [TaskContext.get().partitionId()], [len(writer.docs)], [sum(writer.sizes)]]
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(row, (pa.string(), *[pa.int64()] * 3), strict=True)], ["file", "part", "n_docs", "n_ids"])
 
 
 def write_token_blocks(docs: DataFrame, folder: str | None = None, end_id: int = 2, tokenizer: str | None = None) -> str:
@@ -164,13 +164,16 @@ def write_token_blocks(docs: DataFrame, folder: str | None = None, end_id: int =
     ``folder/manifest`` lists the files of the tasks that were committed; a file
     that a lost or repeated task left behind is in no list, so it is never read.
     Null and empty texts have the end id alone; null doc_ids come first. Rows
-    with the same doc_id are all written, ordered by their text.
+    with the same doc_id are all written, ordered by the first letters of their
+    text and then as they were read, so that any number of them is dealt to many
+    tasks.
     """
     folder = folder or fresh_path(docs.sparkSession, "token-blocks")
     path = tokenizer or default_tokenizer()
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    ordered = slim.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    ordered.mapInArrow(lambda it: _write(it, f"{folder}/files", path, end_id), "file string, least long, n_docs long, n_ids long").write.parquet(f"{folder}/manifest")
+    order = ["doc_id", F.substr("text", F.lit(1), F.lit(TIE_LETTERS)), "row"]
+    ordered = slim.withColumn("row", F.monotonically_increasing_id()).repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
+    written_slim(ordered.mapInArrow(lambda it: _write(it, f"{folder}/files", path, end_id), "file string, part long, n_docs long, n_ids long"), "manifest", f"{folder}/manifest")
     return folder
 
 
@@ -201,7 +204,7 @@ def read_token_blocks(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, start (ids of all documents before it), n_tokens and ids_crc32 of
     every document, decoded from the files. The list of files, a row for each
     task that wrote, gives the ids before each file."""
-    files = spark.read.parquet(f"{folder}/manifest").orderBy(F.col("least").asc_nulls_first()).collect()
+    files = spark.read.parquet(f"{folder}/manifest").orderBy("part").collect()
     before = np.concatenate(([0], np.cumsum([f.n_ids for f in files]))).tolist()
     rows = spark.createDataFrame([(f.file, b) for f, b in zip(files, before, strict=False)], "file string, before long")
     return rows.repartition(max(1, len(files))).mapInArrow(lambda it: _read(it, f"{folder}/files"), "doc_id long, start long, n_tokens long, ids_crc32 long")

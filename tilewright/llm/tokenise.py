@@ -36,31 +36,41 @@ def _byte_letters() -> dict[int, str]:
 
 _LETTERS = _byte_letters()
 _STOPS = frozenset(".,;:!?")
+#: Longer units are not remembered. Bytes of an entry besides its letters and ids.
+_LONGEST, _ENTRY = 64, 170
 
 
 class TextEncoder:
     """``encode(texts)`` gives, per text, its ids as little-endian uint32 bytes.
 
-    remember: units whose ids are kept, which bounds the memory of a worker.
+    remember: bytes of the units and ids that are kept, which bounds the memory of a
+    worker; long units are never kept.
     """
 
-    def __init__(self, path: str, remember: int = 800_000):
+    def __init__(self, path: str, remember: int = 64 << 20):
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
             spec = f.read()
         self.tokenizer = Tokenizer.from_str(spec)
-        self.remember = remember
+        self.room = remember
         self.by_unit = _splits_at_spaces(json.loads(spec))
+        # ids of units behind a space, and of pre-tokens of any other kind
         self.tails: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
 
     def _library(self, texts: list[str]) -> list[bytes]:
         return [np.asarray(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _keep(self, memo: dict[str, bytes], unit: str, ids: bytes) -> None:
+        if self.room > 0 and len(unit) <= _LONGEST and unit not in memo:
+            memo[unit] = ids
+            self.room -= _ENTRY + len(unit) + len(ids)
+
     def _word(self, word: str) -> bytes:
         """The ids of one pre-token."""
-        found = self.words.get(word)
+        memo, key = (self.tails, word[1:]) if word[0] == " " and word[1:].isalpha() else (self.words, word)
+        found = memo.get(key)
         if found is None:
             if word.isascii() and word.isalnum():
                 letters = word
@@ -68,8 +78,7 @@ class TextEncoder:
                 letters = word.encode().decode("latin-1").translate(_LETTERS)
             ids = [t.id for t in self.tokenizer.model.tokenize(letters)]
             found = struct.pack(f"<{len(ids)}I", *ids)
-            if len(self.words) < self.remember:
-                self.words[word] = found
+            self._keep(memo, key, found)
         return found
 
     def _units(self, units: list[str], lead: str) -> list[bytes]:
@@ -126,8 +135,8 @@ class TextEncoder:
             for k, u in zip(at[1:], missing[1:], strict=True):
                 ids[k] = tails[u]
             out[i] = b"".join(ids)
-        if len(self.tails) + len(tails) <= self.remember // 2:
-            self.tails.update(tails)
+        for u, ids in tails.items():
+            self._keep(self.tails, u, ids)
         return out
 
 
@@ -144,7 +153,7 @@ def _splits_at_spaces(spec: dict) -> bool:
     )
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def encoder(path: str) -> TextEncoder:
     """One encoder per Python worker, kept between tasks."""
     import os
