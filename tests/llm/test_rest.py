@@ -257,3 +257,152 @@ def test_budget_below_one_pass_and_empty(spark):
     found = mix_sources(table, target_entropy=math.log(2), max_epochs=None, budget=1000).collect()
     assert Counter(r.source for r in found) == {"s": 125, "t": 125} and len({r.doc_id for r in found}) == 250
     assert mix_sources(table.limit(0)).count() == 0
+
+
+def plain_mix(rows, max_epochs, place_of, turn_of, runs_of, block_docs):
+    """Occurrences (row index, epoch) by plain Python. place_of(row, full), turn_of(block): the operator's hashes."""
+    tokens = [len((t or "").split()) + 1 for _, t, _ in rows]
+    total, of = Counter(), {}
+    for k, (_, _, s) in enumerate(rows):
+        total[s] += tokens[k]
+        of.setdefault(s, []).append(k)
+    share = {s: n / sum(total.values()) for s, n in total.items()}
+
+    def passes(x):
+        raw = {s: p**x for s, p in share.items()}
+        ratio = {s: raw[s] / share[s] for s in share}
+        return {s: r / min(ratio.values()) for s, r in ratio.items()}
+
+    low, high = 0.0, 1.0
+    if max(passes(0.0).values()) <= max_epochs:
+        high = 0.0
+    for _ in range(60 if high else 0):
+        mid = (low + high) / 2
+        low, high = (mid, high) if max(passes(mid).values()) > max_epochs else (low, mid)
+    out = []
+    for s, ks in of.items():
+        p = min(passes(high)[s], max_epochs)
+        full, rest, n_blocks = int(p), round(p % 1 * total[s]), -(-len(ks) // block_docs)
+        out += [(k, e) for k in ks for e in range(full)]
+        blocks = {}
+        for k in ks:
+            place, block = place_of(k, full, n_blocks)
+            blocks.setdefault((runs_of(block, n_blocks), turn_of(block), block), []).append((place, k))
+        used = 0
+        for at in sorted(blocks):
+            for _, k in sorted(blocks[at]):
+                if used < rest:
+                    out.append((k, full))
+                used += tokens[k]
+    return Counter(out)
+
+
+def test_mix_against_plain_python(spark, monkeypatch):
+    import tilewright.llm.mixing as m
+    from pyspark.sql import functions as F
+
+    monkeypatch.setattr(m, "BLOCK_DOCS", 16)
+    monkeypatch.setattr(m, "RUN_BLOCKS", 8)
+    rng = random.Random(12)
+    rows = [(k, "w " * rng.randrange(1, 60), "big" if k % 3 else ("b" if k % 2 else None)) for k in range(2500)] + [(9000 + k, "x y", "tiny") for k in range(40)]
+    table = docs(spark, rows)
+
+    hashes = {(r.doc_id, r.full): r.place for r in table.withColumn("h", F.xxhash64(*table.columns)).crossJoin(spark.range(1, 3).select(F.col("id").cast("int").alias("full"))).select("doc_id", "full", F.xxhash64("h", F.lit(17), "full").alias("place")).collect()}
+    numbers = spark.createDataFrame([(p,) for p in sorted(set(hashes.values()))], "p long")
+    spread = {r.p: r.h for r in numbers.select("p", F.xxhash64("p", F.lit("block")).alias("h")).collect()}
+    turns = {r.id: r.t for r in spark.range(400).select("id", F.xxhash64("id", F.lit(17)).alias("t")).collect()}
+
+    def place_of(k, full, n_blocks):
+        place = hashes[rows[k][0], full]
+        return place, spread[place] % n_blocks
+
+    def runs_of(block, n_blocks):
+        return ((turns[block] >> 33) + (1 << 30)) * max(1, -(-n_blocks // 8)) // (1 << 31)
+
+    expected = plain_mix(rows, 1.5, place_of, turns.get, runs_of, 16)
+    found = Counter((r.doc_id, r.mix_epoch) for r in mix_sources(table.repartition(3), max_epochs=1.5).collect())
+    assert found == Counter({(rows[k][0], e): n for (k, e), n in expected.items()})
+
+
+def test_mix_with_clashing_columns_repeats_and_long_texts(spark):
+    names = "rest, full, n_blocks, before, b_source, block, turn, run, row, at, src, place, end, row_hash".split(", ")
+    table = spark.createDataFrame([(k % 20, "a b " * (30_000 if k == 5 else 2), "s" if k % 4 else None, *[k] * 0) for k in range(200)], "doc_id long, text string, source string")
+    wide = table.select("*", *[table.doc_id.alias(n) for n in names])
+    found = mix_sources(wide, max_epochs=1.5)
+    assert found.columns == [*wide.columns, "mix_epoch", "mix_tokens", "mix_exponent", "mix_weight"]
+    rows = found.collect()
+    assert sum(r.mix_epoch == 0 for r in rows) == 200 and max(r.mix_tokens for r in rows) == 60_001
+    with pytest.raises(ValueError, match="mix_epoch"):
+        mix_sources(table.withColumn("MIX_EPOCH", table.doc_id))
+    assert mix_sources(wide.limit(0)).columns == found.columns
+
+
+# --- toxicity against plain Python
+
+
+def plain_scores(rows, labels, k=15):
+    """doc_id -> score, from the words up: telling terms, TF-IDF, all cosines, votes. For unique doc_ids and texts."""
+    import re
+
+    fold = {d: zlib.crc32(str(d).encode()) % 5 for d, *_ in rows}
+    words = {d: Counter(re.findall(r"\w+", (t or "").lower())) for d, t, *_ in rows}
+    learnt = {d: y for d, y in labels.items() if fold[d]}
+
+    def forms(w):
+        return [w, *(w[:n] + "*" for n in range(3, 9) if len(w) >= n)]
+
+    n1 = sum(learnt.values())
+    n0 = len(learnt) - n1
+    seen = {0: Counter(), 1: Counter()}
+    for d, y in learnt.items():
+        seen[y].update({f for w in words[d] for f in forms(w)})
+    telling = set()
+    for t in {*seen[0], *seen[1]}:
+        a, b = seen[1][t], seen[0][t]
+        p = (a + b) / (n0 + n1)
+        cells = [(a, n1 * p), (b, n0 * p), (n1 - a, n1 * (1 - p)), (n0 - b, n0 * (1 - p))]
+        ratio = 2 * sum(x * math.log(x / e) for x, e in cells if x > 0)
+        risk = (a + 0.5) / (n1 + 1) / ((b + 0.5) / (n0 + 1))
+        if round(ratio, 6) >= 30 and max(risk, 1 / risk) >= 10:
+            telling.add(t)
+    counts = {}
+    for d, by in words.items():
+        c, n = Counter(), 0
+        for w, times in by.items():
+            hit = [f for f in forms(w) if f in telling]
+            n += bool(hit)
+            c.update({f: times for f in hit})
+        if n:
+            c[f"#{min(n, 6)}"] = 2
+        counts[d] = c
+    frequency = Counter(t for c in counts.values() for t in c)
+
+    def unit(c):
+        v = {t: (1 + math.log(n)) * (math.log((1 + len(rows)) / (1 + frequency[t])) + 1) for t, n in c.items()}
+        size = math.sqrt(sum(x * x for x in v.values()))
+        return {t: x / size for t, x in v.items()}
+
+    units = {d: unit(c) for d, c in counts.items()}
+    base = n1 / (n0 + n1)
+    blank = [y for d, y in learnt.items() if not counts[d]]
+    out = {}
+    for d in units:
+        if not units[d]:
+            out[d] = (sum(blank) + 0.05 * base) / (len(blank) + 0.05)
+            continue
+        near = sorted(((sum(x * units[e].get(t, 0) for t, x in units[d].items()), e) for e in learnt), key=lambda x: (-round(x[0], 12), x[1]))[:k]
+        near = [(s, e) for s, e in near if s > 0]
+        out[d] = (sum(s * learnt[e] for s, e in near) + 0.05 * base) / (sum(s for s, _ in near) + 0.05)
+    return out
+
+
+def test_scores_against_plain_python(spark):
+    rows, labels = toxic_corpus(400)
+    rows += [(1000, None, None), (1001, "", None), (1002, "rotten " * 40_000, "s"), (1003, "nasty vilest rotten", None)]
+    expected = plain_scores(rows, {d: y for d, _, y in labels})
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    clash = docs(spark, rows).selectExpr("*", "doc_id as terms", "doc_id as score", "doc_id as toxic", "doc_id as pick")
+    found = {r.doc_id: r.score for r in score_toxicity(clash, marks).collect()}
+    assert found == pytest.approx(expected, abs=1e-6) and len({round(x, 6) for x in found.values()}) > 5
+    kept = drop_toxic(clash, marks)
+    assert kept.columns == clash.columns and {r.doc_id for r in kept.collect()} == {d for d, s in expected.items() if s < 0.5}

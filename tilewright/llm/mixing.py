@@ -16,11 +16,14 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import written
+from .shared import forget, written
 
-#: Documents of a block, on average.
-BLOCK_DOCS = 256
+#: Documents of a block, on average; blocks that one task puts in order.
+BLOCK_DOCS, RUN_BLOCKS = 256, 4096
 STEPS = 60
+#: Sources that are weighed at most.
+MOST_SOURCES = 10_000
+ADDED = ("mix_epoch", "mix_tokens", "mix_exponent", "mix_weight")
 
 
 def tempered(shares: dict, exponent: float) -> dict:
@@ -79,15 +82,23 @@ def mix_sources(docs: DataFrame, target_entropy: float | None = None, max_epochs
 
     A null source is one like any other; a null text has one token. Repeated rows
     pass as often as they come. An empty table gives an empty mix. Columns of the
-    names that are added must not be there already.
+    names that are added must not be there already; any others may be. Sources are
+    weighed on the driver: at most MOST_SOURCES, more are an error.
     """
-    tokens = F.coalesce(F.regexp_count("text", F.lit(r"\S+")), F.lit(0)) + 1
     names = docs.columns
-    sized = docs.withColumn("mix_tokens", tokens.cast("long"))
-    found = sized.groupBy("source").agg(F.sum("mix_tokens").alias("tokens"), F.count("*").alias("rows")).collect()
+    if clash := sorted({c.lower() for c in names} & set(ADDED)):
+        raise ValueError(f"columns are there already: {clash}")
+    spark = docs.sparkSession
+    tokens = F.coalesce(F.regexp_count("text", F.lit(r"\S+")), F.lit(0)) + 1
+    # the user's columns stay in a struct of their own, so no name can clash
+    sized = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col("source").alias("src"), tokens.cast("long").alias("mix_tokens"), F.xxhash64(*[F.col(f"`{c}`") for c in names]).alias("row_hash"))
+    slim = written(sized.select("src", "mix_tokens", "row_hash"), "mix-sizes")
+    found = slim.groupBy("src").agg(F.sum("mix_tokens").alias("tokens"), F.count("*").alias("n")).limit(MOST_SOURCES + 1).collect()
+    if len(found) > MOST_SOURCES:
+        raise ValueError(f"more than {MOST_SOURCES} sources")
     if not found:
-        return sized.select(*names, F.lit(0).alias("mix_epoch"), "mix_tokens", F.lit(1.0).alias("mix_exponent"), F.lit(1.0).alias("mix_weight"))
-    totals = {r.source: r.tokens for r in found}
+        return docs.select(*names, F.lit(0).alias("mix_epoch"), F.lit(0).cast("long").alias("mix_tokens"), F.lit(1.0).alias("mix_exponent"), F.lit(1.0).alias("mix_weight"))
+    totals = {r.src: r.tokens for r in found}
     whole = sum(totals.values())
     shares = {s: t / whole for s, t in totals.items()}
     exponent = bisected(shares, target_entropy, max_epochs)
@@ -97,32 +108,38 @@ def mix_sources(docs: DataFrame, target_entropy: float | None = None, max_epochs
     else:
         passes = {s: budget * weights[s] / totals[s] for s in totals}
     # whole passes, the tokens of the last, partial one, and the blocks of the source
-    plan = [(r.source, int(passes[r.source]), round(passes[r.source] % 1 * r.tokens), -(-r.rows // BLOCK_DOCS), weights[r.source]) for r in found]
-    spark = docs.sparkSession
+    plan = [(r.src, int(passes[r.src]), round(passes[r.src] % 1 * r.tokens), -(-r.n // BLOCK_DOCS), weights[r.src]) for r in found]
     kind = f"mix_source {dict(docs.dtypes)['source']}, full int, rest long, n_blocks long, mix_weight double"
-    plan = F.broadcast(spark.createDataFrame(plan, kind))  # a row for each source
-    rows = (
-        sized.join(plan, F.col("source").eqNullSafe(F.col("mix_source")))
-        .withColumn("mix_row", F.xxhash64(*names, F.lit(seed), "full"))
-        .withColumn("mix_block", F.pmod(F.xxhash64("mix_row", F.lit("block")), F.col("n_blocks")))
-    )
-
-    # tokens of each block, and of the blocks before it in the permutation
-    blocks = rows.groupBy("mix_source", "mix_block").agg(F.sum("mix_tokens").alias("block_tokens"), F.first("rest").alias("block_rest"))
-    order = Window.partitionBy("mix_source").orderBy(F.xxhash64("mix_block", F.lit(seed)), "mix_block")
-    before = F.sum("block_tokens").over(order) - F.col("block_tokens")
-    blocks = written(blocks.withColumn("before", before).withColumn("inside", F.col("before") + F.col("block_tokens") <= F.col("block_rest")), "mix-blocks")
-
-    # a block that the budget holds whole passes once more than the others
-    added = ["mix_epoch", "mix_tokens", F.lit(exponent).alias("mix_exponent"), "mix_weight"]
-    once_more = blocks.where("inside").select(F.col("mix_source").alias("b_source"), F.col("mix_block").alias("b_block"), F.lit(1).alias("more"))
-    at_block = (F.col("mix_block") == F.col("b_block")) & F.col("mix_source").eqNullSafe(F.col("b_source"))
-    times = F.col("full") + F.coalesce("more", F.lit(0))
-    passed = rows.join(once_more, at_block, "left").where(times > 0).withColumn("mix_epoch", F.explode(F.sequence(F.lit(0), times - 1)))
-
-    # the block that the budget ends in, one of each source at most
-    last = blocks.where("not inside and before < block_rest").select(F.col("mix_source").alias("b_source"), F.col("mix_block").alias("b_block"), "before")
-    so_far = Window.partitionBy("mix_source").orderBy("mix_row").rowsBetween(Window.unboundedPreceding, 0)
-    cut = rows.join(F.broadcast(last), at_block).withColumn("mix_epoch", F.col("full"))
+    plan = F.broadcast(spark.createDataFrame(plan, kind))  # MOST_SOURCES rows at most
+
+    def planned(df: DataFrame) -> DataFrame:
+        """The block of each row, and its turn in the permutation of its source:
+        first by run, then by turn."""
+        placed = df.join(plan, F.col("src").eqNullSafe(F.col("mix_source"))).withColumn("place", F.xxhash64("row_hash", F.lit(seed), "full"))
+        placed = placed.withColumn("block", F.pmod(F.xxhash64("place", F.lit("block")), F.col("n_blocks"))).withColumn("turn", F.xxhash64("block", F.lit(seed)))
+        runs = F.greatest(F.lit(1), F.ceil(F.col("n_blocks") / RUN_BLOCKS))
+        return placed.withColumn("run", F.floor((F.shiftright("turn", 33) + F.lit(1 << 30)) * runs / F.lit(1 << 31)))
+
+    # tokens of each block, and of the blocks before it in the permutation: sums over
+    # runs of RUN_BLOCKS blocks first, so that no task ranks all blocks of a source
+    blocks = written(planned(slim).groupBy("mix_source", "run", "turn", "block").agg(F.sum("mix_tokens").alias("size"), F.first("rest").alias("rest")), "mix-blocks")
+    sums = blocks.groupBy("mix_source", "run").agg(F.sum("size").alias("total"))
+    earlier = sums.select("mix_source", "run", (F.sum("total").over(Window.partitionBy("mix_source").orderBy("run")) - F.col("total")).alias("earlier"))
+    same_run = F.col("b.run").eqNullSafe(F.col("e.run")) & F.col("b.mix_source").eqNullSafe(F.col("e.mix_source"))
+    inside = F.sum("size").over(Window.partitionBy("mix_source", "run").orderBy("turn", "block")) - F.col("size")
+    before = F.col("inside") + F.col("earlier")
+    # the block in which the budget of each source ends
+    ends = blocks.withColumn("inside", inside).alias("b").join(earlier.alias("e"), same_run).where((before < F.col("rest")) & (before + F.col("size") >= F.col("rest")))
+    ends = written(ends.select(F.col("b.mix_source").alias("end_source"), F.struct("b.run", "turn", "block").alias("end"), before.alias("before")), "mix-ends")
+
+    # blocks before that one pass once more than the others; so what a row does follows
+    # from the row and a table of the sources
+    rows = planned(sized).join(F.broadcast(ends), F.col("mix_source").eqNullSafe(F.col("end_source")), "left").withColumn("at", F.struct("run", "turn", "block"))
+    out = [*[F.col(f"row.`{c}`").alias(c) for c in names], "mix_epoch", "mix_tokens", F.lit(exponent).alias("mix_exponent"), "mix_weight"]
+    times = F.col("full") + F.when(F.col("at") < F.col("end"), 1).otherwise(0)
+    passed = rows.where(times > 0).withColumn("mix_epoch", F.explode(F.sequence(F.lit(0), times - 1)))
+    so_far = Window.partitionBy("mix_source").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)
+    cut = rows.where(F.col("at") == F.col("end")).withColumn("mix_epoch", F.col("full"))
     cut = cut.withColumn("so_far", F.sum("mix_tokens").over(so_far) - F.col("mix_tokens")).where("before + so_far < rest")
-    return passed.select(*names, *added).unionByName(cut.select(*names, *added))
+    forget(slim, blocks)
+    return passed.select(*out).unionByName(cut.select(*out))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import forget, written
+from .shared import forget, slices, written, written_slim
 
 WORD = re.compile(r"\w+")
 #: Letters of the beginnings of words that are terms of their own.
@@ -34,14 +34,19 @@ STEMS = range(3, 9)
 #: The bounded sample that is learnt from: labelled documents of each class.
 EXAMPLES = 2000
 #: Terms with a likelihood ratio of at least LEAST_RATIO, and in one class so many
-#: times as frequent as in the other; MOST_TERMS at most.
-LEAST_RATIO, LEAST_RISK, MOST_TERMS = 30.0, 10.0, 4096
-#: Different telling words are told apart up to so many; the count of that term.
+#: times as frequent as in the other. All such terms count; the examples bound them.
+LEAST_RATIO, LEAST_RISK = 30.0, 10.0
+#: Numbers of different telling words that have a term each, the last one for more
+#: too; the count of that term.
 MOST_WORDS, WORDS_COUNT = 6, 2
 NEIGHBOURS = 15
 #: Weight of the base rate beside the votes.
 PRIOR_WEIGHT = 0.05
 BLOCK = 64
+#: Scores from which a text counts as toxic.
+TOXIC = 0.5
+#: Texts that one task scores.
+ROWS_PER_TASK = 5000
 
 
 def terms(words: Counter) -> set[str]:
@@ -80,18 +85,17 @@ class TermFinder:
 
 def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(term, toxic, n): how many texts of a batch have the term."""
-    for whole in batches:
-        for at in range(0, whole.num_rows, 200):
-            found = [Counter(), Counter()]
-            for toxic, text in zip(*[c.to_pylist() for c in whole.slice(at, 200).columns], strict=True):
-                found[toxic].update(terms(words_of(text)))
-            for toxic, by in enumerate(found):
-                yield pa.RecordBatch.from_arrays([pa.array(list(by), pa.string()), pa.array([toxic] * len(by), pa.int32()), pa.array(list(by.values()), pa.int64())], ["term", "toxic", "n"])
+    for batch in slices(batches):
+        found = [Counter(), Counter()]
+        for toxic, text in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            found[toxic].update(terms(words_of(text)))
+        for toxic, by in enumerate(found):
+            yield pa.RecordBatch.from_arrays([pa.array(list(by), pa.string()), pa.array([toxic] * len(by), pa.int32()), pa.array(list(by.values()), pa.int64())], ["term", "toxic", "n"])
 
 
 def telling_terms(examples: DataFrame, n0: int, n1: int) -> list[str]:
     """The terms of the examples (toxic, text) whose presence goes with the label,
-    by the ratio G squared, MOST_TERMS at most. n0, n1: examples of each class."""
+    by the ratio G squared. n0, n1: examples of each class."""
     seen = examples.select("toxic", "text").mapInArrow(_terms, "term string, toxic int, n long")
     count = [F.coalesce(F.sum(F.when(F.col("toxic") == y, F.col("n"))), F.lit(0)).cast("double") for y in (0, 1)]
     by = seen.groupBy("term").agg(count[1].alias("a"), count[0].alias("b"))
@@ -103,7 +107,7 @@ def telling_terms(examples: DataFrame, n0: int, n1: int) -> list[str]:
     ratio = 2 * (part(a, n1 * p) + part(b, n0 * p) + part(n1 - a, n1 * (1 - p)) + part(n0 - b, n0 * (1 - p)))
     risk = (a + 0.5) / (n1 + 1) / ((b + 0.5) / (n0 + 1))
     fit = by.select("term", F.round(ratio, 6).alias("ratio"), F.greatest(risk, 1 / risk).alias("risk")).where((F.col("ratio") >= LEAST_RATIO) & (F.col("risk") >= LEAST_RISK))
-    return sorted(r.term for r in fit.orderBy(F.desc("ratio"), "term").limit(MOST_TERMS).select("term").collect())
+    return sorted(r.term for r in fit.select("term").collect())
 
 
 class BlockMaxIndex:
@@ -185,61 +189,98 @@ def labelled_examples(docs: DataFrame, labels: DataFrame, per_class: int = EXAMP
 
 def _hits(batches: Iterator[pa.RecordBatch], finder) -> Iterator[pa.RecordBatch]:
     find = finder.value
-    for batch in batches:
+    for batch in slices(batches):
         found = [find(words_of(text)) for text in batch.column(1).to_pylist()]
         columns = [batch.column(0), pa.array([list(f) for f in found], pa.list_(pa.int32())), pa.array([list(f.values()) for f in found], pa.list_(pa.int32()))]
         yield pa.RecordBatch.from_arrays([*columns, *batch.columns[2:]], ["doc_id", "terms", "counts", *batch.schema.names[2:]])
 
 
+class _Memory:
+    """Scores of what was seen lately: most texts have few telling terms."""
+
+    def __init__(self, index: BlockMaxIndex, most: int = 20_000):
+        self.index, self.most, self.known = index, most, {}
+
+    def __call__(self, where: list[int], count: list[int]) -> tuple[float, list]:
+        key = (*where, -1, *count)
+        found = self.known.get(key)
+        if found is None:
+            if len(self.known) >= self.most:
+                self.known.clear()
+            found = self.known[key] = self.index.score(list(zip(where, count, strict=True)))
+        return found
+
+
 def _scores(batches: Iterator[pa.RecordBatch], index) -> Iterator[pa.RecordBatch]:
-    index, known = index.value, {}
+    score = _Memory(index.value)
     for batch in batches:
-        scores, evidence = [], []
-        for where, count in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            key = (*where, -1, *count)
-            if key not in known:
-                if len(known) > 50_000:
-                    known.clear()
-                known[key] = index.score(list(zip(where, count, strict=True)))
-            scores.append(known[key][0])
-            evidence.append(known[key][1])
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores, pa.float64()), pa.array(evidence, pa.list_(pa.int64()))], ["doc_id", "score", "evidence"])
+        found = [score(*c) for c in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([f[0] for f in found], pa.float64()), pa.array([f[1] for f in found], pa.list_(pa.int64()))], ["doc_id", "score", "evidence"])
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = EXAMPLES) -> DataFrame:
-    """One row for each row of ``docs`` (doc_id, text): doc_id, held_out (crc32 of
-    the doc_id as text is divisible by 5), score (0 to 1, higher: likelier toxic),
-    predicted (1 if score >= 0.5), evidence (doc_ids of the nearest examples).
+def _harmless(batches: Iterator[pa.RecordBatch], finder, index) -> Iterator[pa.RecordBatch]:
+    """The rows that are not predicted toxic."""
+    find, score = finder.value, _Memory(index.value)
+    for batch in slices(batches):
+        keep = []
+        for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
+            found = find(words_of(None if text is None else str(text)))
+            keep.append(doc_id is None or score([*found], [*found.values()])[0] < TOXIC)
+        yield batch.filter(pa.array(keep, pa.bool_()))
 
-    labels (doc_id, toxic): rows outside the held-out fold are learnt from, at most
-    ``per_class`` different texts of each class; a doc_id with several labels is toxic if any says
-    so. Votes are weighted by what a sampled document of its class stands for.
-    Texts without a telling term (null and empty ones too) have the rate of such
-    examples. Without labels of both classes every score is the rate of the one
-    there is, or 0. A null doc_id has held_out false. Other columns are ignored.
-    """
-    sc = docs.sparkSession.sparkContext
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+def _fitted(slim: DataFrame, labels: DataFrame, per_class: int) -> tuple:
+    """(term finder, index, both as broadcasts, and the terms of every text)."""
+    sc = slim.sparkSession.sparkContext
     examples, sizes = labelled_examples(slim, labels, per_class)
     n = {r.toxic: r["count"] for r in examples.groupBy("toxic").count().collect()}
     find = TermFinder(telling_terms(examples, n.get(0, 0), n.get(1, 0)))
     finder = sc.broadcast(find)
     hit = "doc_id long, terms array<int>, counts array<int>"
+    # at most twice per_class rows
     sample = examples.select("doc_id", "text", "toxic").mapInArrow(lambda it: _hits(it, finder), f"{hit}, toxic int").collect()
     sample.sort(key=lambda r: (r.doc_id, r.terms, r.counts, r.toxic))
-    hits = written(slim.mapInArrow(lambda it: _hits(it, finder), hit), "toxic-hits")
+    hits = written_slim(slim.mapInArrow(lambda it: _hits(it, finder), hit), "toxic-hits")
     frequency = np.zeros(len(find.names))
     for r in hits.select(F.explode("terms").alias("term")).groupBy("term").count().collect():
         frequency[r.term] = r["count"]
     idf = np.log((1 + hits.count()) / (1 + frequency)) + 1
     weights = tuple(sizes.get(y, 0) / max(1, n.get(y, 0)) for y in (0, 1))
-    index = sc.broadcast(BlockMaxIndex([dict(zip(r.terms, r.counts, strict=True)) for r in sample], np.array([r.toxic for r in sample], np.int64), [r.doc_id for r in sample], idf, weights))
-    scored = hits.mapInArrow(lambda it: _scores(it, index), "doc_id long, score double, evidence array<long>")
-    held = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0, F.lit(False))
-    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
+    index = BlockMaxIndex([dict(zip(r.terms, r.counts, strict=True)) for r in sample], np.array([r.toxic for r in sample], np.int64), [r.doc_id for r in sample], idf, weights)
+    forget(examples)
+    return finder, sc.broadcast(index), hits
 
 
-def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` without the rows whose doc_id is predicted toxic in any row."""
-    bad = score_toxicity(docs, labels).where("predicted = 1").select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti")
+def score_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = EXAMPLES) -> DataFrame:
+    """One row for each row of ``docs`` (doc_id, text): doc_id, held_out (crc32 of
+    the doc_id as text is divisible by 5), score (0 to 1, higher: likelier toxic),
+    predicted (1 if score >= 0.5), evidence (doc_ids of the nearest examples).
+
+    labels (doc_id, toxic): rows outside the held-out fold are learnt from, at most
+    ``per_class`` different texts of each class; a doc_id with several labels is toxic if any says
+    so. Votes are weighted by what a sampled document of its class stands for.
+    Texts without a telling term (null and empty ones too) have the rate of such
+    examples. Without labels of both classes every score is the rate of the one
+    there is, or 0. A null doc_id has held_out false. Other columns are ignored.
+    """
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    finder, index, hits = _fitted(slim, labels, per_class)
+    # the table of terms is small, so its splits are few; work is dealt by rows
+    dealt = hits.repartition(max(1, -(-hits.count() // ROWS_PER_TASK)))
+    held = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0, F.lit(False))
+    scored = dealt.mapInArrow(lambda it: _scores(it, index), "doc_id long, score double, evidence array<long>")
+    out = written(scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= TOXIC).cast("int").alias("predicted"), "evidence"), "toxic-scores")
+    forget(hits)
+    finder.destroy()
+    index.destroy()
+    return out
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, per_class: int = EXAMPLES) -> DataFrame:
+    """``docs`` without the rows whose text is predicted toxic, by the scores of
+    :func:`score_toxicity`. Rows with a null doc_id stay. Texts are scored where
+    they are read, so none is shuffled."""
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    finder, index, hits = _fitted(slim, labels, per_class)
+    forget(hits)
+    return docs.mapInArrow(lambda it: _harmless(it, finder, index), docs.schema)
