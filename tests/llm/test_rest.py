@@ -64,6 +64,27 @@ def test_one_more_shard_moves_few(spark):
     assert sum(before[d] != after[d] for d in before) < 0.4 * len(rows)
 
 
+def test_many_repeated_rows_and_a_long_text(spark, monkeypatch):
+    import tilewright.llm.sharding as m
+
+    monkeypatch.setattr(m, "FEW_ROWS", 40)
+    long = "long é " * 50_000
+    rows = [(1, "same", "s")] * 900 + [(k, f"t{k}", "s") for k in range(100)] + [(5000, long, "s")]
+    found = shard_documents(docs(spark, rows).repartition(5)).collect()
+    counts = Counter(r.shard for r in found)
+    assert len(found) == len(rows) and max(counts.values()) - min(counts.values()) <= 1
+    assert all(sorted(r.slot for r in found if r.shard == s) == list(range(n)) for s, n in counts.items())
+    assert [(r.size, r.text_crc32) for r in found if r.doc_id == 5000] == [(len(long.encode()) + 1, zlib.crc32(long.encode()))]
+
+
+def test_movement_of_equal_counts(spark):
+    """What one more shard moves under the law of the query (README)."""
+    rows = [(k, f"t{k}", "s") for k in range(4000)]
+    eight, nine = ({r.doc_id: r.shard for r in shard_documents(docs(spark, rows), n).collect()} for n in (8, 9))
+    moved = sum(eight[d] != nine[d] for d in eight) / len(rows)
+    assert 1 / 9 <= moved < 0.5
+
+
 def test_no_rows_and_few_rows(spark):
     assert shard_documents(docs(spark, [])).count() == 0
     assert sorted(r.slot for r in shard_documents(docs(spark, [(1, "a", "s"), (2, "b", "s")])).collect()) == [0, 0]
@@ -109,9 +130,25 @@ def test_bloom_filter_keeps_every_key(spark):
     assert filter_urls(pages, rules=many).where("verdict = 'block'").count() == 1000
 
 
+def test_hosts_of_many_labels(spark):
+    urls = ["http://" + "a." * 100_000 + "example.com/en/x", "http://" + "b" * 200_000 + ".net/es/", "http://www.example.com/en/" + "p" * 300_000]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    found = {r.page_id: (r.rule, r.verdict) for r in filter_urls(pages).collect()}
+    assert found == {0: ("example.com/en/", "block"), 1: ("net/es/", "block"), 2: ("www.example.com/en/", "allow")}
+
+
 # --- WARC
 
 
+def test_one_response_of_repeated_rows(spark):
+    """Equal rows that hold the largest page_id: one is the response, the others revisit it."""
+    rows = [(9, "http://a.b/x", "y" * 2000)] * 4 + [(3, "http://a.b/x", "y" * 2000), (9, "http://a.a/", "y" * 2000), (1, "http://a.b/x", "small"), (1, "http://a.b/x", "small")]
+    found = round_trip(spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)).collect()
+    big = [r for r in found if r.payload_bytes == 2000]
+    assert Counter((r.page_id, r.record_type, r.refers_to) for r in big) == {(9, "response", None): 1, (9, "revisit", 9): 4, (3, "revisit", 9): 1}
+    assert Counter(r.record_type for r in found if r.payload_bytes == 5) == {"response": 2}
+
+
 def test_record_round_trip():
     fields, body = parse_record(record("response", "3", "http://a/\r\nX: 1", "d", None, b"\r\n\r\nx"))
     assert body == b"\r\n\r\nx" and fields["WARC-Record-ID"] == "<urn:page:3>"

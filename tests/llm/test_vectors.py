@@ -100,3 +100,28 @@ def test_tiles_hold_the_distances():
     least, greatest = a.tile(b)
     true = np.array([distances(b.m, q) for q in a.m])
     assert (least <= true).all() and (true <= greatest).all()
+
+
+def test_scores_of_large_components(spark):
+    """Beyond 2^53 products are still whole numbers; beyond 64 bits they are an error."""
+    rng = np.random.default_rng(5)
+    rows = [(k, (rng.normal(size=3) * 10.0 ** rng.integers(0, 7)).tolist(), None, None) for k in range(150)] + [(500, [4.0e6, 1.0, 1 / 256], None, None), (501, [4.0e6, 1.0, 2 / 256], None, None)]
+    v = spark.createDataFrame(rows, "vec_id long, embedding array<double>, ids string, data int")
+
+    def score(a, b):
+        return sum(int(math.floor(256 * x)) * int(math.floor(256 * y)) for x, y in zip(a.tolist(), b.tolist(), strict=True))
+
+    found = result(exact_top_k(v, v.where("vec_id % 5 = 0"), k=5))
+    assert found == brute(rows, lambda i: i % 5 == 0, 5, score, -1, True)
+    assert max(s for f in found.values() for _, s in f) > 2**53
+    huge = spark.createDataFrame([(1, [1e30, 0.0]), (2, [2e30, 0.0]), (3, [3e30, 1.0]), (4, [1.0, 0.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="64 bits"):
+        exact_top_k(huge, huge.where("vec_id = 1")).collect()
+
+
+def test_distances_that_overflow(spark):
+    rows = [(k, [x * 1e200, 1.0]) for k, x in enumerate((1.0, 2.0, 4.0, 7.0, -3.0))] + [(9, [3.0, 4.0])]
+    v = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = result(nearest_neighbours(v, v.where("vec_id in (1, 9)"), k=3))
+    assert [i for i, _ in found[1]] == [0, 2, 9]
+    assert found[1][0][1] == pytest.approx(1e200) and [i for i, _ in found[9]][0] == 0

@@ -20,7 +20,9 @@ from pyspark.sql import functions as F
 from .shared import written
 from .vector_blocks import Best, as_blocks, block_counts, ranked, search_blocks, usable_vectors
 
-SHARD_ROWS, QUERY_ROWS, LEAF_ROWS = 2048, 256, 64
+SHARD_ROWS, QUERY_ROWS, LEAF_ROWS = 2048, 4096, 64
+#: Whole numbers below this are exact as doubles.
+EXACT = 2.0**53
 
 
 class KdTree:
@@ -49,8 +51,13 @@ class KdTree:
         self.rows, self.points = rows, points[rows]
 
     def bounds(self, queries: np.ndarray) -> np.ndarray:
-        """The largest inner product of each query with each node's box."""
-        return np.maximum(queries, 0) @ self.high.T + np.minimum(queries, 0) @ self.low.T
+        """The largest inner product of each query with each node's box, or a little
+        more where products are too large to be exact as doubles."""
+        up, down = np.maximum(queries, 0), np.minimum(queries, 0)
+        with np.errstate(over="ignore", invalid="ignore"):
+            out = up @ self.high.T + down @ self.low.T
+            size = up @ np.abs(self.high).T - down @ np.abs(self.low).T
+            return np.where(size < EXACT, out, np.where(np.isfinite(size), out + size * 1e-9, np.inf))
 
     _PARTS = ("low", "high", "left", "right", "first", "last", "rows", "points")
 
@@ -68,6 +75,19 @@ class KdTree:
         return tree
 
 
+def products(points: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Inner products of whole numbers, exact at any size. Scores that do not fit
+    into 64 bits are an error."""
+    most = np.abs(points) @ np.abs(query)
+    if most.max(initial=0) < EXACT:
+        return (points @ query).astype(np.int64)
+    whole = [int(x) for x in query.tolist()]
+    found = [sum(int(x) * y for x, y in zip(p, whole, strict=True)) for p in points.tolist()]
+    if max(map(abs, found)) >= 2**63:
+        raise OverflowError("an inner product does not fit into 64 bits")
+    return np.array(found, np.int64)
+
+
 def _best_first(tree: KdTree, ids: np.ndarray, bounds: np.ndarray, query: np.ndarray, q: int, best: Best) -> None:
     own = best.ids[q]
     heap = [(-bounds[0], 0)]
@@ -82,12 +102,11 @@ def _best_first(tree: KdTree, ids: np.ndarray, bounds: np.ndarray, query: np.nda
                     heapq.heappush(heap, (-bounds[child], child))
             continue
         a, b = tree.first[node], tree.last[node]
-        scores, found = tree.points[a:b] @ query, ids[a:b]
-        keep = found != own
-        if kth is not None:
-            keep &= scores >= kth
+        others = ids[a:b] != own
+        scores, found = products(tree.points[a:b][others], query), ids[a:b][others]
+        keep = scores >= (scores.min(initial=0) if kth is None else kth)
         if keep.any():
-            best.add(q, found[keep], scores[keep].astype(np.int64))
+            best.add(q, found[keep], scores[keep])
 
 
 class _Search:
@@ -107,17 +126,18 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int =
     Components x count as floor(scale * x). Vectors that are null, empty or hold
     null or non-finite components take no part, nor do null ids; zero vectors do.
     Vectors meet those of their own length only. A repeated vec_id is as many
-    candidates, but one query (the least vector). Products must stay below 2^53.
+    candidates, but one query (the least vector). Products beyond 2^53 are added up
+    as whole numbers of any size; a score beyond 64 bits is an error.
     """
 
     def whole(df: DataFrame) -> DataFrame:
-        return usable_vectors(df, zeros=True).withColumn("v", F.transform("v", lambda x: F.floor(x * scale).cast("double")))
+        return usable_vectors(df, zeros=True).withColumn("v", F.transform("v", lambda x: F.when(F.abs(x) < EXACT / scale, F.floor(x * scale).cast("double")).otherwise(x * scale)))
 
     rows = whole(vectors)
     asked = whole(queries).groupBy("vec_id").agg(F.min(F.struct("dim", "v")).alias("m")).select("vec_id", "m.dim", "m.v")
     shards, blocks = block_counts(rows, SHARD_ROWS), block_counts(asked, QUERY_ROWS)
     trees = written(as_blocks(rows, shards, lambda ids, m: KdTree(m).dump()), "kd-trees")
-    q = as_blocks(asked, blocks, lambda ids, m: m.tobytes())
+    q = written(as_blocks(asked, blocks, lambda ids, m: m.tobytes()), "kd-queries")
 
     def state(ids, data):
         return _Search(ids, data, k)

@@ -16,7 +16,6 @@ again in finer buckets, and looked at row by row when it is small.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -72,14 +71,10 @@ def even_capacities(rows: int, shards: int) -> list[int]:
 
 
 def _placed(batches: Iterator[pa.RecordBatch], ring: Ring) -> Iterator[pa.RecordBatch]:
+    """The last column, a point of the ring, as the arc that it lies on."""
     for batch in batches:
-        size, crc = [], []
-        for text in batch.column(1).to_pylist():
-            data = (text or "").encode()
-            size.append(len(data) + 1)
-            crc.append(zlib.crc32(data))
-        arc = ring.arcs(batch.column(2).to_numpy().view(np.uint64))
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(size, pa.int64()), pa.array(crc, pa.int64()), pa.array(arc, pa.int32()), batch.column(3)], ["doc_id", "size", "text_crc32", "arc", "priority"])
+        arc = ring.arcs(batch.column(batch.num_columns - 1).to_numpy().view(np.uint64))
+        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(arc, pa.int32())], [*batch.schema.names[:-1], "arc"])
 
 
 def cut_offs(rows: DataFrame, ring: Ring, capacities: list[int]) -> list[tuple[int, int] | None]:
@@ -93,10 +88,11 @@ def cut_offs(rows: DataFrame, ring: Ring, capacities: list[int]) -> list[tuple[i
     def targets() -> np.ndarray:
         return ring.order[np.arange(len(ring.order)), (room[ring.order] > 0).argmax(axis=1)]
 
-    def walk(part: DataFrame, low: int, bits: int) -> None:
-        """Inserts the documents with priorities from low to low + 2^bits - 1."""
+    def walk(part: DataFrame, low: int, bits: int, by: str = "priority") -> None:
+        """Inserts the documents with priorities from low to low + 2^bits - 1; those
+        of one priority (repeated rows) by row."""
         step = max(0, bits - BITS)
-        bucket = F.shiftright(F.col("priority") - F.lit(low), step) if bits < 64 else F.shiftright("priority", step) + F.lit(1 << (BITS - 1))
+        bucket = F.shiftright(F.col(by) - F.lit(low), step) if bits < 64 else F.shiftright(by, step) + F.lit(1 << (BITS - 1))
         counts = np.zeros((1 << min(BITS, bits), len(ring.places)), np.int64)
         for r in part.groupBy(bucket.cast("int").alias("bucket"), "arc").count().collect():
             counts[r.bucket, r.arc] = r["count"]
@@ -107,9 +103,12 @@ def cut_offs(rows: DataFrame, ring: Ring, capacities: list[int]) -> list[tuple[i
                 room[:] -= load
                 continue
             first = low + (b << step)
-            inner = part.where(F.col("priority").between(first, first + (1 << step) - 1))
-            if counts[b].sum() > FEW_ROWS and step > 0:
-                walk(inner, first, step)
+            inner = part.where(F.col(by).between(first, first + (1 << step) - 1))
+            if counts[b].sum() > FEW_ROWS:
+                if step > 0:
+                    walk(inner, first, step, by)
+                else:
+                    walk(inner, -(2**63), 64, "row")
                 continue
             for p, r, arc in inner.select("priority", "row", "arc").orderBy("priority", "row").toLocalIterator():
                 s = targets_one(arc)
@@ -150,14 +149,16 @@ def shard_documents(docs: DataFrame, shards: int = 8, virtual_nodes: int = 64, c
     ring = Ring(shards, virtual_nodes)
     text = F.col("text").cast("string")
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
-    keyed = slim.select("doc_id", "text", F.xxhash64(F.lit("point"), "doc_id", "text").alias("point"), F.xxhash64(F.lit("priority"), "doc_id", "text").alias("priority"))
-    rows = written(keyed.mapInArrow(lambda it: _placed(it, ring), "doc_id long, size long, text_crc32 long, arc int, priority long").withColumn("row", F.monotonically_increasing_id()), "shard-rows")
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1
+    crc = F.crc32(F.coalesce(F.encode("text", "UTF-8"), F.lit(b"")))
+    keyed = slim.select("doc_id", size.alias("size"), crc.alias("text_crc32"), F.xxhash64(F.lit("priority"), "doc_id", "text").alias("priority"), F.xxhash64(F.lit("point"), "doc_id", "text").alias("point"))
+    rows = written(keyed.mapInArrow(lambda it: _placed(it, ring), "doc_id long, size long, text_crc32 long, priority long, arc int").withColumn("row", F.monotonically_increasing_id()), "shard-rows")
     n = rows.count()
     limits = capacities or even_capacities(n, shards)
     if len(limits) != shards or sum(limits) < n:
         raise ValueError("the capacities must be one for each shard and hold all rows")
     last = cut_offs(rows, ring, limits) if n else [None] * shards
-    kept = "doc_id long, size long, text_crc32 long, arc int, priority long, row long, shard int, steps int"
+    kept = "doc_id long, size long, text_crc32 long, priority long, arc int, row long, shard int, steps int"
     dealt = rows.mapInArrow(lambda it: _dealt(it, ring, last), kept)
 
     # slots: ranks inside (shard, bucket), and the rows of the buckets before

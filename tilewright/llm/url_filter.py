@@ -18,6 +18,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tilewright.functions.joins import spread_join
+
 #: (host, path, verdict)
 RULES = (("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block"))
 #: Bits for each key, bits set for each, and the largest filter that is broadcast.
@@ -91,13 +93,16 @@ def filter_urls(pages: DataFrame, rules: DataFrame | None = None, listed: DataFr
         exact = listed.where("url is not null").select(*[c.alias(n) for c, n in zip(url_parts(F.col("url")), ("host", "path"), strict=True)])
         keys = keys.union(exact.where("host <> ''").select(own).distinct().select("*", F.lit(None), F.lit(-1), F.lit("block")))
     n_keys, lengths = keys.count(), [r[0] for r in rules.select(F.length("path")).distinct().collect()]
+    # no rule has more labels than this, so longer suffixes of a host fit none
+    most_labels = rules.agg(F.max(F.size(F.split("host", r"\.")))).first()[0] or 0
     words = spark.sparkContext.broadcast(bloom_words(keys, n_keys))
 
     # each host and path once, however many pages have it
-    seen = pages.select(F.col("page_id"), host.alias("host"), path.alias("path"))
+    seen = pages.select(F.col("page_id"), host.alias("host"), path.alias("path"), F.monotonically_increasing_id().alias("row"))
     places = seen.where("host <> ''").select("host", "path").distinct()
     labels = F.split("host", r"\.")
-    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    ends = F.sequence(F.lit(1), F.least(F.size(labels), F.lit(most_labels))) if most_labels else F.array().cast("array<int>")
+    suffixes = F.transform(ends, lambda n: F.array_join(F.slice(labels, -n, n), "."))
     starts = F.filter(F.array(*[F.when(F.length("path") >= n, F.substr("path", F.lit(1), F.lit(n))) for n in lengths] or [F.lit(None).cast("string")]), lambda p: p.isNotNull())
     could = F.flatten(F.transform(suffixes, lambda h: F.transform(starts, lambda p: F.concat(h, F.lit("\n"), p))))
     could = F.array_append(could, own) if listed is not None else could
@@ -109,4 +114,7 @@ def filter_urls(pages: DataFrame, rules: DataFrame | None = None, listed: DataFr
         .agg(F.max(F.struct((F.length("rule")).alias("n"), "host_length", "rule", "verdict")).alias("best"))
         .select("host", "path", "best.rule", "best.verdict")
     )
-    return seen.join(best, ["host", "path"], "left").select("page_id", "host", "path", "rule", F.coalesce("verdict", F.lit(default)).alias("verdict"))
+    # rows without a host fit nothing; those of one URL are dealt to many tasks
+    fitted = spread_join(seen.where("host <> ''"), best, ["host", "path"], by=["row"])
+    bare = seen.where("host = ''").select("page_id", "host", "path", F.lit(None).cast("string").alias("rule"), F.lit(None).cast("string").alias("verdict"))
+    return fitted.select("page_id", "host", "path", "rule", "verdict").unionByName(bare).withColumn("verdict", F.coalesce("verdict", F.lit(default)))

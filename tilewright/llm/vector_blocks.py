@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Callable
 
 import numpy as np
@@ -45,18 +46,21 @@ def search_blocks(queries: DataFrame, blocks: DataFrame, n_blocks: int, q_blocks
     through these in order, so the k best so far carry over from one to the next.
     state(ids, data) makes what it carries; visit(state, ids, data) takes in a
     block; state.best() gives (query_id, vec_id, score) arrays, at most k of a
-    query. n_blocks and q_blocks: about how many blocks there are; few query
+    query. n_blocks and q_blocks: how many blocks of each there are; few query
     blocks make for smaller groups, so that there are tasks enough.
+
+    Every candidate block travels once for each query block, and every query block
+    once for each group. At a fixed number of queries the shuffle grows with the
+    rows; query blocks are large, so that there are few of them.
     """
     groups = max(1, -(-n_blocks // GROUP_BLOCKS), min(n_blocks, -(-24 // q_blocks)))
     # a stated query set against all rows, in blocks: pairs of blocks, never of rows
-    pairs = blocks.select("dim", "block").join(queries.select("dim", F.col("block").alias("q_block")), "dim")
-    sent = pairs.join(blocks, ["dim", "block"]).withColumn("group", F.pmod("block", F.lit(groups)))
+    sent = blocks.withColumn("q_block", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1)))).withColumn("group", F.pmod("block", F.lit(groups)))
     asked = queries.withColumnRenamed("block", "q_block").withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
     key = ["dim", "q_block", "group"]
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if not len(left):
+        if not len(left) or not len(right):
             return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
         held = state(np.frombuffer(right["ids"][0], np.int64), right["data"][0])
         for ids, data in left.sort_values("block")[["ids", "data"]].itertuples(index=False):
@@ -68,27 +72,30 @@ def search_blocks(queries: DataFrame, blocks: DataFrame, n_blocks: int, q_blocks
 
 
 class Best:
-    """The k best candidates of each query of a block, best first; ties go to the
-    lesser id. lowest: whether small scores are good."""
+    """The k best candidates of each query of a block, each in a heap with the worst
+    on top; ties go to the lesser id. lowest: whether small scores are good."""
 
     def __init__(self, ids: np.ndarray, k: int, lowest: bool, dtype):
-        self.ids, self.k, self.sign = ids, k, 1 if lowest else -1
-        self.top: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0, np.int64), np.empty(0, dtype)) for _ in ids]
+        self.ids, self.k, self.sign, self.dtype = ids, k, -1 if lowest else 1, dtype
+        self.heaps: list[list[tuple]] = [[] for _ in ids]
 
     def bound(self, q: int):
         """The kth best score so far, or None."""
-        scores = self.top[q][1]
-        return scores[-1] if len(scores) == self.k else None
+        heap = self.heaps[q]
+        return self.sign * heap[0][0] if len(heap) == self.k else None
 
     def add(self, q: int, ids: np.ndarray, scores: np.ndarray) -> None:
-        old_ids, old = self.top[q]
-        ids, scores = np.concatenate((old_ids, ids)), np.concatenate((old, scores))
-        rank = np.lexsort((ids, self.sign * scores))[: self.k]
-        self.top[q] = ids[rank], scores[rank]
+        heap = self.heaps[q]
+        for i, s in zip(ids.tolist(), scores.tolist(), strict=True):
+            item = (self.sign * s, -i)
+            if len(heap) < self.k:
+                heapq.heappush(heap, item)
+            elif item > heap[0]:
+                heapq.heapreplace(heap, item)
 
     def best(self):
-        n = [len(t[0]) for t in self.top]
-        return np.repeat(self.ids, n), np.concatenate([t[0] for t in self.top]), np.concatenate([t[1] for t in self.top])
+        rows = [(q, -i, self.sign * s) for q, heap in zip(self.ids.tolist(), self.heaps, strict=True) for s, i in sorted(heap, reverse=True)]
+        return tuple(np.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else ((), (), ()), (np.int64, np.int64, self.dtype), strict=True))
 
 
 def ranked(found: DataFrame, k: int, lowest: bool) -> DataFrame:

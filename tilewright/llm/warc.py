@@ -24,12 +24,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .shared import fresh_path, open_store, written
+from tilewright.functions.joins import WAYS, spread_join
+
+from .shared import fresh_path, open_store, slices, written, written_slim
 
 BLOCK_LINES = 512
 #: Payloads of at least so many bytes are stored once.
 LEAST_SHARED = 1000
 WARC_DATE = "2024-01-01T00:00:00Z"
+HTTP_HEAD = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n"
 _FOOT = struct.Struct("<QQ8s")
 MAGIC = b"CAPINDEX"
 
@@ -60,19 +63,28 @@ def _header(kind: str, page: str, url: str, digest: str, refers: str | None, blo
 
 
 def record(kind: str, page: str, url: str, digest: str, refers: str | None, payload: bytes) -> bytes:
-    """One gzip member. The block is the payload, or nothing for a revisit."""
-    body = b"" if kind == "revisit" else payload
-    return gzip.compress(_header(kind, page, url, digest, refers, body, "text/html; charset=utf-8"), 6, mtime=0)
+    """One gzip member. The block is an HTTP response with the payload, or nothing
+    for a revisit."""
+    body = b"" if kind == "revisit" else HTTP_HEAD % len(payload) + payload
+    return gzip.compress(_header(kind, page, url, digest, refers, body, "application/http; msgtype=response"), 6, mtime=0)
+
+
+def info_record() -> bytes:
+    """What an archive starts with."""
+    body = b"software: tilewright\r\nformat: WARC File Format 1.1\r\n"
+    lines = ["WARC/1.1", "WARC-Type: warcinfo", f"WARC-Record-ID: <urn:uuid:{uuid.uuid4()}>", f"WARC-Date: {WARC_DATE}", "Content-Type: application/warc-fields", f"Content-Length: {len(body)}"]
+    return gzip.compress("\r\n".join(lines).encode() + b"\r\n\r\n" + body + b"\r\n\r\n", 6, mtime=0)
 
 
 def parse_record(data: bytes) -> tuple[dict[str, str], bytes]:
+    """The fields and the payload, without the HTTP header in front of it."""
     raw = zlib.decompress(data, 31)
     head, _, rest = raw.partition(b"\r\n\r\n")
     fields = dict(line.split(": ", 1) if ": " in line else (line.rstrip(":"), "") for line in head.decode().split("\r\n")[1:])
     n = int(fields["Content-Length"])
     if rest[n:] != b"\r\n\r\n":
         raise ValueError("a record is not whole")
-    return fields, rest[:n]
+    return fields, rest[:n].partition(b"\r\n\r\n")[2] if fields["WARC-Type"] == "response" else rest[:n]
 
 
 class IndexWriter:
@@ -141,7 +153,7 @@ def _responses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each row's response, compressed where it is read, so that the shuffles to
     come move no plain payloads."""
     names = ["page_id", "url", "key", "digest", "size"]
-    for batch in batches:
+    for batch in slices(batches):
         columns = [batch.column(c) for c in names]
         rows = zip(*[batch.column(c).to_pylist() for c in ("page_id", "url", "digest", "payload")], strict=True)
         data = [record("response", _name(page), url or "", digest, None, payload) for page, url, digest, payload in rows]
@@ -150,8 +162,14 @@ def _responses(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _write(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
     archive, index, at, first, last, n = None, None, 0, None, None, 0
-    for batch in batches:
+    before = None
+    for batch in slices(batches):
         for row in batch.to_pylist():
+            # equal rows follow each other; the first of them is the response
+            me = row["key"], row["url"], row["page_id"], row["digest"]
+            if row["record_type"] == "response" and row["shared"] and me == before:
+                row |= {"record_type": "revisit", "refers_to": row["page_id"]}
+            before = me
             if archive is None:
                 store, place = open_store(folder)
                 store.create_dir(place, recursive=True)
@@ -159,6 +177,9 @@ def _write(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.Record
                 archive = store.open_output_stream(f"{place}/{name}.warc.gz", compression=None)
                 index = IndexWriter(store.open_output_stream(f"{place}/{name}.idx", compression=None))
                 first = row["key"]
+                head = info_record()
+                archive.write(head)
+                at = len(head)
             data = row["data"]
             if row["record_type"] == "revisit":
                 data = record("revisit", _name(row["page_id"]), row["url"] or "", row["digest"], _name(row["refers_to"]), b"")
@@ -178,8 +199,9 @@ def write_archive(pages: DataFrame, folder: str | None = None) -> str:
 
     The payload is the html in UTF-8, empty if it is null. Of the records with
     equal payloads of at least LEAST_SHARED bytes, the one with the largest page_id
-    is a response and the others revisit it; all else are responses. Repeated
-    rows of that page_id and URL are responses all. A null page_id is the least.
+    is a response and the others revisit it; all else are responses. Of repeated
+    rows of that page_id and URL one is the response; the others refer to its
+    page_id. A null page_id is the least.
     """
     folder = folder or fresh_path(pages.sparkSession, "warc")
     payload = F.encode(F.coalesce(F.col("html").cast("string"), F.lit("")), "UTF-8")
@@ -188,13 +210,17 @@ def write_archive(pages: DataFrame, folder: str | None = None) -> str:
     rows = rows.withColumn("size", F.octet_length("payload"))
     place = F.struct(F.coalesce("page_id", F.lit(-(2**63))).alias("page_id"), F.xxhash64("url").alias("url"))
     firsts = rows.where(F.col("size") >= LEAST_SHARED).groupBy("digest").agg(F.max(place).alias("shown"), F.count("*").alias("copies")).where("copies > 1").select("digest", "shown", F.lit(True).alias("shared"))
-    built = rows.mapInArrow(_responses, "page_id long, url string, key string, digest string, size int, data binary")
+    # small payloads take no part in the join, and rows of one payload are dealt to many tasks
+    part = F.when(F.col("size") >= LEAST_SHARED, F.pmod(F.xxhash64("page_id", "url"), F.lit(WAYS))).otherwise(F.xxhash64("page_id", "url", "digest"))
+    parts = rows.where(F.col("size") >= LEAST_SHARED).select("digest", part.alias("part")).distinct()
+    firsts = parts.join(firsts, "digest")
+    built = rows.mapInArrow(_responses, "page_id long, url string, key string, digest string, size int, data binary").withColumn("part", part)
     shown_id = F.when(F.col("shown.page_id") > -(2**63), F.col("shown.page_id"))
-    decided = built.join(firsts, "digest", "left").select("page_id", "url", "data", "digest", "key", "shared", (place == F.col("shown")).alias("is_shown"), shown_id.alias("refers_to"))
+    decided = built.join(firsts, ["digest", "part"], "left").select("page_id", "url", "data", "digest", "key", "shared", (place == F.col("shown")).alias("is_shown"), shown_id.alias("refers_to"))
     kind = F.when(F.col("shared") & ~F.col("is_shown"), "revisit").otherwise("response")
     out = decided.withColumn("record_type", kind).withColumn("refers_to", F.when(F.col("record_type") == "revisit", F.col("refers_to")))
-    ordered = out.repartitionByRange("key", F.coalesce("page_id", F.lit(-1))).sortWithinPartitions("key", "page_id").select("page_id", "url", "data", "digest", "key", "record_type", "refers_to")
-    ordered.mapInArrow(lambda it: _write(it, f"{folder}/files"), "file string, first string, last string, n long").write.parquet(f"{folder}/manifest")
+    ordered = out.repartitionByRange("key", F.coalesce("page_id", F.lit(-1))).sortWithinPartitions("key", "page_id", "url", "digest").select("page_id", "url", "data", "digest", "key", "shared", "record_type", "refers_to")
+    written_slim(ordered.mapInArrow(lambda it: _write(it, f"{folder}/files"), "file string, first string, last string, n long"), "manifest", f"{folder}/manifest")
     return folder
 
 
@@ -268,4 +294,6 @@ def round_trip(pages: DataFrame) -> DataFrame:
     lengths = read.where("record_type = 'response'").groupBy("payload_digest").agg(F.max("payload_bytes").alias("full"))
     # only the digests that are revisited
     lengths = lengths.join(read.where("record_type = 'revisit'").select("payload_digest").distinct(), "payload_digest", "left_semi")
-    return read.join(lengths, "payload_digest", "left").select("page_id", F.coalesce("payload_bytes", "full").alias("payload_bytes"), "payload_digest", "record_type", "refers_to")
+    whole = read.where("record_type = 'response'").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    revisits = spread_join(read.where("record_type = 'revisit'").withColumn("row", F.monotonically_increasing_id()), lengths, ["payload_digest"], by=["row"])
+    return whole.unionByName(revisits.select("page_id", F.col("full").alias("payload_bytes"), "payload_digest", "record_type", "refers_to"))
