@@ -9,13 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from tilewright.llm.mixing import mix_sources
 from tilewright.llm.ngram_join import one_of_each
 from tilewright.llm.packing import pack_documents
-from tilewright.llm.shared import fresh_path, table
+from tilewright.llm.shared import BATCH_BYTES, fresh_path, table
 from tilewright.llm.toxicity import drop_toxic
 
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are predicted toxic go; the labels of the corpus teach what
-    that is."""
+    that is. Whole texts pass through Python from here on, in small Arrow batches."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     return drop_toxic(docs, table(spark, sf_dir, "labels"))
 
 
