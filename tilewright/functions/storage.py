@@ -44,3 +44,13 @@ def forget(*tables: DataFrame) -> None:
             spark = t.sparkSession
             p = spark._jvm.org.apache.hadoop.fs.Path(path)
             p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def open_store(uri: str):
+    """(file system, path) of a folder in the shared store, for tasks that write
+    or read files and byte ranges. Works for every scheme that pyarrow knows."""
+    from pyarrow import fs
+
+    if uri.startswith("file:") and "://" not in uri:
+        uri = uri.replace("file:", "file://", 1)
+    return fs.FileSystem.from_uri(uri if "://" in uri else f"file://{uri}")
