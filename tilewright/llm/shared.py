@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from tilewright.functions.storage import forget, fresh_path, shared_folder, written
+from tilewright.functions.storage import forget, fresh_path, open_store, shared_folder, written
 
 __all__ = ["forget", "fresh_path", "open_store", "shared_folder", "slices", "table", "written", "written_slim"]
 
@@ -21,16 +21,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def open_store(uri: str):
-    """(file system, path) of a folder in the shared store, for tasks that write
-    or read byte ranges. Works for every scheme that pyarrow knows."""
-    from pyarrow import fs
-
-    if uri.startswith("file:") and "://" not in uri:
-        uri = uri.replace("file:", "file://", 1)
-    return fs.FileSystem.from_uri(uri if "://" in uri else f"file://{uri}")
-
-
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     """The batches in slices of few rows. Memory that Arrow holds in reserve goes
     back at the end, since the worker lives on."""
