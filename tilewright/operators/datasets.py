@@ -3,12 +3,12 @@ pseudo-labels and scores."""
 
 from __future__ import annotations
 
-import random
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tilewright.functions.geo import overlaps, to_xywh
+from tilewright.functions.storage import written
+from tilewright.operators.dedup import matched, nms
 from tilewright.operators.graph import connected_components
 
 #: In the denominators of precision, recall and F scores.
@@ -44,15 +44,18 @@ def overlap_groups(boxes: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def group_split(groups: DataFrame, val: float = 0.1, test: float = 0.1, seed: int = 42) -> DataFrame:
     """(idx, split): whole groups of two or more go to val, test or train; groups
-    of one go nowhere. Counts are int(share * groups); groups, in order of their
-    least idx, are shuffled by the seed."""
-    spark = groups.sparkSession
-    # one row for each group of several patches; patches themselves stay distributed
-    names = [r.grp for r in groups.where("n > 1").select("grp").distinct().orderBy("grp").collect()]
-    random.Random(seed).shuffle(names)
-    n_val, n_test = int(len(names) * val), int(len(names) * test)
-    split = [(g, "val" if k < n_val else "test" if k < n_val + n_test else "train") for k, g in enumerate(names)]
-    chosen = spark.createDataFrame(split, f"grp {dict(groups.dtypes)['grp']}, split string")
+    of one go nowhere. Counts are int(share * groups); groups come in the order of
+    a hash of their name and the seed, ranked in buckets of that hash."""
+    names = groups.where("n > 1").select("grp").distinct().withColumn("h", F.md5(F.concat_ws(":", F.col("grp").cast("string"), F.lit(str(seed)))))
+    names = written(names.withColumn("bucket", F.substring("h", 1, 3)), "split-groups")
+    n = names.count()
+    sizes = names.groupBy("bucket").count()  # 4096 rows at most
+    before = sizes.select("bucket", (F.sum("count").over(Window.orderBy("bucket")) - F.col("count")).alias("before"))
+    inside = F.row_number().over(Window.partitionBy("bucket").orderBy("h", "grp")) - 1
+    rank = F.col("inside") + F.col("before")
+    n_val, n_test = int(n * val), int(n * test)
+    split = F.when(rank < n_val, "val").when(rank < n_val + n_test, "test").otherwise("train")
+    chosen = names.withColumn("inside", inside).join(F.broadcast(before), "bucket").select("grp", split.alias("split"))
     return groups.where("n > 1").join(chosen, "grp").select("idx", "split")
 
 
@@ -106,6 +109,34 @@ def scores(matrix: DataFrame, background: int) -> DataFrame:
     return with_rates.withColumn("f1", f_score(1, EPSILON)).withColumn("f2", f_score(2, EPSILON))
 
 
+def scores_by_class(matrix: DataFrame, background: int) -> DataFrame:
+    """(cls, precision, recall, f2) of each class but the background; null for 0/0."""
+    p, t, n = F.col("pred_cls"), F.col("true_cls"), F.col("n")
+    sides = matrix.select(F.explode(F.array_distinct(F.array(p, t))).alias("cls"), p, t, n).where(F.col("cls") != background)
+    part = [F.coalesce(F.sum(F.when(c, n)), F.lit(0)) for c in (p == t, (p == F.col("cls")) & (p != t), (t == F.col("cls")) & (p != t))]
+    sums = sides.groupBy("cls").agg(*[c.alias(k) for c, k in zip(part, ("tp", "fp", "fn"), strict=True)])
+    rated = sums.select("cls", F.try_divide("tp", F.col("tp") + F.col("fp")).alias("precision"), F.try_divide("tp", F.col("tp") + F.col("fn")).alias("recall"))
+    return rated.withColumn("f2", f_score(2))
+
+
+def validate(predictions: DataFrame, truths: DataFrame, background: int, conf: float = 0.25, iou: float = 0.6, suppress: float | None = None) -> DataFrame:
+    """One row of tp, fp, fn, precision, recall, f1, f2 for predictions (img, p_id, cls,
+    conf, xmin..ymax) against truths (img, t_id, cls, xmin..ymax): least confidence,
+    suppression of overlaps above ``suppress`` in order of confidence, matching by
+    overlap above ``iou``, the confusion matrix and its scores."""
+    found = predictions.where(F.col("conf") >= conf)
+    if suppress is not None:
+        order = F.struct((-F.col("conf")).alias("c"), "p_id")
+        found = nms(found.withColumn("tile_id", F.col("img")).withColumn("rk", F.row_number().over(Window.partitionBy("img").orderBy(order))), suppress).drop("tile_id", "rk")
+    found = written(found, "validated")
+    return scores(confusion(matched(found, truths, iou), found, truths, background), background)
+
+
+def metric_line(columns: list[str]) -> Column:
+    """Numbers to four places, with a comma and a space between them."""
+    return F.format_string(", ".join(["%.4f"] * len(columns)), *columns)
+
+
 def f_score(beta: float, epsilon: float = 0.0) -> Column:
     """F score of the columns precision and recall; null for 0/0."""
     p, r = F.col("precision"), F.col("recall")

@@ -73,52 +73,115 @@ class TileShape:
     scale: int = NEIGHBOR_STRIP_RGB // NEIGHBOR_STRIP_DSM
 
 
-def detect_tiles(work: DataFrame, load: Callable[[str], np.ndarray], make_detector: Callable[[], Detector], shape: TileShape | None = None, min_elevation: float = 0.0, batch_patches: int = 400) -> DataFrame:
-    """Runs the detector over tiles (coord, x_km, y_km, rgb_url, dsm_url, and the
-    structs right, bottom, corner of URLs). load: URL -> array.
+def detect_in_halves(detector: Detector, batch: np.ndarray) -> list[np.ndarray]:
+    """``detector.detect`` over a batch. When memory runs out, parts of half the size
+    are tried, and stay that small; a single patch that does not fit is an error."""
+    out, at, size = [], 0, len(batch)
+    while at < len(batch):
+        try:
+            out += detector.detect(batch[at : at + size])
+        except (MemoryError, RuntimeError) as e:
+            if not isinstance(e, MemoryError) and "out of memory" not in str(e).lower():
+                raise
+            size //= 2
+            if not size:
+                raise
+            continue
+        at += size
+    return out
+
+
+def strip_of(load: Callable[..., np.ndarray], url: str, rows: int | None, columns: int | None) -> np.ndarray:
+    """The first rows and columns of an image. A loader with the attribute
+    ``windowed`` takes them as arguments and reads no more than that."""
+    if getattr(load, "windowed", False):
+        return load(url, rows, columns)
+    return load(url)[:rows, :columns]
+
 
-    Returns one row for each tile and detection, and one for a tile without any:
-    the columns of DETECTED (null without a detection), and n_patches,
-    skip_reason, error. Elevation is read first, so a low tile costs no colours; a
-    neighbour counts only if both its layers load; a tile that fails says why and
-    the others go on.
+def detect_tiles(work: DataFrame, load: Callable[..., np.ndarray], make_detector: Callable[[], Detector], shape: TileShape | None = None, min_elevation: float = 0.0, batch_patches: int = 400, conf: float = 0.0) -> DataFrame:
+    """Runs the detector over tiles (coord, x_km, y_km, rgb_url, dsm_url, and the
+    structs right, bottom, corner of URLs). load: URL -> array; see strip_of.
+
+    Returns one row for each tile and detection of at least ``conf``, and one for a
+    tile without any: the columns of DETECTED (null without a detection), and
+    n_patches, skip_reason, error. Elevation is read first, so a low tile costs no
+    colours; of neighbours only the strips that they lend are kept, and one counts
+    only if both its layers load. Batches take patches of several tiles. A tile that
+    fails says why and the others go on; if a batch fails, its tiles are tried one
+    by one.
     """
     shape = shape or TileShape()
     kind = DETECTED + ", n_patches int, skip_reason string, error string"
     names = [c.split()[0] for c in kind.split(", ")]
 
-    def one_tile(row, detector: Detector) -> list[tuple]:
-        tile, blank = row.coord.replace("-", "_"), (None,) * 7
+    def bare(row, n: int, reason: str | None, error: str | None) -> tuple:
+        return row.coord.replace("-", "_"), *(None,) * 7, row.rgb_url, row.dsm_url, n, reason, error
+
+    def neighbours(row) -> tuple[list, list]:
+        near = [], []
+        strip = shape.strip
+        for side, rows, columns in ((row.right, None, strip), (row.bottom, strip, None), (row.corner, strip, strip)):
+            try:
+                wide = [None if x is None else x * shape.scale for x in (rows, columns)]
+                parts = (strip_of(load, side["dsm_url"], rows, columns), strip_of(load, side["rgb_url"], *wide)) if side is not None else (None, None)
+            except OSError:
+                parts = None, None
+            for found, part in zip(near, parts, strict=True):
+                found.append(part)
+        return near
+
+    def patches_of(row) -> list | tuple:
+        """The patches of a tile, or the row that says why there are none."""
         try:
             dsm = load(row.dsm_url)
             if min_elevation > 0 and dsm.max() < min_elevation:
-                return [(tile, *blank, row.rgb_url, row.dsm_url, 0, "low_elevation", None)]
-            rgb, near_dsm, near_rgb = load(row.rgb_url), [], []
-            for side in (row.right, row.bottom, row.corner):
-                try:
-                    d, c = (load(side["dsm_url"]), load(side["rgb_url"])) if side is not None else (None, None)
-                except OSError:
-                    d = c = None
-                near_dsm.append(d)
-                near_rgb.append(c)
-            found = fused_patches(mosaic(rgb, shape.strip * shape.scale, *near_rgb), mosaic(dsm, shape.strip, *near_dsm), shape.scale, shape.size, shape.stride)
+                return bare(row, 0, "low_elevation", None)
+            rgb = load(row.rgb_url)
+            near_dsm, near_rgb = neighbours(row)
+            return fused_patches(mosaic(rgb, shape.strip * shape.scale, *near_rgb), mosaic(dsm, shape.strip, *near_dsm), shape.scale, shape.size, shape.stride)
         except Exception as e:
-            return [(tile, *blank, row.rgb_url, row.dsm_url, 0, None, str(e)[:500])]
-        out = []
-        for at in range(0, len(found), batch_patches):
-            part = found[at : at + batch_patches]
-            for (r, c, _), boxes in zip(part, detector.detect(np.stack([p[2] for p in part])), strict=True):
-                x0, y0 = row.x_km * 1000 + c * shape.stride * TARGET_RES, (row.y_km + 1) * 1000 - r * shape.stride * TARGET_RES
-                for cx, cy, w, h, conf, cls in boxes.tolist():
-                    out.append((tile, f"{tile}_{r}_{c}", x0 + TARGET_RES * cx * shape.size, y0 - TARGET_RES * cy * shape.size, conf, abs(w * TARGET_RES), abs(h * TARGET_RES), int(cls), row.rgb_url, row.dsm_url, len(found), None, None))
-        return out or [(tile, *blank, row.rgb_url, row.dsm_url, len(found), None, None)]
+            return bare(row, 0, None, str(e)[:500])
+
+    def rows_of(row, found: list, boxes: list[np.ndarray]) -> list[tuple]:
+        tile, out = row.coord.replace("-", "_"), []
+        for (r, c, _), of_patch in zip(found, boxes, strict=True):
+            x0, y0 = row.x_km * 1000 + c * shape.stride * TARGET_RES, (row.y_km + 1) * 1000 - r * shape.stride * TARGET_RES
+            for cx, cy, w, h, score, cls in of_patch.tolist():
+                if score >= conf:
+                    out.append((tile, f"{tile}_{r}_{c}", x0 + TARGET_RES * cx * shape.size, y0 - TARGET_RES * cy * shape.size, score, abs(w * TARGET_RES), abs(h * TARGET_RES), int(cls), row.rgb_url, row.dsm_url, len(found), None, None))
+        return out or [bare(row, len(found), None, None)]
+
+    def detected(detector: Detector, held: list[tuple]) -> list[tuple]:
+        flat = [p[2] for _, found in held for p in found]
+        try:
+            boxes = [b for at in range(0, len(flat), batch_patches) for b in detect_in_halves(detector, np.stack(flat[at : at + batch_patches]))]
+        except Exception as e:
+            if len(held) > 1:
+                return [r for one in held for r in detected(detector, [one])]
+            return [bare(held[0][0], len(flat), None, str(e)[:500])]
+        out, at = [], 0
+        for row, found in held:
+            out += rows_of(row, found, boxes[at : at + len(found)])
+            at += len(found)
+        return out
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         detector = make_detector()
         detector.warmup()
+        held: list[tuple] = []
         for pdf in batches:
             for row in pdf.itertuples(index=False):
-                yield pd.DataFrame(one_tile(row, detector), columns=names)
+                found = patches_of(row)
+                if isinstance(found, tuple):
+                    yield pd.DataFrame([found], columns=names)
+                    continue
+                held.append((row, found))
+                if sum(len(f) for _, f in held) >= batch_patches:
+                    yield pd.DataFrame(detected(detector, held), columns=names)
+                    held = []
+        if held:
+            yield pd.DataFrame(detected(detector, held), columns=names)
 
     return work.mapInPandas(run, kind)
 

@@ -210,7 +210,8 @@ def overlap_components(spark: SparkSession, sf_dir: str) -> DataFrame:
     return datasets.overlap_groups(*pairs_of(spark, sf_dir))
 
 
-@query()
+@query(GROUPS + """, g as (select distinct grp from groups where n > 1), r as (select grp, row_number() over (order by md5(grp::varchar || ':42'), grp) - 1 as k, count(*) over () as m from g)
+ select o.idx, case when k < trunc(m * 0.1::double) then 'val' when k < 2 * trunc(m * 0.1::double) then 'test' else 'train' end as split from groups o join r on r.grp = o.grp""")
 def group_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return datasets.group_split(written(overlap_components(spark, sf_dir), "groups"))
 
@@ -350,3 +351,6 @@ def stream_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _is_folder(spark: SparkSession, sf_dir: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/events.parquet")
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory()
+
+
+from tilewright.plans import files_catalogue  # noqa: E402, F401  it registers its queries here

@@ -82,6 +82,21 @@ select img, t_id, cls, xmin + away as xmin, ymin, xmax + away as xmax, ymax from
 select tile_id as img, rk as t_id, cast((k1 div 2) % 2 as int) as cls, easting - 6.5 as xmin, northing - 8 as ymin, easting + 9.5 as xmax, northing + 8 as ymax, case when rk % 4 >= 2 then 60 else 0 end as away from det_raw) t
 """
 
+VIEWS["user_coords"] = "select c_custkey as pos, concat(cast(2500 + c_custkey % 40 as string), '-', cast(1100 + c_custkey % 3 as string)) as coord from customer"
+
+VIEWS["detections"] = """
+select tile_id, concat(tile_id, '_0_0') as patch_id, easting, northing, cast(confidence as float) as confidence, cast(k2 as float) as bbox_w_m, cast(k2 + 1 as float) as bbox_h_m,
+ cast(0 as smallint) as class_id, 'rgb' as rgb_source, 'dsm' as dsm_source, k2 from det_raw
+"""
+
+VIEWS["shares"] = """
+select cast(user_id as string) as img, event_id as seq, cast(event_id % 3 as int) as cls, (event_id*7919 % 10000)/10000.0D as cx, (event_id*613 % 10000)/10000.0D as cy,
+ (1 + event_id % 500)/10000.0D as w, (1 + event_id % 700)/10000.0D as h, (event_id*31 % 10000)/10000.0D as conf from events
+"""
+
+# besides the grids, colour patches that have no shade
+VIEWS["colour_files"] = "select concat('patch_', cast(vec_id as string), '.tif') as file_name, vec_id from embeddings union select concat('bare_', cast(vec_id div 4 as string), '.tif'), vec_id div 4 from embeddings"
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages")
 
 

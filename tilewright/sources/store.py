@@ -7,7 +7,7 @@ overwritten a partition at a time, so that writing again changes nothing.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tilewright.functions.geo import box_around, box_wkb
@@ -28,11 +28,14 @@ def read_table(spark: SparkSession, root: str, name: str, schema: str) -> DataFr
     return spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(f"{root}/{name}")
 
 
-def append_detections(detections: DataFrame, root: str, batch_id: str | int) -> None:
-    """Writes a batch of detections into a folder of its own. A batch that is
-    written again replaces itself, so a retry adds nothing twice."""
+def append_detections(detections: DataFrame, root: str, batch_id: str | int) -> int:
+    """Writes a batch of detections into a folder of its own and says how many there
+    are. A batch that is written again replaces itself, so a retry adds nothing
+    twice."""
     stamped = detections if "inserted_at" in detections.columns else detections.withColumn("inserted_at", F.current_timestamp())
-    stamped.write.mode("overwrite").parquet(f"{root}/detections/batch-{batch_id}")
+    seen = Observation()
+    stamped.observe(seen, F.count("*").alias("n")).write.mode("overwrite").parquet(f"{root}/detections/batch-{batch_id}")
+    return seen.get["n"]
 
 
 def mark_done(outcomes: DataFrame, root: str, batch_id: str | int) -> None:
@@ -51,6 +54,11 @@ def all_detections(spark: SparkSession, root: str) -> DataFrame:
     return read_table(spark, root, "detections", DETECTIONS)
 
 
+def total_detections(spark: SparkSession, root: str) -> DataFrame:
+    """One row: how many detections are stored."""
+    return all_detections(spark, root).agg(F.count("*").alias("n"))
+
+
 def save_catalogue(pairs: DataFrame, root: str, bbox: str) -> None:
     """Replaces what is cached for exactly this box; an empty answer is kept too."""
     spark = pairs.sparkSession
