@@ -108,7 +108,9 @@ def read(data: bytes, rows: tuple[int, int] | None = None, columns: tuple[int, i
         raise ValueError(f"compression {codec} with predictor {predictor} is not supported")
     top, bottom = rows or (0, at.height)
     left, right = columns or (0, at.width)
-    bottom, right = min(bottom, at.height), min(right, at.width)
+    # a window beyond the image is cut to it
+    top, left = min(top, at.height), min(left, at.width)
+    bottom, right = max(top, min(bottom, at.height)), max(left, min(right, at.width))
     tiled = TILE_OFFSETS in fields
     w = fields[TILE_WIDTH][0] if tiled else at.width
     h = fields[TILE_HEIGHT][0] if tiled else min(at.height, fields.get(ROWS_PER_STRIP, (at.height,))[0])
