@@ -75,11 +75,10 @@ class KdTree:
         return tree
 
 
-def products(points: np.ndarray, query: np.ndarray) -> np.ndarray:
-    """Inner products of whole numbers, exact at any size. Scores that do not fit
-    into 64 bits are an error."""
-    most = np.abs(points) @ np.abs(query)
-    if most.max(initial=0) < EXACT:
+def products(points: np.ndarray, query: np.ndarray, small: bool) -> np.ndarray:
+    """Inner products of whole numbers, exact at any size. small: no sum can reach
+    EXACT. Scores that do not fit into 64 bits are an error."""
+    if small:
         return (points @ query).astype(np.int64)
     whole = [int(x) for x in query.tolist()]
     found = [sum(int(x) * y for x, y in zip(p, whole, strict=True)) for p in points.tolist()]
@@ -88,7 +87,7 @@ def products(points: np.ndarray, query: np.ndarray) -> np.ndarray:
     return np.array(found, np.int64)
 
 
-def _best_first(tree: KdTree, ids: np.ndarray, bounds: np.ndarray, query: np.ndarray, q: int, best: Best) -> None:
+def _best_first(tree: KdTree, ids: np.ndarray, bounds: np.ndarray, query: np.ndarray, small: bool, q: int, best: Best) -> None:
     own = best.ids[q]
     heap = [(-bounds[0], 0)]
     while heap:
@@ -103,7 +102,7 @@ def _best_first(tree: KdTree, ids: np.ndarray, bounds: np.ndarray, query: np.nda
             continue
         a, b = tree.first[node], tree.last[node]
         others = ids[a:b] != own
-        scores, found = products(tree.points[a:b][others], query), ids[a:b][others]
+        scores, found = products(tree.points[a:b][others], query, small), ids[a:b][others]
         keep = scores >= (scores.min(initial=0) if kth is None else kth)
         if keep.any():
             best.add(q, found[keep], scores[keep])
@@ -146,8 +145,10 @@ def exact_top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, scale: int =
         tree = KdTree.load(data)
         bounds = tree.bounds(search.queries)
         mine = ids[tree.rows]
+        # the root's box holds all points
+        small = np.abs(search.queries) @ np.maximum(np.abs(tree.low[0]), np.abs(tree.high[0])) < EXACT
         for n in range(len(search.queries)):
-            _best_first(tree, mine, bounds[n], search.queries[n], n, search.found)
+            _best_first(tree, mine, bounds[n], search.queries[n], small[n], n, search.found)
 
     state.integer = True
     return ranked(search_blocks(q, trees, shards, blocks, visit, state), k, lowest=False)
