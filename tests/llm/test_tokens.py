@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from tokenizers import Tokenizer
 
-from tilewright.llm.packing import best_fit, cut, pack_documents, pack_pieces
+from tilewright.llm.packing import crossings, cut, pack_documents, pack_pieces, sequences_needed, sweep
 from tilewright.llm.token_blocks import pack_block, read_token_blocks, unpack_block, write_token_blocks
 from tilewright.llm.tokenise import TextEncoder, default_tokenizer
 
@@ -83,14 +83,36 @@ def slow_best_fit(sizes, capacity):
 
 
 @pytest.mark.parametrize("seed", range(4))
-def test_best_fit_against_plain_search(seed):
+def test_sweeps_of_ranges_are_one_sweep(seed):
+    """Sweeps of ranges and crossings against a plain search, piece by piece."""
     rng = np.random.default_rng(seed)
-    sizes = np.sort(rng.integers(1, 65, 300))[::-1]
-    place, offset, gaps = best_fit(sizes, 64)
-    assert len(gaps) == slow_best_fit(sizes.tolist(), 64)
-    for b in range(len(gaps)):
-        inside = np.flatnonzero(place == b)
-        assert (np.cumsum(sizes[inside]) - sizes[inside] == offset[inside]).all() and sizes[inside].sum() == 64 - gaps[b]
+    pieces, gaps = rng.integers(1, 65, 200).tolist(), rng.integers(1, 65, 150).tolist()
+    events = sorted([(g, None, k, g) for k, g in enumerate(gaps)] + [(s, k, None, None) for k, s in enumerate(pieces)], key=lambda e: (-e[0], e[1] is not None))
+    taken, left = [], []
+    for part in range(0, len(events), 40):
+        left.append(sweep(events[part : part + 40], taken))
+    for part, first, end, other, shift in crossings([(k, len(w), len(f)) for k, (w, f) in enumerate(left)]):
+        taken += [(*left[part][0][i], *left[other][1][i + shift]) for i in range(first, end)]
+    assert len({t[0] for t in taken}) == len({t[2] for t in taken}) == len(taken)
+    free, expected = sorted(gaps), []
+    for s in sorted(pieces, reverse=True):
+        fit = next((g for g in free if g >= s), None)
+        if fit is not None:
+            free.remove(fit)
+            expected.append((s, fit))
+    assert sorted((size, gap) for _, size, _, gap in taken) == sorted(expected)
+
+
+def test_no_more_sequences_are_opened_than_needed():
+    count = lambda *sizes: np.bincount(sizes, minlength=65)
+    assert sequences_needed(count(40, 40, 40), count(), 20, 64) == 3
+    assert sequences_needed(count(30, 30, 30), count(29, 29), 20, 64) == 2
+    assert sequences_needed(count(30, 30, 30), count(60), 20, 64) == 1
+    assert sequences_needed(count(30, 20), count(64), 10, 64) == 0
+    rng = np.random.default_rng(3)
+    for _ in range(50):
+        sizes = sorted(rng.integers(9, 65, 40).tolist(), reverse=True)
+        assert sequences_needed(count(*sizes), count(), 8, 64) <= slow_best_fit(sizes, 64)
 
 
 def check_packed(rows, capacity):
@@ -133,4 +155,14 @@ def test_bad_lengths_and_empty(spark):
     pieces = spark.createDataFrame([(1, 0, 65)], "doc_id long, piece int, length long")
     with pytest.raises(ValueError):
         pack_pieces(pieces, capacity=64)
+    with pytest.raises(ValueError):
+        pack_pieces(pieces.withColumn("Offset", pieces.length))
+    with pytest.raises(ValueError):
+        pack_pieces(spark.createDataFrame([(1, None)], "doc_id long, length long"))
     assert pack_documents(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_other_columns_stay_when_packed(spark):
+    rows = [(k, 1 + k % 64, k, "x", None, 5, 6) for k in range(200)]
+    found = pack_pieces(spark.createDataFrame(rows, "doc_id long, length int, row long, size string, seq string, gap int, part int"), capacity=64, shard_pieces=50).collect()
+    assert sorted(tuple(r)[:7] for r in found) == rows and check_packed(found, 64) <= slow_best_fit(sorted((r[1] for r in rows), reverse=True), 64) + 1

@@ -1,37 +1,46 @@
-"""Best-fit packing of token sequences.
-
-Method: a plan of best-fit from a histogram of sizes. It takes the place of
-bulk-synchronous sweeps over sorted pieces and gaps on Spark. Sizes are whole
-numbers up to the capacity, so gaps of one size form runs of sequences, and how many
-pieces have each size settles where all of them go. The driver goes through the
-sizes from the largest down, in a loop over at most ``capacity`` counts: rank r among
-the pieces of a size goes to the (r // k)-th sequence of the smallest gaps that hold
-it, if k such pieces fit into one, or to a new sequence. The result is that of
-best-fit over all pieces in falling order of size, one at a time.
-
-The plan is a table of intervals of ranks whose size depends on the capacity, not on
-the corpus. Executors rank the pieces and look their places up.
+"""Best-fit packing of token sequences, in supersteps.
+
+A superstep takes the pieces between ``1 / SPREAD`` of the largest size that is left
+and that size, and the gaps that may hold one of them:
+
+1. sequences are opened, as many as a lower bound says are needed in any case;
+2. each gap is offered as places: some that hold the largest of these pieces, and
+   what is over as one more place;
+3. pieces and places are range-sorted together, from large to small, and each task
+   sweeps its range: a piece takes the smallest place before it that is free, so of
+   pieces that want one place the one of higher rank has it, and the others go on to
+   the next larger place;
+4. pieces that found no place in their own range take those that earlier ranges left,
+   smallest first. Counts of what each range left settle which ones;
+5. gaps shrink by what they took, and the next superstep begins with the pieces that
+   are left and the next smaller ones.
+
+A superstep places at least the largest piece that is left, and mostly nearly all.
+The driver sees counts by size (at most ``capacity``) and by range; pieces and gaps
+stay in tables.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared import slices, written_slim
+from .shared import forget, slices, written, written_slim
 from .tokenise import default_tokenizer, encoder
 
-#: Pieces of one size that are ranked together; more are dealt out first.
-SHARD_PIECES = 1024
-#: Ranks of one size are below this.
-_RANKS = 1 << 40
+#: Pieces and places that one task sweeps, about.
+SHARD_PIECES = 100_000
+#: Largest by smallest size of the pieces of a superstep, about.
+SPREAD = 1.5
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
+_SWEPT = "part int, nth long, row long, size long, seq long, gap long"
 
 
 def cut(length: int, capacity: int) -> list[tuple[int, int]]:
@@ -63,107 +72,178 @@ def token_pieces(docs: DataFrame, capacity: int = 2048, end_id: int = 0, tokeniz
     return slim.mapInArrow(lambda it: _pieces(it, path, capacity, end_id), PIECES)
 
 
-class Sweeps:
-    """The plan of best-fit over ``counts`` (size -> pieces), as intervals of ranks.
-
-    An interval starts at (size, rank) and says into which sequence its first
-    piece goes, how many pieces each sequence takes, and where in it they begin.
-    gaps: lists of (first sequence, sequences) for each size of gap at the end.
-    """
-
-    def __init__(self, counts: dict[int, int], capacity: int):
-        self.gaps: list[list[tuple[int, int]]] = [[] for _ in range(capacity + 1)]
-        self.used, self.open, found = 0, 0, []
-        for size in sorted(counts, reverse=True):
-            rank, n = 0, counts[size]
-            while rank < n:
-                above = self.open >> size
-                if above:
-                    gap = size + (above & -above).bit_length() - 1
-                    first, sequences = self._take(gap)
-                else:
-                    gap, first = capacity, self.used
-                    sequences = -(-(n - rank) // (capacity // size))
-                    self.used += sequences
-                each = gap // size
-                found.append((size * _RANKS + rank, first, each, capacity - gap))
-                full, over = min(sequences, (n - rank) // each), 0
-                self._put(gap - each * size, first, full)
-                if full < sequences:
-                    over = n - rank - full * each
-                    self._put(gap - over * size, first + full, 1 if over else 0)
-                    self._put(gap, first + full + bool(over), sequences - full - bool(over))
-                rank += full * each + over
-        found.sort()
-        self.start, self.first, self.each, self.at = np.array(found, np.int64).reshape(-1, 4).T
-
-    def _take(self, gap: int) -> tuple[int, int]:
-        run = self.gaps[gap].pop()
-        if not self.gaps[gap]:
-            self.open ^= 1 << gap
-        return run
-
-    def _put(self, gap: int, first: int, sequences: int) -> None:
-        if sequences:
-            self.gaps[gap].append((first, sequences))
-            self.open |= 1 << gap
-
-    def places(self, size: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(sequence, offset) of the pieces of these sizes and ranks."""
-        key = size * _RANKS + rank
-        k = np.searchsorted(self.start, key, side="right") - 1
-        nth, inside = np.divmod(key - self.start[k], self.each[k])
-        return self.first[k] + nth, self.at[k] + inside * size
-
-
-def best_fit(sizes: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(bin, offset) of each size, and what is left of each bin."""
-    size, which, n = np.unique(np.asarray(sizes, np.int64), return_inverse=True, return_counts=True)
-    order = np.argsort(which, kind="stable")
-    rank = np.empty(len(which), np.int64)
-    rank[order] = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
-    sweeps = Sweeps(dict(zip(size.tolist(), n.tolist(), strict=True)), capacity)
-    left = np.empty(sweeps.used, np.int64)
-    for gap, runs in enumerate(sweeps.gaps):
-        for first, sequences in runs:
-            left[first : first + sequences] = gap
-    return *sweeps.places(size[which], rank), left
-
-
-def _place(batches: Iterator[pa.RecordBatch], sweeps) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        size, rank = (batch.column(c).to_numpy() for c in ("length", "__rank"))
-        put = [pa.array(x) for x in sweeps.value.places(size, rank)]
-        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *put], [*batch.schema.names[:-1], "sequence_id", "offset"])
+def sweep(events: Iterable[tuple[int, int, int | None, int | None]], taken: list) -> tuple[list, list]:
+    """Sweeps (size, row, None, None) of pieces and (size, None, sequence, gap) of
+    places, from large to small, places first among equals. Adds a (row, size,
+    sequence, gap) to ``taken`` for each piece with a place, and gives the pieces
+    without one, in order, and the places that are left, smallest first."""
+    free, without = [], []
+    for size, row, seq, gap in events:
+        if row is None:
+            free.append((seq, gap))
+        elif free:
+            taken.append((row, size, *free.pop()))
+        else:
+            without.append((row, size))
+    return without, free[::-1]
+
+
+def crossings(left: Iterable[tuple[int, int, int]]) -> list[tuple[int, int, int, int, int]]:
+    """From (range, pieces left, places left), ranges in order: (range, first, end,
+    other, shift), by which piece ``i`` that is left in ``range``, first <= i < end,
+    takes place ``i + shift`` that is left in ``other``. Sizes fall from range to
+    range, so the places of the last range before are the smallest."""
+    stack, found = [], []
+    for part, pieces, places in left:
+        at = 0
+        while at < pieces and stack:
+            top = stack[-1]
+            n = min(pieces - at, top[2])
+            found.append((part, at, at + n, top[0], top[1] - at))
+            at += n
+            top[1] += n
+            top[2] -= n
+            if not top[2]:
+                stack.pop()
+        if places:
+            stack.append([part, 0, places])
+    return found
+
+
+def sequences_needed(pieces: np.ndarray, gaps: np.ndarray, low: int, capacity: int) -> int:
+    """Sequences that must be opened for ``pieces`` of more than ``low`` tokens beside
+    ``gaps`` (both: how many there are of each size from 0 to ``capacity``). For each
+    t, pieces above t fit only into gaps above t, by their tokens and by their number."""
+    size = np.arange(capacity + 1)
+    tokens = np.cumsum((size * (pieces - gaps))[::-1])[::-1]
+    number = np.cumsum(pieces[::-1])[::-1]
+    need = 0
+    for t in range(low + 1, int(np.flatnonzero(pieces)[-1]) + 1):
+        need = max(need, -(-int(tokens[t]) // capacity), -(-int(number[t] - gaps @ (size // t)) // (capacity // t)))
+    return need
+
+
+def _sweep_range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    part, taken = TaskContext.get().partitionId(), []
+
+    def events():
+        for batch in batches:
+            yield from zip(*(batch.column(c).to_pylist() for c in ("value", "row", "seq", "gap")), strict=True)
+
+    without, free = sweep(events(), taken)
+    rows = [(part, None, *t) for t in taken]
+    rows += [(part, k, *t, None, None) for k, t in enumerate(without)]
+    rows += [(part, k, None, None, *t) for k, t in enumerate(free)]
+    if rows:
+        kinds = (pa.int32(), *[pa.int64()] * 5)
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), kinds, strict=True)], ["part", "nth", "row", "size", "seq", "gap"])
+
+
+def _places(bins: DataFrame, low: int, top: int, most: int) -> DataFrame:
+    """What ``bins`` (seq, gap) offer to pieces of more than ``low`` and at most
+    ``top`` tokens: up to ``most`` places for any of them, and the rest of the gap."""
+    whole = F.least(F.expr(f"gap div {top}"), F.lit(most)).cast("int")
+    values = F.concat(F.array_repeat(F.lit(top).cast("long"), whole), F.array(F.col("gap") - whole * top))
+    return bins.filter(F.col("gap") > low).select(F.explode(values).alias("value"), F.lit(None).cast("long").alias("row"), "seq", "gap").filter(F.col("value") > low)
+
+
+def _superstep(pieces: DataFrame, places: DataFrame, parts: int) -> DataFrame:
+    """One sweep of ``pieces`` (row, size) and ``places`` over ``parts`` ranges, as a
+    table of row, size, seq, gap: pieces with the gap that they take or nulls, and
+    places that were left with null pieces."""
+    none = F.lit(None).cast("long")
+    events = pieces.select(F.col("size").alias("value"), "row", none.alias("seq"), none.alias("gap")).unionByName(places)
+    order = [F.desc("value"), F.asc_nulls_first("row"), F.asc("seq")]
+    swept = written(events.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(_sweep_range, _SWEPT), "pack-swept")
+    left = swept.filter("nth is not null").groupBy("part").agg(F.count("row"), F.count("seq")).orderBy("part").collect() if parts > 1 else []
+    crossed = crossings(tuple(r) for r in left)
+    if not crossed:
+        return swept
+    # at most two rows for each range
+    cross = F.broadcast(swept.sparkSession.createDataFrame(crossed, "part int, first long, end long, other int, shift long"))
+    free = swept.filter("nth is not null and seq is not null")
+    taken = free.select(F.col("part").alias("other"), F.col("nth").alias("slot"), "seq", "gap")
+    without = swept.filter("nth is not null and row is not null").select("part", "nth", "row", "size").alias("w")
+    near = without.join(cross.alias("c"), F.expr("w.part = c.part and w.nth >= c.first and w.nth < c.end"), "left").select("row", "size", "other", F.expr("nth + shift").alias("slot"))
+    columns = ["row", "size", "seq", "gap"]
+    settled = swept.filter("nth is null").select(columns).union(near.join(taken, ["other", "slot"], "left").select(columns)).union(free.select(columns))
+    out = written(settled, "pack-settled")
+    forget(swept)
+    return out
+
+
+def _histogram(rows: Iterable, capacity: int) -> np.ndarray:
+    out = np.zeros(capacity + 1, np.int64)
+    for value, n in rows:
+        out[value] += n
+    return out
+
+
+def _supersteps(spark: SparkSession, sizes: DataFrame, fresh: np.ndarray, capacity: int, shard_pieces: int) -> DataFrame:
+    """(row, size, seq) of all ``sizes`` (row, size), of which ``fresh`` counts how
+    many there are of each size."""
+    size = np.arange(capacity + 1)
+    bins, over = spark.createDataFrame([], "seq long, gap long"), spark.createDataFrame([], "row long, size long")
+    gaps, pieces, below, used, placed = np.zeros_like(fresh), np.zeros_like(fresh), capacity, 0, []
+    while pieces.any() or fresh[: below + 1].any():
+        top = int(np.flatnonzero(pieces + np.where(size <= below, fresh, 0))[-1])
+        low = int(top / SPREAD)
+        now = pieces + np.where((size > low) & (size <= below), fresh, 0)
+        todo = over.unionByName(sizes.filter((F.col("size") > low) & (F.col("size") <= below)))
+        below = min(below, low)
+
+        needed = sequences_needed(now, np.where(size > low, gaps, 0), low, capacity)
+        gaps[capacity] += needed
+        opened = spark.range(used, used + needed).select(F.col("id").alias("seq"), F.lit(capacity).cast("long").alias("gap"))
+        used += needed
+        # no more places than pieces, about
+        most, whole = 1, size // top
+        while most < whole[-1] and gaps @ np.minimum(whole, most) < now.sum():
+            most += 1
+        n_places = int(gaps[low + 1 :].sum() + gaps @ np.minimum(whole, most))
+        state = bins.unionByName(opened)
+        settled = _superstep(todo, _places(state, low, top, most), -(-(int(now.sum()) + n_places) // shard_pieces))
+
+        placed.append(settled.filter("row is not null and seq is not null").select("row", "size", "seq"))
+        over = settled.filter("row is not null and seq is null").select("row", "size")
+        shrunk = settled.filter("seq is not null").groupBy("seq").agg((F.max("gap") - F.coalesce(F.sum("size"), F.lit(0))).alias("gap"))
+        bins, old = written(shrunk.unionByName(state.filter(F.col("gap") <= low)).filter("gap > 0"), "pack-gaps"), bins
+        forget(old)
+        seen = over.select(F.lit(0).alias("kind"), F.col("size").alias("value")).union(bins.select(F.lit(1), "gap")).groupBy("kind", "value").count().collect()
+        pieces, gaps = (_histogram([(r.value, r["count"]) for r in seen if r.kind == k], capacity) for k in (0, 1))
+    out = placed[0]
+    for p in placed[1:]:
+        out = out.union(p)
+    return out
 
 
 def pack_pieces(pieces: DataFrame, capacity: int = 2048, shard_pieces: int = SHARD_PIECES) -> DataFrame:
-    """``pieces`` (with length between 1 and capacity, and doc_id and piece, which
-    order those of one length) with sequence_id and offset: the pieces of a
-    sequence lie without gaps from 0 and hold at most ``capacity`` tokens.
+    """``pieces`` (with length between 1 and capacity) with sequence_id and offset:
+    the pieces of a sequence lie without gaps from 0 and hold at most ``capacity``
+    tokens.
 
     Repeated rows are packed as often as they come; null doc_ids and pieces are
-    packed like others. Other columns stay. Lengths that are null or out of range
-    are an error. At most about ``shard_pieces`` of one length are sorted together.
+    packed like others. Other columns stay; ones named as the two that are added are
+    an error, as are lengths that are null or out of range. A task sweeps about
+    ``shard_pieces`` pieces and places of a superstep.
     """
-    sc, names = pieces.sparkSession.sparkContext, pieces.columns
+    spark, names = pieces.sparkSession, pieces.columns
+    if clash := {"sequence_id", "offset"} & {n.lower() for n in names}:
+        raise ValueError(f"columns that packing adds are there already: {sorted(clash)}")
     held = written_slim(pieces.withColumn("length", F.col("length").cast("long")).withColumn("__row", F.monotonically_increasing_id()), "pack-pieces")
     low, high, bad = held.agg(F.min("length"), F.max("length"), F.count_if(F.col("length").isNull())).first()
     if bad or low is not None and (low < 1 or high > capacity):
         raise ValueError(f"lengths must be from 1 to {capacity}")
+    if low is None:
+        return held.select(*names, F.lit(None).cast("long").alias("sequence_id"), F.lit(None).cast("long").alias("offset"))
     # at most ``capacity`` counts
-    counts = {r.length: r["count"] for r in held.groupBy("length").count().collect()}
-    sweeps = sc.broadcast(Sweeps(counts, capacity))
-
-    # ranks: inside (length, part), and the pieces of the parts before
-    parts = F.broadcast(pieces.sparkSession.createDataFrame([(s, -(-n // shard_pieces)) for s, n in counts.items()], "length long, __parts long"))
-    dealt = held.join(parts, "length").withColumn("__part", F.pmod(F.xxhash64("__row"), F.col("__parts"))).drop("__parts")
-    sized = dealt.groupBy("length", "__part").count()
-    before = sized.select("length", "__part", (F.sum("count").over(Window.partitionBy("length").orderBy("__part")) - F.col("count")).alias("__before"))
-    inside = F.row_number().over(Window.partitionBy("length", "__part").orderBy("doc_id", "piece", "__row")) - 1
-    ranked = dealt.withColumn("__inside", inside).join(before, ["length", "__part"])
-    kinds = ", ".join(f"`{c}` {'long' if c == 'length' else kind}" for c, kind in pieces.dtypes)
-    return ranked.select(*names, (F.col("__inside") + F.col("__before")).alias("__rank")).mapInArrow(lambda it: _place(it, sweeps), f"{kinds}, sequence_id long, offset long")
+    fresh = _histogram(((r.length, r["count"]) for r in held.groupBy("length").count().collect()), capacity)
+    sizes = held.select(F.col("__row").alias("row"), F.col("length").alias("size"))
+    places = _supersteps(spark, sizes, fresh, capacity, shard_pieces)
+    # a sequence holds at most ``capacity`` pieces
+    within = Window.partitionBy("seq").orderBy("row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    put = places.select(F.col("row").alias("__row"), F.col("seq").alias("sequence_id"), (F.sum("size").over(within) - F.col("size")).alias("offset"))
+    return held.join(put, "__row").select(*names, "sequence_id", "offset")
 
 
 def pack_documents(docs: DataFrame, capacity: int = 2048, end_id: int = 0, tokenizer: str | None = None) -> DataFrame:
