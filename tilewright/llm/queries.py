@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .ann import nearest_neighbours
+from .clustering import cluster_vectors
 from .exact_topk import exact_top_k
 from .mixing import mix_sources
 from .ngram_join import ngram_jaccard_join
@@ -19,6 +20,7 @@ from .shared import table
 from .token_blocks import read_token_blocks, write_token_blocks
 from .toxicity import score_toxicity
 from .url_filter import filter_urls
+from .vector_codes import compress_vectors
 from .warc import round_trip
 
 
@@ -66,6 +68,14 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest_neighbours(vectors, vectors.where("vec_id % 100 = 0"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return compress_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cluster_vectors(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -79,6 +89,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_url_filter,
         op9_sharding,
         op10_nearest_neighbours,
+        op11_vector_codes,
+        op12_centroid_clustering,
     )
 }
 
@@ -165,3 +177,63 @@ with v as (
 )
 select * from r where rank <= 10
 """
+
+
+def _mean(of: str, n: str) -> str:
+    """Floor of a quotient of whole numbers."""
+    return f"({of} - (({of} % {n}) + {n}) % {n}) // {n}"
+
+
+def _lloyd(rounds: int, width: int) -> str:
+    """CTEs of Lloyd's rounds from c0 (pos, e, v) over p (pos, v, ...), up to c{rounds},
+    and the assignment to it, fin (the columns of p, e, d)."""
+
+    def assigned(k: int) -> str:
+        return f"select p.*, m.e, m.d from p join near{k} m on m.pos = p.pos and m.v = p.v"
+
+    def near(k: int) -> str:
+        return f"""near{k} as materialized (select pos, v, best.e as e, best.d as d from (
+            select x.pos, x.v, min({{'d': list_sum(list_transform(range(1, {width + 1}), lambda i: (x.v[i] - c.v[i]) * (x.v[i] - c.v[i])))::bigint, 'e': c.e}}) as best
+            from (select distinct pos, v from p) x join c{k} c on c.pos = x.pos group by x.pos, x.v))"""
+
+    parts = []
+    for k in range(rounds):
+        parts.append(near(k))
+        parts.append(f"""c{k + 1} as materialized (select c.pos, c.e, coalesce(m.v, c.v) as v from c{k} c left join (
+            select pos, e, list({_mean("s", "n")} order by i) as v from (
+                select pos, e, i, sum(v[i])::bigint as s, count(*)::bigint as n from (select *, unnest(range(1, {width + 1})) as i from ({assigned(k)})) group by pos, e, i
+            ) group by pos, e) m on m.pos = c.pos and m.e = c.e)""")
+    parts += [near(rounds), f"fin as materialized ({assigned(rounds)})"]
+    return ", ".join(parts)
+
+
+def _whole(scale: int, more: str = "") -> str:
+    return f"""k as materialized (
+    select vec_id, label, list_transform(embedding, lambda x: floor({scale} * x::double)::bigint) as v from embeddings
+    where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0{more}
+)"""
+
+
+ORACLE_SQL["op11_vector_codes"] = f"""
+with {_whole(1024)}, p as materialized (
+    select vec_id, label, pos, v[pos * 16 + 1:pos * 16 + 16] as v from k, (select unnest(range(4)) as pos)
+), c0 as materialized (
+    select pos, row_number() over (partition by pos order by vec_id) - 1 as e, v from p qualify e < 256
+), {_lloyd(4, 16)}, books as (
+    select sha256(string_agg(array_to_string(v, ','), ',' order by pos, e)) as codebooks_sha256 from c4
+), coded as (
+    select vec_id, label, string_agg(lpad(lower(to_hex(e)), 2, '0'), '' order by pos) as code, sum(d)::bigint as error from fin group by 1, 2
+)
+select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error, codebooks_sha256 from coded, books
+"""
+
+ORACLE_SQL["op12_centroid_clustering"] = f"""
+with {_whole(64, " and len(embedding) = 64")}, p as materialized (
+    select vec_id, 0 as pos, v from k
+), c0 as materialized (
+    select 0 as pos, row_number() over (order by sha256('1:' || vec_id)) - 1 as e, v from k qualify e < 16
+), {_lloyd(3, 64)}
+select fin.vec_id, fin.e::int as cluster, d as distance, (sum(d) over (partition by fin.e))::bigint as cluster_inertia, (sum(d) over ())::bigint as inertia,
+    sha256(array_to_string(c3.v, ',')) as centroid_sha256
+from fin join c3 on c3.e = fin.e
+"""
