@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .ann import nearest_neighbours
@@ -15,6 +15,7 @@ from .exact_topk import exact_top_k
 from .mixing import mix_sources
 from .ngram_join import ngram_jaccard_join
 from .packing import pack_documents
+from .pii import KINDS, find_personal_data
 from .sharding import shard_documents
 from .shared import table
 from .token_blocks import read_token_blocks, write_token_blocks
@@ -76,6 +77,19 @@ def op12_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cluster_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_personal_data(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def told(spans) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    return found.select("doc_id", *map(count, KINDS), F.sha2(told(base), 256).alias("base_sha256"), told("spans").alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -91,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_nearest_neighbours,
         op11_vector_codes,
         op12_centroid_clustering,
+        op13_personal_data,
     )
 }
 
