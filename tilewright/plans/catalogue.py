@@ -353,4 +353,4 @@ def _is_folder(spark: SparkSession, sf_dir: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory()
 
 
-from tilewright.plans import files_catalogue  # noqa: E402, F401  it registers its queries here
+from tilewright.plans import files_catalogue, stream_catalogue  # noqa: E402, F401  they register their queries here
