@@ -7,7 +7,6 @@ import json
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from tilewright.streaming.state import EVENTS, fold_events, item_events, newest_items, open_tiles, outcome_events, tile_states
 
@@ -73,3 +72,73 @@ def test_events_leave_out_what_has_no_key(spark):
     assert sorted((r.coord, r.kind, r.year, r.seq) for r in item_events(items).collect()) == [("2500-1100", "dsm", 0, 2**63 - 1), ("2500-1100", "rgb", 2020, 1)]
     log = spark.createDataFrame([("1_1", 1, None, dt.datetime(2020, 1, 1), None), (None, 1, None, dt.datetime(2020, 1, 1), 2), ("1_1", 1, None, None, 3)], "tile_id string, n_detections int, skip_reason string, processed_at timestamp, seq long")
     assert [(r.coord, r.seq) for r in outcome_events(log).collect()] == [("1-1", -(2**63))]
+
+
+def write_pages(at, layer, numbers, per_page=3):
+    folder = at / "pages" / layer
+    folder.mkdir(parents=True, exist_ok=True)
+    for n in numbers:
+        boxes = [[n * 10 + k, 0, n * 10 + k + 1, 1] for k in range(per_page)]
+        features = [{"id": f"{layer}-{n}-{k}", "bbox": b, "assets": {"x": {"href": "a.txt"}, "y": {"href": f"{n}.tif"}}} for k, b in enumerate(boxes)]
+        (folder / f"{n}.json").write_text(json.dumps({"features": features, "bbox": [n * 10, 0, n * 10 + per_page, 1]}))
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 7, 8, 9, 40])
+def test_pages_are_counted_by_halving(tmp_path, n):
+    from tilewright.sources.pages import count_pages
+
+    write_pages(tmp_path, "rgb", range(n))
+    root = f"file://{tmp_path}/pages"
+    assert count_pages(root, "rgb") == n and count_pages(root, "rgb", n) == n and count_pages(root, "rgb", n // 2) == n
+
+
+def test_filters_reach_the_pages(spark, tmp_path, capfd):
+    from tilewright.sources.pages import pages, with_pushdown
+
+    write_pages(tmp_path, "rgb", range(20))
+    # never read, or the scan would fail
+    (tmp_path / "pages" / "dsm").mkdir()
+    (tmp_path / "pages" / "dsm" / "0.json").write_text("no JSON")
+    root = f"file://{tmp_path}/pages"
+    near = pages(spark, root).where("layer in ('rgb', 'map') and west >= 30 and east <= 52 and href like '%.tif'")
+    rows = with_pushdown(near, "near").orderBy("page", "pos").collect()
+    assert [(r.page, r.pos) for r in rows] == [(p, k) for p in range(20) for k in range(3) if p * 10 + k >= 30 and p * 10 + k + 1 <= 52]
+    assert rows[0].href == "3.tif"
+    key = "spark.sql.python.filterPushdown.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "true")
+    try:
+        pages(spark, root).where("layer = 'rgb' and west >= 30").explain("formatted")
+    finally:
+        spark.conf.set(key, before)
+    told = capfd.readouterr().out
+    assert "PushedFilters" in told and "west" in told.split("PushedFilters")[1] and "* Filter" not in told
+
+
+def test_pages_outside_are_skipped():
+    from pyspark.sql.datasource import EqualTo, GreaterThan, LessThanOrEqual, Not
+
+    from tilewright.sources.pages import Pushed
+
+    p = Pushed(["rgb", "dsm"])
+    assert p.take(GreaterThan(("west",), 5)) and p.take(LessThanOrEqual(("north",), 3)) and p.take(EqualTo(("layer",), "dsm")) and p.layers == ["dsm"]
+    assert not p.take(EqualTo(("item_id",), "x")) and not p.take(Not(EqualTo(("layer",), "x")))
+    assert p.skips_page([0, 0, 5, 1]) and not p.skips_page([0, 0, 6, 1]) and p.skips_page([0, 4, 9, 9]) and not p.skips_page(None)
+    assert p.keeps([6, 0, 7, 3]) and not p.keeps([5, 0, 7, 3]) and not p.keeps(None)
+
+
+def test_stream_of_pages_goes_on_from_its_offset(spark, tmp_path):
+    from tilewright.sources.pages import pages_stream
+
+    root = f"file://{tmp_path}/pages"
+
+    def take(name, **since):
+        pages_stream(spark, root, "rgb", since).writeStream.format("parquet").option("path", f"{tmp_path}/{name}").option("checkpointLocation", f"{tmp_path}/{name}-check").trigger(availableNow=True).start().awaitTermination()
+        return sorted(r.page for r in spark.read.parquet(f"{tmp_path}/{name}").where("pos = 0").collect())
+
+    write_pages(tmp_path, "rgb", range(3))
+    assert take("all") == [0, 1, 2]
+    assert take("all") == [0, 1, 2]
+    write_pages(tmp_path, "rgb", range(3, 40))
+    assert take("all") == list(range(40))
+    assert take("late", rgb=37) == [37, 38, 39]
