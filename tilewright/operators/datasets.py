@@ -8,22 +8,26 @@ from pyspark.sql import functions as F
 
 from tilewright.functions.geo import overlaps, to_xywh
 from tilewright.functions.storage import written
-from tilewright.operators.dedup import matched, nms
+from tilewright.operators.boxes import self_pairs
+from tilewright.operators.dedup import matched, nms_by_rounds
 from tilewright.operators.graph import connected_components
 
 #: In the denominators of precision, recall and F scores.
 EPSILON = 1e-16
 
 
-def overlap_pairs(boxes: DataFrame, side: float) -> DataFrame:
+def overlap_pairs(boxes: DataFrame, side: float | None = None) -> DataFrame:
     """(i, j), i < j, of overlapping boxes (idx, xmin, ymin, xmax, ymax) that are at
-    most ``side`` wide and high.
+    most ``side`` wide and high; None: of any size, by levels of cells.
 
-    Each box goes to the cells of that size that it touches, four at most; boxes
+    With a side, each box goes to the cells of that size that it touches, four at most; boxes
     meet in a cell, and a pair counts in the one cell that holds the lower left
     corner of its intersection, so no distinct is needed.
     """
 
+    if side is None:
+        return self_pairs(boxes.withColumn("map", F.lit(0)), "map", "idx").select(F.col("first").alias("i"), F.col("second").alias("j"))
+
     def cells(low: str, high: str) -> Column:
         return F.sequence(F.floor(F.col(low) / side), F.floor(F.col(high) / side))
 
@@ -126,8 +130,9 @@ def validate(predictions: DataFrame, truths: DataFrame, background: int, conf: f
     overlap above ``iou``, the confusion matrix and its scores."""
     found = predictions.where(F.col("conf") >= conf)
     if suppress is not None:
+        # the order itself is the rank, so no image is sorted in one task
         order = F.struct((-F.col("conf")).alias("c"), "p_id")
-        found = nms(found.withColumn("tile_id", F.col("img")).withColumn("rk", F.row_number().over(Window.partitionBy("img").orderBy(order))), suppress).drop("tile_id", "rk")
+        found = nms_by_rounds(found.withColumn("tile_id", F.col("img")).withColumn("rk", order), suppress).drop("tile_id", "rk")
     found = written(found, "validated")
     return scores(confusion(matched(found, truths, iou), found, truths, background), background)
 

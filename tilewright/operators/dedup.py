@@ -7,9 +7,9 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tilewright.functions.geo import iou
 from tilewright.functions.storage import forget, written
 from tilewright.model import DEDUP_RADIUS_M
+from tilewright.operators.boxes import EDGES, cross_pairs, self_pairs
 
 
 def kept_by_distance(x: np.ndarray, y: np.ndarray, radius: float = DEDUP_RADIUS_M) -> np.ndarray:
@@ -71,7 +71,8 @@ def greedy_by_rounds(points: DataFrame, pairs: DataFrame) -> DataFrame:
             break
         gone = drop if gone is None else gone.union(drop)
         left = open_pairs.join(drop.withColumnRenamed("rk", "second"), ["tile_id", "second"], "left_anti").join(drop.withColumnRenamed("rk", "first"), ["tile_id", "first"], "left_anti")
-        open_pairs = written(left.select("tile_id", "first", "second"), "dedup-open")
+        before, open_pairs = open_pairs, written(left.select("tile_id", "first", "second"), "dedup-open")
+        forget(before)
     return points if gone is None else points.join(gone, ["tile_id", "rk"], "left_anti")
 
 
@@ -101,34 +102,11 @@ def nms(boxes: DataFrame, threshold: float) -> DataFrame:
     return boxes.groupBy("tile_id").applyInPandas(one_tile, boxes.schema)
 
 
-def _widest(*tables: DataFrame) -> float:
-    """The longest side of any box, which is the width of a cell."""
-    longest = max((t.agg(F.max(F.greatest(F.col("xmax") - F.col("xmin"), F.col("ymax") - F.col("ymin")))).first()[0] or 0.0) for t in tables)
-    return float(longest) if longest > 0 else 1.0
-
-
-def _in_cells(boxes: DataFrame, side: float) -> DataFrame:
-    """Every box in the cells that it touches, four at most."""
-    cells = [F.sequence(F.floor(F.col(f"{c}min") / side), F.floor(F.col(f"{c}max") / side)) for c in ("x", "y")]
-    return boxes.select("*", F.explode(cells[0]).alias("ci")).select("*", F.explode(cells[1]).alias("cj"))
-
-
-def _meet(a: str, b: str, key: str, side: float):
-    """Whether two boxes meet in the one cell that holds the lower left corner of
-    their intersection."""
-    c = F.col
-    at = [F.floor(F.greatest(f"{a}.{x}min", f"{b}.{x}min") / side) == c(f"{a}.{cell}") for x, cell in (("x", "ci"), ("y", "cj"))]
-    return (c(f"{a}.{key}") == c(f"{b}.{key}")) & (c(f"{a}.ci") == c(f"{b}.ci")) & (c(f"{a}.cj") == c(f"{b}.cj")) & at[0] & at[1]
-
-
 def nms_by_rounds(boxes: DataFrame, threshold: float) -> DataFrame:
-    """:func:`nms` for tiles of any size: pairs come from a join on cells as wide as
-    the widest box, and the greedy order is settled in rounds of joins."""
+    """:func:`nms` for tiles and boxes of any size: pairs come from a join on cells of
+    the boxes' own levels, and the greedy order is settled in rounds of joins."""
     held = written(boxes, "nms-boxes")
-    side = _widest(held)
-    dealt = _in_cells(held.select("tile_id", "rk", "xmin", "ymin", "xmax", "ymax"), side)
-    pairs = dealt.alias("a").join(dealt.alias("b"), _meet("a", "b", "tile_id", side) & (F.col("a.rk") < F.col("b.rk"))).where(iou("a", "b") > threshold)
-    return greedy_by_rounds(held, written(pairs.select("a.tile_id", F.col("a.rk").alias("first"), F.col("b.rk").alias("second")), "nms-pairs"))
+    return greedy_by_rounds(held, written(self_pairs(held, "tile_id", "rk", threshold), "nms-pairs"))
 
 
 def matched(predictions: DataFrame, truths: DataFrame, threshold: float = 0.5) -> DataFrame:
@@ -136,12 +114,12 @@ def matched(predictions: DataFrame, truths: DataFrame, threshold: float = 0.5) -
     cls, xmin..ymax): pairs of one image with an IoU above ``threshold``, each side
     used once. A pair counts if it is the best of both its sides (larger IoU, then
     lesser ids); such pairs leave and the rest is looked at again. Boxes meet in
-    cells of their image, so an image with many boxes is not one task's work."""
-    columns, side = ["xmin", "ymin", "xmax", "ymax"], _widest(predictions, truths)
-    p = _in_cells(predictions.select("img", "p_id", F.col("cls").alias("p_cls"), *columns), side).alias("p")
-    t = _in_cells(truths.select("img", "t_id", F.col("cls").alias("t_cls"), *columns), side).alias("t")
-    pairs = p.join(t, _meet("p", "t", "img", side)).withColumn("iou", iou("p", "t")).where(F.col("iou") > threshold)
-    pairs = written(pairs.select("p.img", "p_id", "t_id", "p_cls", "t_cls", "iou"), "match-pairs")
+    cells of their image and level, so an image with many boxes is not one task's
+    work, nor does a large box make it so."""
+    p = predictions.select("img", "p_id", F.col("cls").alias("p_cls"), *EDGES)
+    t = truths.select("img", "t_id", F.col("cls").alias("t_cls"), *EDGES)
+    pairs = cross_pairs(p, t, "img", threshold).select("img", "p_id", "t_id", "p_cls", "t_cls", "iou")
+    pairs = written(pairs, "match-pairs")
     found = None
     order = [F.col("iou").desc(), F.col("p_id"), F.col("t_id")]
     while not pairs.isEmpty():

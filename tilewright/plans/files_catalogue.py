@@ -205,18 +205,18 @@ def corner_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- validation
 
 
-def matching(preds: str, iou: float) -> str:
+def matching(preds: str, iou: float, truths: str = "match_truths") -> str:
     """CTEs of a greedy matching: hit (img, p_id, t_id, p_cls, t_cls)."""
     shared = "greatest(0, least(p.xmax, t.xmax) - greatest(p.xmin, t.xmin)) * greatest(0, least(p.ymax, t.ymax) - greatest(p.ymin, t.ymin))"
     return f"""pairs as (select *, row_number() over (partition by img order by iou desc, p_id, t_id) as k from (
- select p.img, p.p_id, t.t_id, p.cls as p_cls, t.cls as t_cls, {shared} / ((p.xmax - p.xmin) * (p.ymax - p.ymin) + (t.xmax - t.xmin) * (t.ymax - t.ymin) - {shared}) as iou from {preds} p join match_truths t on p.img = t.img) x where iou > {iou}),
+ select p.img, p.p_id, t.t_id, p.cls as p_cls, t.cls as t_cls, {shared} / ((p.xmax - p.xmin) * (p.ymax - p.ymin) + (t.xmax - t.xmin) * (t.ymax - t.ymin) - {shared}) as iou from {preds} p join {truths} t on p.img = t.img) x where iou > {iou}),
  n as (select img, max(k) as n from pairs group by 1),
  step(img, i, ps, ts, ks) as (select img, 0::bigint, []::bigint[], []::bigint[], []::bigint[] from n union all
   select s.img, s.i + 1, case when free then list_append(s.ps, s.p_id) else s.ps end, case when free then list_append(s.ts, s.t_id) else s.ts end, case when free then list_append(s.ks, s.i + 1) else s.ks end
   from (select s.*, p.p_id::bigint as p_id, p.t_id::bigint as t_id, not list_contains(s.ps, p.p_id::bigint) and not list_contains(s.ts, p.t_id::bigint) as free from step s join pairs p on p.img = s.img and p.k = s.i + 1) s),
  hit as (select pairs.* from (select s.img, unnest(s.ks) as k from step s join n on n.img = s.img and n.n = s.i) h join pairs on pairs.img = h.img and pairs.k = h.k),
  m as (select pred_cls, true_cls, count(*) as n from (select p_cls as pred_cls, t_cls as true_cls from hit
-  union all select 2, t.cls from match_truths t where not exists (select 1 from hit where hit.img = t.img and hit.t_id = t.t_id)
+  union all select 2, t.cls from {truths} t where not exists (select 1 from hit where hit.img = t.img and hit.t_id = t.t_id)
   union all select p.cls, 2 from {preds} p where not exists (select 1 from hit where hit.img = p.img and hit.p_id = p.p_id)) u group by 1, 2)"""
 
 
@@ -258,6 +258,26 @@ def iou_nms_by_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.nms_by_rounds(boxes, 0.3).select("tile_id", "rk")
 
 
+# --- boxes of any size
+
+
+@query(NMS.replace(duck("iou_boxes"), duck("any_boxes")).replace("from iou_boxes", "from any_boxes").replace("join iou_boxes", "join any_boxes"))
+def any_size_nms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppression among boxes from a few metres to the whole map."""
+    return dedup.nms_by_rounds(view(spark, sf_dir, "any_boxes"), 0.3).select("tile_id", "rk")
+
+
+@query(f"with recursive {duck('any_preds', 'any_truths')}, {matching('any_preds', 0.5, 'any_truths')} select pred_cls, true_cls, n from m")
+def any_size_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p, t = view(spark, sf_dir, "any_preds"), view(spark, sf_dir, "any_truths")
+    return datasets.confusion(dedup.matched(p, t, 0.5), p, t, background=2)
+
+
+@query(f"with {duck('any_patches')} select a.idx as i, b.idx as j from any_patches a join any_patches b on a.idx < b.idx and a.xmax > b.xmin and b.xmax > a.xmin and a.ymax > b.ymin and b.ymax > a.ymin")
+def any_size_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return datasets.overlap_pairs(view(spark, sf_dir, "any_patches"))
+
+
 def _round(k: int) -> str:
     gone = "".join(f" and img not in (select img from t{j})" for j in range(k))
     return f"""p{k} as (select img, seq, ((cents * {7 * (k + 1)}) % 1009) as conf from preds where true{gone}), i{k} as (select img from images where true{gone}),

@@ -72,6 +72,26 @@ VIEWS["iou_boxes"] = """
 select tile_id, rk, k1, k2, k3, k4, k5, easting - 6*k2 as xmin, northing - 6*k2 as ymin, easting + 6*k2 as xmax, northing + 6*k2 as ymax from det_raw
 """
 
+# the centres of det_raw with sides from 6 m to 20 km, and in every tile one box over the whole map
+VIEWS["any_boxes"] = """
+select tile_id, rk, case when rk % 97 = 3 then 2400000 else easting - half end as xmin, case when rk % 97 = 3 then 1000000 else northing - half end as ymin,
+ case when rk % 97 = 3 then 2700000 else easting + half end as xmax, case when rk % 97 = 3 then 1400000 else northing + half end as ymax
+from (select *, 3 * k2 * power(cast(2 as double), k1 % 10) as half from det_raw) t
+"""
+
+VIEWS["any_preds"] = "select tile_id as img, rk as p_id, cast(rk % 2 as int) as cls, xmin, ymin, xmax, ymax from any_boxes"
+
+# every third truth is another size, so that it is matched with a prediction of another level or with none
+VIEWS["any_truths"] = """
+select tile_id as img, rk as t_id, cast((rk div 2) % 2 as int) as cls, xmin, ymin, xmin + (xmax - xmin) * far as xmax, ymin + (ymax - ymin) * far as ymax
+from (select *, case when rk % 3 = 0 then cast(1.25 as double) when rk % 3 = 1 then cast(1 as double) else cast(2 as double) end as far from any_boxes) t
+"""
+
+VIEWS["any_patches"] = """
+select idx, case when idx = 1 then -1000000 else xmin end as xmin, case when idx = 1 then -1000000 else ymin end as ymin, case when idx = 1 then 9000000 else xmin + side end as xmax, case when idx = 1 then 9000000 else ymin + side end as ymax
+from (select *, 20 * power(cast(2 as double), idx % 9) as side from patch_boxes) t
+"""
+
 VIEWS["match_preds"] = """
 select tile_id as img, rk as p_id, cast(k1 % 2 as int) as cls, easting - 8 as xmin, northing - 8 as ymin, easting + 8 as xmax, northing + 8 as ymax from det_raw
 """
