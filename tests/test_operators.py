@@ -95,7 +95,7 @@ def test_elevation_rule(spark):
 def test_eviction_over_slices(spark):
     rows = spark.createDataFrame([(k, f"2024-01-{1 + k % 28:02d} 00:00:00", 10) for k in range(100)], "file_id long, at string, size long").select("file_id", F.to_timestamp("at").alias("mtime"), "size")
     one = tiles.evict_oldest(rows, 300).collect()
-    many = tiles.evict_oldest(rows, 300, per_slice=7).collect()
+    many = tiles.evict_oldest(rows, 300, per_range=7).collect()
     assert len(one) == 70 and {r.file_id for r in one} == {r.file_id for r in many}
 
 

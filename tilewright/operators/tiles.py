@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tilewright.functions.geo import coord_from, coord_of, tile_id, x_km, y_km, year_of
+from tilewright.functions.prefix import sums_before
 
 
 def keyed_items(items: DataFrame) -> DataFrame:
@@ -104,22 +105,10 @@ def status_counts(outcomes: DataFrame) -> DataFrame:
     return outcomes.groupBy(status.alias("status")).agg(F.count("*").alias("n"))
 
 
-def evict_oldest(files: DataFrame, budget: int, per_slice: int = 100_000) -> DataFrame:
+def evict_oldest(files: DataFrame, budget: int, per_range: int = 100_000) -> DataFrame:
     """Least recently used first: the files (file_id, mtime, size) to delete until
-    the rest is within ``budget`` bytes.
-
-    Running sums over slices of time, so that no task sorts all files: sizes by
-    slice, sums of the slices before, and a sum inside each slice.
-    """
-    seconds = F.col("mtime").cast("timestamp").cast("double")
-    low, high, n, total = files.agg(F.min(seconds), F.max(seconds), F.count("*"), F.sum("size")).first()
-    if not n:
-        return files
-    width = max(1.0, (high - low) / -(-n // per_slice))
-    at = F.floor((seconds - low) / width).cast("int")
-    sliced = files.withColumn("slice", at)
-    sums = sliced.groupBy("slice").agg(F.sum("size").alias("bytes"))
-    before = sums.select("slice", (F.sum("bytes").over(Window.orderBy("slice")) - F.col("bytes")).alias("before"))
-    inside = F.sum("size").over(Window.partitionBy("slice").orderBy("mtime", "file_id")) - F.col("size")
-    freed = sliced.join(F.broadcast(before), "slice").withColumn("freed", F.col("before") + inside)
-    return freed.where(F.lit(total) - F.col("freed") > budget).drop("slice", "before", "freed")
+    the rest is within ``budget`` bytes. Files of one mtime go in order of file_id; a
+    null mtime is the oldest, and a null size counts as 0."""
+    total = files.agg(F.sum("size")).first()[0] or 0
+    placed = sums_before(files, ["mtime", "file_id"], "size", per_range)
+    return placed.where(F.lit(total) - F.col("before") > budget).select("row.*")

@@ -109,7 +109,15 @@ def status_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def lru_evict(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = view(spark, sf_dir, "files")
     total = files.agg(F.sum("size")).first()[0]
-    return tiles.evict_oldest(files, total // 4, per_slice=20_000)
+    return tiles.evict_oldest(files, total // 4, per_range=20_000)
+
+
+@query(f"with {duck('files')}, f as (select *, sum(size) over (order by file_id rows unbounded preceding) - size as freed, sum(size) over () as total from files) select file_id, size from f where total - freed > total // 3")
+def lru_evict_one_time(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All files were used at one time, so that only their ids order them."""
+    files = view(spark, sf_dir, "files").withColumn("mtime", F.lit("2020-01-01").cast("timestamp"))
+    total = files.agg(F.sum("size")).first()[0]
+    return tiles.evict_oldest(files, total // 3, per_range=20_000).select("file_id", "size")
 
 
 # --- detections

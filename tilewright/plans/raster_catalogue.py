@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tilewright.operators.blocks import BlockShape, fused_pieces, patch_checksums
+from tilewright.operators.pca import BANDS, pca_blocks
 from tilewright.plans.catalogue import query
 from tilewright.plans.fixtures import duck, view
 
@@ -86,3 +87,11 @@ def patch_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A checksum of each band of every fused patch of every tile, from mosaics of tiles
     and their neighbours that no task holds whole."""
     return patch_checksums(fused_pieces(grid_tiles(spark, sf_dir), grid_loader(), SHAPE), SHAPE.size)
+
+
+@query()
+def pca_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every grid of four bands, cut into four blocks, on its main components."""
+    grids = view(spark, sf_dir, "rgb_grid").withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(3))))
+    cut = [F.slice(b, F.col("block") * 16 + 1, F.lit(16)).alias(b) for b in BANDS]
+    return pca_blocks(grids.select(F.col("vec_id").alias("image"), "block", *cut))
