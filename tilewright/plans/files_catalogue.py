@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tilewright.functions import tiff
 from tilewright.functions.geo import to_xyxy
+from tilewright.functions.lv95 import to_wgs84
 from tilewright.functions.storage import fresh_path, written
 from tilewright.operators import datasets, dedup, patches, tiles
 from tilewright.operators.pseudo import pseudo_label_rounds
@@ -99,11 +100,36 @@ def requested_coords(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tiles.requested_coords(all_tiles(spark, sf_dir), view(spark, sf_dir, "user_coords")).select("coord", "pos", "rgb_url")
 
 
-@query(f"""with {TILES}, b as (select (min(x_km) - 1) * 1000 as min_e, (min(y_km) - 1) * 1000 as min_n, (max(x_km) + 2) * 1000 as max_e, (max(y_km) + 2) * 1000 as max_n from tiles),
- k as (select (e - 2600000) / 1000000.0::double as y, (n - 1200000) / 1000000.0::double as x from b, lateral (values (min_e, min_n), (min_e, max_n), (max_e, min_n), (max_e, max_n)) v(e, n)),
- d as (select (2.6779094::double + 4.728982::double * y + 0.791484::double * y * x + 0.1306::double * y * x * x - 0.0436::double * y * y * y) * 100 / 36 as lon,
-  (16.9023892::double + 3.238272::double * x - 0.270978::double * y * y - 0.002528::double * x * x - 0.0447::double * y * y * x - 0.0140::double * x * x * x) * 100 / 36 as lat from k)
- select b.*, (select printf('%.4f,%.4f,%.4f,%.4f', min(lon), min(lat), max(lon), max(lat)) from d) as bbox from b""")
+# The formulas of the projection for places c (e, n), step by step: constants of the sphere (k), latitude and
+# longitude on it (s), the ellipsoid's latitude as a root by halving (r), geocentric places (g), and WGS84 (w), whose
+# latitude is a root too.
+WGS84_SQL = """k as (select *, asin(sin(f0) / al) as b0 from (select *, sqrt(1 + e2 / (1 - e2) * pow(cos(f0), 4)) as al, a * sqrt(1 - e2) / (1 - e2 * pow(sin(f0), 2)) as rad
+  from (select 6377397.155::double as a, 0.006674372230614::double as e2, radians(46 + 57 / 60::double + 8.66::double / 3600) as f0, radians(7 + 26 / 60::double + 22.5::double / 3600) as l0))),
+ k2 as (select *, ln(tan(pi() / 4 + b0 / 2)) - al * (ln(tan(pi() / 4 + f0 / 2)) - sqrt(e2) / 2 * ln((1 + sqrt(e2) * sin(f0)) / (1 - sqrt(e2) * sin(f0)))) as kk from k),
+ s as (select *, asin(cos(b0) * sin(bb) + sin(b0) * cos(bb) * cos(ll)) as b, l0 + atan2(sin(ll) * cos(bb), cos(b0) * cos(ll) * cos(bb) - sin(b0) * sin(bb)) / al as lam
+  from (select *, (e - 2600000) / rad as ll, 2 * (atan(exp((n - 1200000) / rad)) - pi() / 4) as bb from c, k2)),
+ r(i, e, n, low, high) as (select 0, e, n, radians(40::double), radians(55::double) from s union all
+  select i + 1, e, n, case when up then mid else low end, case when up then high else mid end from (select r.i, r.e, r.n, r.low, r.high, (low + high) / 2 as mid,
+   al * (ln(tan(pi() / 4 + (low + high) / 4)) - sqrt(e2) / 2 * ln((1 + sqrt(e2) * sin((low + high) / 2)) / (1 - sqrt(e2) * sin((low + high) / 2)))) + kk < ln(tan(pi() / 4 + b / 2)) as up
+   from r join s on s.e = r.e and s.n = r.n) where i < 60),
+ g as (select e, n, nn * cos(phi) * cos(lam) + 674.374 as x, nn * cos(phi) * sin(lam) + 15.056 as y, nn * (1 - e2) * sin(phi) + 405.346 as z
+  from (select s.*, low as phi, a / sqrt(1 - e2 * pow(sin(low), 2)) as nn from s join r on r.e = s.e and r.n = s.n and r.i = 60)),
+ q(i, e, n, x, y, z, lat) as (select 0, e, n, x, y, z, atan2(z, sqrt(x * x + y * y)) from g union all
+  select i + 1, e, n, x, y, z, atan2(z + 0.006694379990141317::double * 6378137 / sqrt(1 - 0.006694379990141317::double * pow(sin(lat), 2)) * sin(lat), sqrt(x * x + y * y)) from q where i < 20),
+ w as (select e, n, degrees(atan2(y, x)) as lon, degrees(lat) as lat from q where i = 20)"""
+
+
+@query(f"""with recursive {TILES}, c as (select distinct x_km * 1000 + 500 as e, y_km * 1000 + 500 as n from tiles), {WGS84_SQL} select e, n, round(lon, 9) as lon, round(lat, 9) as lat from w""")
+def tile_centres_wgs84(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Longitude and latitude of the centre of every tile."""
+    at = all_tiles(spark, sf_dir).select((F.col("x_km") * 1000 + 500).alias("e"), (F.col("y_km") * 1000 + 500).alias("n"))
+    lon, lat = to_wgs84(F.col("e"), F.col("n"))
+    return at.select("e", "n", F.round(lon, 9).alias("lon"), F.round(lat, 9).alias("lat"))
+
+
+@query(f"""with recursive {TILES}, b as (select (min(x_km) - 1) * 1000 as min_e, (min(y_km) - 1) * 1000 as min_n, (max(x_km) + 2) * 1000 as max_e, (max(y_km) + 2) * 1000 as max_n from tiles),
+ c as (select e, n from b, lateral (values (min_e, min_n), (min_e, max_n), (max_e, min_n), (max_e, max_n)) v(e, n)),
+ {WGS84_SQL} select b.*, (select printf('%.4f,%.4f,%.4f,%.4f', min(lon), min(lat), max(lon), max(lat)) from w) as bbox from b""")
 def coords_bbox(spark: SparkSession, sf_dir: str) -> DataFrame:
     return box_around_coords(all_tiles(spark, sf_dir))
 

@@ -9,6 +9,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tilewright.functions.lv95 import to_wgs84
 from tilewright.operators.detect import Detector, TileShape, detect_tiles
 from tilewright.operators.tiles import attach_neighbours, newest_per_coord, remaining, requested_coords, rgb_dsm_pairs, url_list_pairs
 from tilewright.sources.stac import read_url_list
@@ -57,21 +58,12 @@ def box_around_coords(coords: DataFrame, pad_tiles: int = 1) -> DataFrame:
         ((F.max("x_km") + 1 + pad_tiles) * 1000).alias("max_e"),
         ((F.max("y_km") + 1 + pad_tiles) * 1000).alias("max_n"),
     )
-    corners = [to_degrees(F.col(e), F.col(n)) for e in ("min_e", "max_e") for n in ("min_n", "max_n")]
+    corners = [to_wgs84(F.col(e), F.col(n)) for e in ("min_e", "max_e") for n in ("min_n", "max_n")]
     lon, lat = [c[0] for c in corners], [c[1] for c in corners]
     text = F.format_string("%.4f,%.4f,%.4f,%.4f", F.least(*lon), F.least(*lat), F.greatest(*lon), F.greatest(*lat))
     return box.select("*", text.alias("bbox"))
 
 
-def to_degrees(e, n):
-    """(longitude, latitude) of Swiss coordinates by the published approximate
-    series, good to about a metre: 1e-5 degrees."""
-    y, x = (e - 2_600_000.0) / 1_000_000.0, (n - 1_200_000.0) / 1_000_000.0
-    lon = 2.6779094 + 4.728982 * y + 0.791484 * y * x + 0.1306 * y * x * x - 0.0436 * y * y * y
-    lat = 16.9023892 + 3.238272 * x - 0.270978 * y * y - 0.002528 * x * x - 0.0447 * y * y * x - 0.0140 * x * x * x
-    return lon * 100.0 / 36.0, lat * 100.0 / 36.0
-
-
 def resolve_tiles(spark: SparkSession, settings: RunSettings, catalogue: Callable[[str], DataFrame]) -> tuple[DataFrame, DataFrame]:
     """(tiles to work on, all tiles that may lend strips to them), each with coord,
     x_km, y_km, rgb_url, dsm_url. catalogue(bbox) gives items (seq, layer, item_id,
