@@ -361,4 +361,4 @@ def _is_folder(spark: SparkSession, sf_dir: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory()
 
 
-from tilewright.plans import files_catalogue, raster_catalogue, stream_catalogue  # noqa: E402, F401  they register their queries here
+from tilewright.plans import files_catalogue, raster_catalogue, store_catalogue, stream_catalogue  # noqa: E402, F401  they register their queries here
