@@ -223,9 +223,9 @@ def _harmless(batches: Iterator[pa.RecordBatch], finder, index) -> Iterator[pa.R
     find, score = finder.value, _Memory(index.value)
     for batch in slices(batches):
         keep = []
-        for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
+        for text in batch["text"].to_pylist():
             found = find(words_of(None if text is None else str(text)))
-            keep.append(doc_id is None or score([*found], [*found.values()])[0] < TOXIC)
+            keep.append(score([*found], [*found.values()])[0] < TOXIC)
         yield batch.filter(pa.array(keep, pa.bool_()))
 
 
@@ -238,8 +238,10 @@ def _fitted(slim: DataFrame, labels: DataFrame, per_class: int) -> tuple:
     finder = sc.broadcast(find)
     hit = "doc_id long, terms array<int>, counts array<int>"
     # at most twice per_class rows
-    sample = examples.select("doc_id", "text", "toxic").mapInArrow(lambda it: _hits(it, finder), f"{hit}, toxic int").collect()
-    sample.sort(key=lambda r: (r.doc_id, r.terms, r.counts, r.toxic))
+    picked = examples.select("doc_id", "text", "toxic", F.xxhash64("text").alias("pick"))
+    sample = picked.mapInArrow(lambda it: _hits(it, finder), f"{hit}, toxic int, pick long").collect()
+    # of examples that are equally near, a hash of the text says which vote: a doc_id is no part of a score
+    sample.sort(key=lambda r: (r.pick, r.toxic, r.terms, r.counts))
     hits = written_slim(slim.mapInArrow(lambda it: _hits(it, finder), hit), "toxic-hits")
     frequency = np.zeros(len(find.names))
     for r in hits.select(F.explode("terms").alias("term")).groupBy("term").count().collect():
@@ -278,8 +280,8 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, per_class: int = EXAMPLES
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, per_class: int = EXAMPLES) -> DataFrame:
     """``docs`` without the rows whose text is predicted toxic, by the scores of
-    :func:`score_toxicity`. Rows with a null doc_id stay. Texts are scored where
-    they are read, so none is shuffled."""
+    :func:`score_toxicity`, those with a null doc_id too. Texts are scored where they
+    are read, so none is shuffled."""
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     finder, index, hits = _fitted(slim, labels, per_class)
     forget(hits)
