@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -166,3 +167,18 @@ def test_other_columns_stay_when_packed(spark):
     rows = [(k, 1 + k % 64, k, "x", None, 5, 6) for k in range(200)]
     found = pack_pieces(spark.createDataFrame(rows, "doc_id long, length int, row long, size string, seq string, gap int, part int"), capacity=64, shard_pieces=50).collect()
     assert sorted(tuple(r)[:7] for r in found) == rows and check_packed(found, 64) <= slow_best_fit(sorted((r[1] for r in rows), reverse=True), 64) + 1
+
+
+def test_packing_of_any_columns(spark):
+    """Names with dots, names that look like the operator's own, and maps come back as they were; one table stays."""
+    rows = [(i, 1 + i * 37 % 40, {"k": i % 3}, f"t{i}", i) for i in range(300)]
+    given = spark.createDataFrame(rows, "doc_id long, length int, `a.b` map<string,int>, `row` string, __row long")
+    folder = spark.conf.get("spark.checkpoint.dir").removeprefix("file://")
+    before = {p.name for p in Path(folder).iterdir() if p.name.startswith("pack-")}
+    packed = pack_pieces(given, capacity=64, shard_pieces=40)
+    assert packed.columns == ["doc_id", "length", "a.b", "row", "__row", "sequence_id", "offset"]
+    got = packed.collect()
+    assert sorted((r[0], r[1], r[2]["k"], r[3], r[4]) for r in got) == [(i, n, m["k"], t, j) for i, n, m, t, j in rows]
+    assert check_packed(got, 64) <= slow_best_fit(sorted((r[1] for r in rows), reverse=True), 64) + 1
+    left = {p.name for p in Path(folder).iterdir() if p.name.startswith("pack-")} - before
+    assert len(left) == 1 and next(iter(left)).startswith("pack-packed")

@@ -1,7 +1,8 @@
 """Best-fit packing of token sequences, in supersteps.
 
-A superstep takes the pieces between ``1 / SPREAD`` of the largest size that is left
-and that size, and the gaps that may hold one of them:
+A superstep takes a band of pieces, from the largest size that is left down to
+``1 / SPREAD`` of it (further down where that is a small part of a sequence), and the
+gaps that may hold one of them:
 
 1. sequences are opened, as many as a lower bound says are needed in any case;
 2. each gap is offered as places: some that hold the largest of these pieces, and
@@ -17,27 +18,31 @@ and that size, and the gaps that may hold one of them:
 
 A superstep places at least the largest piece that is left, and mostly nearly all.
 The driver sees counts by size (at most ``capacity``) and by range; pieces and gaps
-stay in tables.
+stay in tables. A superstep writes the gaps that it touched and no others: what the
+bands so far leave alone stays where it was written, and is read by its size.
 """
 
 from __future__ import annotations
 
 import zlib
 from collections.abc import Iterable, Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .shared import forget, slices, written, written_slim
+from .shared import forget, joined, quoted, slices, written, written_slim
 from .tokenise import default_tokenizer, encoder
 
 #: Pieces and places that one task sweeps, about.
 SHARD_PIECES = 100_000
-#: Largest by smallest size of the pieces of a superstep, about.
+#: Largest by smallest size of the pieces of a superstep, about ...
 SPREAD = 1.5
+#: ... or else the part of a sequence that they may differ by.
+LEAST_BAND = 1 / 16
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 _SWEPT = "part int, nth long, row long, size long, seq long, gap long"
@@ -147,18 +152,29 @@ def _places(bins: DataFrame, low: int, top: int, most: int) -> DataFrame:
     return bins.filter(F.col("gap") > low).select(F.explode(values).alias("value"), F.lit(None).cast("long").alias("row"), "seq", "gap").filter(F.col("value") > low)
 
 
-def _superstep(pieces: DataFrame, places: DataFrame, parts: int) -> DataFrame:
+def _counted(df: DataFrame, values: Column, capacity: int, name: str) -> tuple[DataFrame, np.ndarray]:
+    """``df`` as a table, and how many of ``values`` (nulls apart) there are of each
+    size from 0 to ``capacity``, counted by the job that writes it. The histogram has
+    a bin for each size, so its counts are exact."""
+    seen = Observation()
+    out = written(df.observe(seen, F.histogram_numeric(values, F.lit(capacity + 2)).alias("sizes")), name)
+    return out, _histogram(((b.x, b.y) for b in seen.get["sizes"] or ()), capacity)
+
+
+def _superstep(pieces: DataFrame, places: DataFrame, parts: int, capacity: int) -> tuple[DataFrame, np.ndarray]:
     """One sweep of ``pieces`` (row, size) and ``places`` over ``parts`` ranges, as a
     table of row, size, seq, gap: pieces with the gap that they take or nulls, and
-    places that were left with null pieces."""
+    places that were left with null pieces. Beside it, how many pieces of each size
+    have no place."""
+    unplaced = F.when(F.col("row").isNotNull() & F.col("seq").isNull(), F.col("size"))
     none = F.lit(None).cast("long")
     events = pieces.select(F.col("size").alias("value"), "row", none.alias("seq"), none.alias("gap")).unionByName(places)
     order = [F.desc("value"), F.asc_nulls_first("row"), F.asc("seq")]
-    swept = written(events.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(_sweep_range, _SWEPT), "pack-swept")
+    swept, over = _counted(events.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(_sweep_range, _SWEPT), unplaced, capacity, "pack-swept")
     left = swept.filter("nth is not null").groupBy("part").agg(F.count("row"), F.count("seq")).orderBy("part").collect() if parts > 1 else []
     crossed = crossings(tuple(r) for r in left)
     if not crossed:
-        return swept
+        return swept, over
     # at most two rows for each range
     cross = F.broadcast(swept.sparkSession.createDataFrame(crossed, "part int, first long, end long, other int, shift long"))
     free = swept.filter("nth is not null and seq is not null")
@@ -167,7 +183,7 @@ def _superstep(pieces: DataFrame, places: DataFrame, parts: int) -> DataFrame:
     near = without.join(cross.alias("c"), F.expr("w.part = c.part and w.nth >= c.first and w.nth < c.end"), "left").select("row", "size", "other", F.expr("nth + shift").alias("slot"))
     columns = ["row", "size", "seq", "gap"]
     settled = swept.filter("nth is null").select(columns).union(near.join(taken, ["other", "slot"], "left").select(columns)).union(free.select(columns))
-    out = written(settled, "pack-settled")
+    out = _counted(settled, unplaced, capacity, "pack-settled")
     forget(swept)
     return out
 
@@ -179,42 +195,48 @@ def _histogram(rows: Iterable, capacity: int) -> np.ndarray:
     return out
 
 
-def _supersteps(spark: SparkSession, sizes: DataFrame, fresh: np.ndarray, capacity: int, shard_pieces: int) -> DataFrame:
-    """(row, size, seq) of all ``sizes`` (row, size), of which ``fresh`` counts how
-    many there are of each size."""
+def band(top: int, capacity: int) -> int:
+    """The size that pieces must exceed to share a superstep with ones of ``top``."""
+    return max(0, min(int(top / SPREAD), top - int(capacity * LEAST_BAND)))
+
+
+def _supersteps(spark: SparkSession, sizes: DataFrame, fresh: np.ndarray, capacity: int, shard_pieces: int) -> list[DataFrame]:
+    """Tables with (row, size, seq, gap), rows and sequences not null, of all ``sizes``
+    (row, size), of which ``fresh`` counts how many there are of each size."""
     size = np.arange(capacity + 1)
-    bins, over = spark.createDataFrame([], "seq long, gap long"), spark.createDataFrame([], "row long, size long")
-    gaps, pieces, below, used, placed = np.zeros_like(fresh), np.zeros_like(fresh), capacity, 0, []
+    over = spark.createDataFrame([], "row long, size long")
+    gaps, pieces, below, used, settled, shrunk = np.zeros_like(fresh), np.zeros_like(fresh), capacity, 0, [], []
     while pieces.any() or fresh[: below + 1].any():
         top = int(np.flatnonzero(pieces + np.where(size <= below, fresh, 0))[-1])
-        low = int(top / SPREAD)
+        low, before = band(top, capacity), below
         now = pieces + np.where((size > low) & (size <= below), fresh, 0)
         todo = over.unionByName(sizes.filter((F.col("size") > low) & (F.col("size") <= below)))
         below = min(below, low)
 
         needed = sequences_needed(now, np.where(size > low, gaps, 0), low, capacity)
         gaps[capacity] += needed
-        opened = spark.range(used, used + needed).select(F.col("id").alias("seq"), F.lit(capacity).cast("long").alias("gap"))
+        # the last superstep touched all gaps above its band: older tables hold smaller ones only
+        state = [t.filter(F.col("gap") > low) for t in shrunk[-1:]]
+        if shrunk[:-1]:
+            state.append(joined(*shrunk[:-1]).filter((F.col("gap") > low) & (F.col("gap") <= before)))
+        if needed:
+            state.append(spark.range(used, used + needed, 1, -(-needed // shard_pieces)).select(F.col("id").alias("seq"), F.lit(capacity).cast("long").alias("gap")))
         used += needed
         # no more places than pieces, about
         most, whole = 1, size // top
         while most < whole[-1] and gaps @ np.minimum(whole, most) < now.sum():
             most += 1
         n_places = int(gaps[low + 1 :].sum() + gaps @ np.minimum(whole, most))
-        state = bins.unionByName(opened)
-        settled = _superstep(todo, _places(state, low, top, most), -(-(int(now.sum()) + n_places) // shard_pieces))
-
-        placed.append(settled.filter("row is not null and seq is not null").select("row", "size", "seq"))
-        over = settled.filter("row is not null and seq is null").select("row", "size")
-        shrunk = settled.filter("seq is not null").groupBy("seq").agg((F.max("gap") - F.coalesce(F.sum("size"), F.lit(0))).alias("gap"))
-        bins, old = written(shrunk.unionByName(state.filter(F.col("gap") <= low)).filter("gap > 0"), "pack-gaps"), bins
-        forget(old)
-        seen = over.select(F.lit(0).alias("kind"), F.col("size").alias("value")).union(bins.select(F.lit(1), "gap")).groupBy("kind", "value").count().collect()
-        pieces, gaps = (_histogram([(r.value, r["count"]) for r in seen if r.kind == k], capacity) for k in (0, 1))
-    out = placed[0]
-    for p in placed[1:]:
-        out = out.union(p)
-    return out
+        parts = -(-(int(now.sum()) + n_places) // shard_pieces)
+        swept, pieces = _superstep(todo, _places(reduce(DataFrame.unionByName, state), low, top, most), parts, capacity)
+        settled.append(swept)
+        over = swept.filter("row is not null and seq is null").select("row", "size")
+        touched = swept.filter("seq is not null").groupBy("seq").agg((F.max("gap") - F.coalesce(F.sum("size"), F.lit(0))).alias("gap")).filter("gap > 0")
+        touched, found = _counted(touched, F.col("gap"), capacity, "pack-gaps")
+        shrunk.append(touched)
+        gaps = np.where(size > low, 0, gaps) + found
+    forget(*shrunk)
+    return settled
 
 
 def pack_pieces(pieces: DataFrame, capacity: int = 2048, shard_pieces: int = SHARD_PIECES) -> DataFrame:
@@ -223,27 +245,34 @@ def pack_pieces(pieces: DataFrame, capacity: int = 2048, shard_pieces: int = SHA
     tokens.
 
     Repeated rows are packed as often as they come; null doc_ids and pieces are
-    packed like others. Other columns stay; ones named as the two that are added are
-    an error, as are lengths that are null or out of range. A task sweeps about
-    ``shard_pieces`` pieces and places of a superstep.
+    packed like others. Other columns stay, whatever their names and kinds; ones named
+    as the two that are added are an error, as are lengths that are null or out of
+    range. A task sweeps about ``shard_pieces`` pieces and places of a superstep. One
+    table stays in the shared folder: the one that the result reads.
     """
-    spark, names = pieces.sparkSession, pieces.columns
-    if clash := {"sequence_id", "offset"} & {n.lower() for n in names}:
+    spark = pieces.sparkSession
+    if clash := {"sequence_id", "offset"} & {n.lower() for n in pieces.columns}:
         raise ValueError(f"columns that packing adds are there already: {sorted(clash)}")
-    held = written_slim(pieces.withColumn("length", F.col("length").cast("long")).withColumn("__row", F.monotonically_increasing_id()), "pack-pieces")
-    low, high, bad = held.agg(F.min("length"), F.max("length"), F.count_if(F.col("length").isNull())).first()
+    whole = pieces.withColumn("length", F.col("length").cast("long"))
+    rest = F.struct(*(F.col(quoted(n)) for n in whole.columns)).alias("rest")
+    held = written_slim(whole.select(rest, F.col("length").alias("size"), F.monotonically_increasing_id().alias("row")).sortWithinPartitions("size"), "pack-pieces")
+    low, high, bad = held.agg(F.min("size"), F.max("size"), F.count_if(F.col("size").isNull())).first()
     if bad or low is not None and (low < 1 or high > capacity):
+        forget(held)
         raise ValueError(f"lengths must be from 1 to {capacity}")
     if low is None:
-        return held.select(*names, F.lit(None).cast("long").alias("sequence_id"), F.lit(None).cast("long").alias("offset"))
+        none = F.lit(None).cast("long")
+        return held.select("rest.*", none.alias("sequence_id"), none.alias("offset"))
     # at most ``capacity`` counts
-    fresh = _histogram(((r.length, r["count"]) for r in held.groupBy("length").count().collect()), capacity)
-    sizes = held.select(F.col("__row").alias("row"), F.col("length").alias("size"))
-    places = _supersteps(spark, sizes, fresh, capacity, shard_pieces)
+    fresh = _histogram(((r["size"], r["count"]) for r in held.groupBy("size").count().collect()), capacity)
+    settled = _supersteps(spark, held.select("row", "size"), fresh, capacity, shard_pieces)
+    places = reduce(DataFrame.union, (t.filter("row is not null and seq is not null").select("row", "size", "seq") for t in settled))
     # a sequence holds at most ``capacity`` pieces
     within = Window.partitionBy("seq").orderBy("row").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    put = places.select(F.col("row").alias("__row"), F.col("seq").alias("sequence_id"), (F.sum("size").over(within) - F.col("size")).alias("offset"))
-    return held.join(put, "__row").select(*names, "sequence_id", "offset")
+    put = places.select("row", F.col("seq").alias("sequence_id"), (F.sum("size").over(within) - F.col("size")).alias("offset"))
+    out = written(held.join(put, "row").select("rest.*", "sequence_id", "offset"), "pack-packed")
+    forget(held, *settled)
+    return out
 
 
 def pack_documents(docs: DataFrame, capacity: int = 2048, end_id: int = 0, tokenizer: str | None = None) -> DataFrame:

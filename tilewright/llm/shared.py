@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tilewright.functions.storage import forget, fresh_path, open_store, shared_folder, written
 
-__all__ = ["forget", "fresh_path", "open_store", "shared_folder", "slices", "table", "written", "written_slim"]
+__all__ = ["forget", "fresh_path", "joined", "open_store", "quoted", "shared_folder", "slices", "table", "written", "written_slim"]
 
 #: Rows of whole texts that a task turns into Python objects at a time.
 SLICE_ROWS = 250
@@ -21,6 +21,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def joined(*tables: DataFrame) -> DataFrame:
+    """Tables of one schema, made by :func:`written`, as one scan."""
+    return tables[0].sparkSession.read.schema(tables[0].schema).parquet(*(t._written_path for t in tables))
+
+
+def quoted(name: str) -> str:
+    """A column's name for F.col, dots and ticks included."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     """The batches in slices of few rows. Memory that Arrow holds in reserve goes
     back at the end, since the worker lives on."""
@@ -42,6 +52,8 @@ def written_slim(df: DataFrame, name: str, path: str | None = None) -> DataFrame
         if path is None:
             return written(df, name)
         df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
+        out = spark.read.schema(df.schema).parquet(path)
+        out._written_path = path
+        return out
     finally:
         spark.conf.set(key, before)
