@@ -169,6 +169,16 @@ def test_other_columns_stay_when_packed(spark):
     assert sorted(tuple(r)[:7] for r in found) == rows and check_packed(found, 64) <= slow_best_fit(sorted((r[1] for r in rows), reverse=True), 64) + 1
 
 
+def test_more_ranges_than_asked_for(spark, monkeypatch):
+    frame = type(spark.range(0))
+    by_range = frame.repartitionByRange
+    monkeypatch.setattr(frame, "repartitionByRange", lambda self, n, *columns: by_range(self, max(n, 13), *columns))
+    rows = [(k, 1 + k * k % 60) for k in range(400)]
+    found = pack_pieces(spark.createDataFrame(rows, "doc_id long, length long"), capacity=64).collect()
+    assert sorted((r.doc_id, r.length) for r in found) == rows
+    assert check_packed(found, 64) <= slow_best_fit(sorted((r[1] for r in rows), reverse=True), 64) * 1.02 + 1
+
+
 def test_packing_of_any_columns(spark):
     """Names with dots, names that look like the operator's own, and maps come back as they were; one table stays."""
     rows = [(i, 1 + i * 37 % 40, {"k": i % 3}, f"t{i}", i) for i in range(300)]

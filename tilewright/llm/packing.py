@@ -171,7 +171,8 @@ def _superstep(pieces: DataFrame, places: DataFrame, parts: int, capacity: int)
     events = pieces.select(F.col("size").alias("value"), "row", none.alias("seq"), none.alias("gap")).unionByName(places)
     order = [F.desc("value"), F.asc_nulls_first("row"), F.asc("seq")]
     swept, over = _counted(events.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(_sweep_range, _SWEPT), unplaced, capacity, "pack-swept")
-    left = swept.filter("nth is not null").groupBy("part").agg(F.count("row"), F.count("seq")).orderBy("part").collect() if parts > 1 else []
+    # Spark settles how many ranges there are, not ``parts``
+    left = swept.filter("nth is not null").groupBy("part").agg(F.count("row"), F.count("seq")).orderBy("part").collect() if over.any() else []
     crossed = crossings(tuple(r) for r in left)
     if not crossed:
         return swept, over
