@@ -100,6 +100,23 @@ def test_one_of_each_keeps_columns(spark):
     assert [r.text for r in kept if r.doc_id is None] == ["n"]
 
 
+def test_one_of_each_with_any_columns(spark):
+    rows = [(k, f"a b c d e f {'x' if k < 3 else k}", k) for k in range(6)]
+    table = spark.createDataFrame(rows, "doc_id int, text string, k int").selectExpr("*", "k as `a.b`", "k as __rank", "k as row", "k as tie", "map('k', k) as m", "array(map(k, 'v')) as n")
+    kept = one_of_each(table)
+    assert kept.columns == table.columns and kept.schema["doc_id"].dataType == table.schema["doc_id"].dataType
+    found = kept.collect()
+    assert sorted(r.doc_id for r in found) == [0, 3, 4, 5] and all(r["a.b"] == r.row == r.m["k"] == r.doc_id for r in found)
+
+
+def test_one_row_many_times_is_folded_before_the_shuffle(spark):
+    table = spark.range(200_000).selectExpr("7L as doc_id", "'one two three four five six' as text", "'s' as source").repartition(4)
+    kept = one_of_each(table)
+    assert [tuple(r) for r in kept.collect()] == [(7, "one two three four five six", "s")]
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min_by" in plan
+
+
 def test_fingerprints_tell_n_grams_apart():
     rng = random.Random(1)
     for _ in range(50):

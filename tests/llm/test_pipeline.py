@@ -108,7 +108,9 @@ def test_each_stage_on_its_own_input(spark, corpus):
 
 def test_the_whole_run(spark, corpus):
     at, rows, labels = corpus
+    before = spark.conf.get(corpus_pipeline.BATCH_SETTING)
     found = __spark_entry__.queries()["pipeline"](spark, at).collect()
+    assert spark.conf.get(corpus_pipeline.BATCH_SETTING) == before
     single = one_of_each(kept_by_toxicity(rows, labels))
     texts, source = {d: t for d, t, _ in single}, {d: s for d, _, s in single}
     times = Counter(r.doc_id for r in found if r.piece == 0)

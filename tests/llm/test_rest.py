@@ -374,6 +374,12 @@ def test_mix_with_clashing_columns_repeats_and_long_texts(spark):
     assert mix_sources(wide.limit(0)).columns == found.columns
 
 
+def test_mix_with_maps_and_dots(spark):
+    table = spark.range(50).selectExpr("id as doc_id", "'a b' as text", "'s' as source", "map(id, 'x') as m", "id as `a.b`", "id as `t``k`")
+    found = mix_sources(table, max_epochs=1.5)
+    assert found.columns[:6] == table.columns and sorted(r["a.b"] for r in found.where("mix_epoch = 0").collect()) == list(range(50))
+
+
 # --- toxicity against plain Python
 
 

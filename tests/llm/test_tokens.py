@@ -53,8 +53,11 @@ def test_files_round_trip(spark, library):
     rows = [(k * 7 % 50, t, None, 0) for k, t in enumerate(TEXTS)] + [(3, "again", None, 0), (3, "again", None, 0)]
     folder = write_token_blocks(spark.createDataFrame(rows, SCHEMA).repartition(3))
     found = sorted((r.start, r.doc_id, r.n_tokens, r.ids_crc32) for r in read_token_blocks(spark, folder).collect())
+    # rows of one doc_id follow in the order of a hash of the text
+    by_hash = spark.createDataFrame(rows, SCHEMA).selectExpr("doc_id", "text", "xxhash64(text) as h").collect()
+    in_order = [(r.doc_id, r.text) for r in sorted(by_hash, key=lambda r: (r.doc_id, r.h))]
     expected, at = [], 0
-    for doc_id, text, *_ in sorted(rows, key=lambda r: (r[0], r[1] is not None, (r[1] or "").encode())):
+    for doc_id, text, *_ in in_order:
         ids = np.array([*ids_of(library, text), 2], "<u4")
         expected.append((at, doc_id, len(ids), zlib.crc32(ids.tobytes())))
         at += len(ids)
@@ -67,6 +70,21 @@ def test_empty_and_null_ids(spark):
     assert [(r.doc_id, r.start, r.n_tokens) for r in sorted(rows, key=lambda r: r.start)] == [(None, 0, 2), (1, 2, 2)]
 
 
+def test_least_id_is_not_null(spark):
+    rows = [(-(2**63), "a", None, 0), (None, "b c", None, 0), (0, "d", None, 0)]
+    found = read_token_blocks(spark, write_token_blocks(spark.createDataFrame(rows, SCHEMA))).collect()
+    assert [r.doc_id for r in sorted(found, key=lambda r: r.start)] == [None, -(2**63), 0]
+
+
+def test_order_of_equal_ids_does_not_hang_on_the_input(spark):
+    rows = [(k % 3, "the same first letters " + "and on " * (k % 7) + str(k % 5), None, 0) for k in range(60)]
+    found = [
+        sorted((r.start, r.doc_id, r.ids_crc32) for r in read_token_blocks(spark, write_token_blocks(spark.createDataFrame(given, SCHEMA).repartition(n))).collect())
+        for given, n in ((rows, 1), (rows[::-1], 3))
+    ]
+    assert found[0] == found[1]
+
+
 def test_cut():
     assert cut(5, 2048) == [(0, 5)] and cut(2048, 2048) == [(0, 2048)]
     assert cut(5000, 2048) == [(0, 904), (904, 2048), (2952, 2048)] and cut(4096, 2048) == [(0, 2048), (2048, 2048)]

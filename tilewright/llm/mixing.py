@@ -16,7 +16,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import forget, written
+from .shared import forget, quoted, row_hash, written
 
 #: Documents of a block, on average; blocks that one task puts in order.
 BLOCK_DOCS, RUN_BLOCKS = 256, 4096
@@ -82,7 +82,7 @@ def mix_sources(docs: DataFrame, target_entropy: float | None = None, max_epochs
 
     A null source is one like any other; a null text has one token. Repeated rows
     pass as often as they come. An empty table gives an empty mix. Columns of the
-    names that are added must not be there already; any others may be. Sources are
+    names that are added must not be there already; any others may be, of any kind. Sources are
     weighed on the driver: at most MOST_SOURCES, more are an error.
     """
     names = docs.columns
@@ -91,13 +91,13 @@ def mix_sources(docs: DataFrame, target_entropy: float | None = None, max_epochs
     spark = docs.sparkSession
     tokens = F.coalesce(F.regexp_count("text", F.lit(r"\S+")), F.lit(0)) + 1
     # the user's columns stay in a struct of their own, so no name can clash
-    sized = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col("source").alias("src"), tokens.cast("long").alias("mix_tokens"), F.xxhash64(*[F.col(f"`{c}`") for c in names]).alias("row_hash"))
+    sized = docs.select(F.struct(*[F.col(quoted(c)) for c in names]).alias("row"), F.col("source").alias("src"), tokens.cast("long").alias("mix_tokens"), row_hash(docs).alias("row_hash"))
     slim = written(sized.select("src", "mix_tokens", "row_hash"), "mix-sizes")
     found = slim.groupBy("src").agg(F.sum("mix_tokens").alias("tokens"), F.count("*").alias("n")).limit(MOST_SOURCES + 1).collect()
     if len(found) > MOST_SOURCES:
         raise ValueError(f"more than {MOST_SOURCES} sources")
     if not found:
-        return docs.select(*names, F.lit(0).alias("mix_epoch"), F.lit(0).cast("long").alias("mix_tokens"), F.lit(1.0).alias("mix_exponent"), F.lit(1.0).alias("mix_weight"))
+        return docs.select(*[F.col(quoted(c)) for c in names], F.lit(0).alias("mix_epoch"), F.lit(0).cast("long").alias("mix_tokens"), F.lit(1.0).alias("mix_exponent"), F.lit(1.0).alias("mix_weight"))
     totals = {r.src: r.tokens for r in found}
     whole = sum(totals.values())
     shares = {s: t / whole for s, t in totals.items()}
@@ -135,7 +135,7 @@ def mix_sources(docs: DataFrame, target_entropy: float | None = None, max_epochs
     # blocks before that one pass once more than the others; so what a row does follows
     # from the row and a table of the sources
     rows = planned(sized).join(F.broadcast(ends), F.col("mix_source").eqNullSafe(F.col("end_source")), "left").withColumn("at", F.struct("run", "turn", "block"))
-    out = [*[F.col(f"row.`{c}`").alias(c) for c in names], "mix_epoch", "mix_tokens", F.lit(exponent).alias("mix_exponent"), "mix_weight"]
+    out = [*[F.col(f"row.{quoted(c)}").alias(c) for c in names], "mix_epoch", "mix_tokens", F.lit(exponent).alias("mix_exponent"), "mix_weight"]
     times = F.col("full") + F.when(F.col("at") < F.col("end"), 1).otherwise(0)
     passed = rows.where(times > 0).withColumn("mix_epoch", F.explode(F.sequence(F.lit(0), times - 1)))
     so_far = Window.partitionBy("mix_source").orderBy("place").rowsBetween(Window.unboundedPreceding, 0)

@@ -35,13 +35,13 @@ from hashlib import blake2b
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tilewright.functions.joins import spread_join
 from tilewright.operators.graph import connected_components
 
-from .shared import forget, slices, written, written_slim
+from .shared import forget, quoted, row_hash, slices, written, written_slim
 
 WORD = re.compile(r"\w+")
 #: Weight (n-grams, plus a charge for each text) of a block that one task holds.
@@ -315,8 +315,14 @@ def ngram_jaccard_join(docs: DataFrame, n: int = 5, similarity: float = 0.8, rec
 def one_of_each(docs: DataFrame, **settings) -> DataFrame:
     """``docs`` with one document of each group that :func:`ngram_jaccard_join`
     finds: the one with the least doc_id, in all its columns. Repeated rows of
-    that document are folded too; rows with a null doc_id stay."""
+    that document are folded too, before they are shuffled, so that a row that
+    comes very often is no one task's work; of rows with one doc_id and other
+    columns that differ, the one with the least hash of all columns stays. Rows
+    with a null doc_id stay, all of them. Other columns may have any name and kind.
+    """
     found = ngram_jaccard_join(docs, **settings).where("doc_id = class_id").select("doc_id").distinct()
-    kept = docs.join(found, "doc_id", "left_semi")
-    rank = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64(*docs.columns)))
-    return kept.withColumn("__rank", rank).where("__rank = 1").drop("__rank").unionByName(docs.where("doc_id is null"))
+    row = F.struct(*(F.col(quoted(c)) for c in docs.columns))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row.alias("row"), row_hash(docs).alias("tie"))
+    one = rows.where("doc_id is not null").groupBy("doc_id").agg(F.min_by("row", "tie").alias("row"))
+    kept = one.join(found, "doc_id", "left_semi").select("row").unionByName(rows.where("doc_id is null").select("row"))
+    return kept.select(*(F.col(f"row.{quoted(c)}").alias(c) for c in docs.columns))

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tilewright.functions.storage import forget, fresh_path, open_store, shared_folder, written
 
-__all__ = ["forget", "fresh_path", "joined", "open_store", "quoted", "shared_folder", "slices", "table", "written", "written_slim"]
+__all__ = ["forget", "fresh_path", "joined", "open_store", "quoted", "row_hash", "shared_folder", "slices", "table", "written", "written_slim"]
 
 #: Rows of whole texts that a task turns into Python objects at a time.
 SLICE_ROWS = 250
@@ -31,6 +32,11 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
+def row_hash(df: DataFrame) -> Column:
+    """A 64-bit hash of a row by all its columns; those with maps in them count as JSON."""
+    return F.xxhash64(*(F.to_json(F.struct(F.col(quoted(n)).alias("c"))) if "map<" in kind else F.col(quoted(n)) for n, kind in df.dtypes))
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
     """The batches in slices of few rows. Memory that Arrow holds in reserve goes
     back at the end, since the worker lives on."""

@@ -31,14 +31,10 @@ from pyspark.sql import functions as F
 from .shared import fresh_path, open_store, slices, written_slim
 from .tokenise import default_tokenizer, encoder
 
-MAGIC = b"PFOR1\n"
+MAGIC = b"PFOR2\n"
 BLOCK = 1024
 WIDTH_SHARE = 0.95
 _HEAD, _FOOT = struct.Struct("<IHBHI"), struct.Struct("<QQQQQ6s")
-#: Letters of the text that order rows of one doc_id.
-TIE_LETTERS = 16
-#: doc_id that stands for null.
-NO_ID = -(2**63)
 
 
 def pack_block(ids: np.ndarray) -> bytes:
@@ -81,7 +77,7 @@ class BlockWriter:
         self.at += len(data)
 
     def add(self, doc_id: int | None, ids: bytes) -> None:
-        self.docs.append(NO_ID if doc_id is None else doc_id)
+        self.docs.append(doc_id)
         self.sizes.append(len(ids) // 4)
         self.rest += ids
         if len(self.rest) >= 16 * 4 * BLOCK:
@@ -98,7 +94,8 @@ class BlockWriter:
         if self.rest:
             self.flush(-(-len(self.rest) // (4 * BLOCK)))
         directory = self.at
-        for column in (self.docs, self.sizes):
+        # a doc_id that is null is 0 here, and 1 in the last column
+        for column in ([d or 0 for d in self.docs], self.sizes, [int(d is None) for d in self.docs]):
             data = zlib.compress(np.array(column, "<i8").tobytes())
             self._put(struct.pack("<Q", len(data)) + data)
         index = self.at
@@ -118,11 +115,12 @@ class BlockReader:
             raise ValueError("not a token block file, or not whole")
         tail = self._range(self.directory, end)
         at, columns = 0, []
-        for _ in range(2):
+        for _ in range(3):
             (size,) = struct.unpack_from("<Q", tail, at)
             columns.append(np.frombuffer(zlib.decompress(tail[at + 8 : at + 8 + size]), "<i8"))
             at += 8 + size
-        self.doc_ids, self.sizes = columns
+        self.doc_ids, self.sizes, null = columns
+        self.no_id = null.astype(bool)
         self.starts = np.concatenate(([0], np.cumsum(self.sizes)))
         self.index = np.append(np.frombuffer(tail, "<u8", n_blocks, index - self.directory), np.uint64(self.directory))
 
@@ -164,14 +162,14 @@ def write_token_blocks(docs: DataFrame, folder: str | None = None, end_id: int =
     ``folder/manifest`` lists the files of the tasks that were committed; a file
     that a lost or repeated task left behind is in no list, so it is never read.
     Null and empty texts have the end id alone; null doc_ids come first. Rows
-    with the same doc_id are all written, ordered by the first letters of their
-    text and then as they were read, so that any number of them is dealt to many
-    tasks.
+    with the same doc_id are all written, in the order of a hash of their whole
+    texts, however they are read; equal rows, which only differ by where they were
+    read, are dealt to many tasks.
     """
     folder = folder or fresh_path(docs.sparkSession, "token-blocks")
     path = tokenizer or default_tokenizer()
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    order = ["doc_id", F.substr("text", F.lit(1), F.lit(TIE_LETTERS)), "row"]
+    order = ["doc_id", F.xxhash64("text"), "row"]
     ordered = slim.withColumn("row", F.monotonically_increasing_id()).repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
     written_slim(ordered.mapInArrow(lambda it: _write(it, f"{folder}/files", path, end_id), "file string, part long, n_docs long, n_ids long"), "manifest", f"{folder}/manifest")
     return folder
@@ -196,7 +194,7 @@ def _read(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordB
                         if b < reader.starts[doc + 1]:
                             break
                         doc += 1
-                ids = pa.array(reader.doc_ids, mask=reader.doc_ids == NO_ID)
+                ids = pa.array(reader.doc_ids, mask=reader.no_id)
                 yield pa.RecordBatch.from_arrays([ids, pa.array(reader.starts[:-1] + before), pa.array(reader.sizes), pa.array(crc)], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
 
