@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tilewright.operators.blocks import BlockShape, fused_pieces, patch_checksums
+from tilewright.operators.detect import BrightBlobStub, TileShape
 from tilewright.operators.pca import BANDS, pca_blocks
+from tilewright.operators.table_function import register_detection
 from tilewright.plans.catalogue import query
 from tilewright.plans.fixtures import duck, view
 
@@ -89,6 +91,35 @@ def patch_pixels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return patch_checksums(fused_pieces(grid_tiles(spark, sf_dir), grid_loader(), SHAPE), SHAPE.size)
 
 
+# cells below 8, so that slopes are moderate; at half a metre a cell they are twice what one metre gives
+BRIGHTEST = f"""with {duck("dsm_grid")}, g as (select vec_id, list_transform(z, lambda v: v % 8) as z from dsm_grid),
+ t as materialized (select g.vec_id, g.z, r.z as zr, b.z as zb, c.z as zc from g left join g r on r.vec_id = g.vec_id + 1 and g.vec_id % 10 < 9
+  left join g b on b.vec_id = g.vec_id - 10 left join g c on c.vec_id = g.vec_id - 9 and g.vec_id % 10 < 9),
+ m as materialized (select vec_id, list_transform(range(576), lambda i: {_of_mosaic("(i // 24)", "(i % 24)", 20, "{z}[({r} * 20 + {c}) % 64 + 1]")}) as m from t),
+ s as materialized (select vec_id, list_transform(range(576), lambda i: round_even(255 / sqrt(1 + 4 * {_slope(EAST, WEST)} * {_slope(EAST, WEST)} + 4 * {_slope(SOUTH, NORTH)} * {_slope(SOUTH, NORTH)}), 0)::bigint) as b from m),
+ p as (select vec_id, k, list_transform(range(64), lambda i: b[(k // 5 * 4 + i // 8) * 24 + k % 5 * 4 + i % 8 + 1]) as v from s, (select unnest(range(25)) as k)),
+ q as (select *, list_max(v) as best, list_position(v, list_max(v)) - 1 as i from p)"""
+
+
+@query(f"""{BRIGHTEST} select (2500 + vec_id % 10) || '-' || (1100 + vec_id // 10) as coord, vec_id, (k // 5)::int as patch_row, (k % 5)::int as patch_col,
+ (2500 + vec_id % 10) * 1000 + k % 5 * 2 + (i % 8 + 0.5::double) / 2 as easting, (1101 + vec_id // 10) * 1000 - k // 5 * 2 - (i // 8 + 0.5::double) / 2 as northing,
+ (best / 255::double)::float as confidence, 8::float as bbox_w_m, 8::float as bbox_h_m, 0::smallint as class_id from q where best / 255::double >= 0.3""")
+def detect_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tiles to patches to detections in SQL: the brightest cell of each fused patch of
+    every tile, found by a table function over tiles and what their neighbours lend."""
+    register_detection(spark, BrightBlobStub, TileShape(dsm_px=20, strip=4, size=8, stride=4, scale=1))
+    tiles = view(spark, sf_dir, "dsm_grid").selectExpr("vec_id", "cast(2500 + vec_id % 10 as int) as x", "cast(1100 + vec_id div 10 as int) as y", "transform(z, v -> v % 8) as z")
+    # a tile lends its first columns to the tile west of it, and its first rows to the one north of it
+    lent = tiles.selectExpr("*", """inline(array(
+      named_struct('side', 'own', 'dx', 0, 'dy', 0, 'width', 20, 'n', 400), named_struct('side', 'right', 'dx', 1, 'dy', 0, 'width', 4, 'n', 80),
+      named_struct('side', 'bottom', 'dx', 0, 'dy', 1, 'width', 20, 'n', 80), named_struct('side', 'corner', 'dx', 1, 'dy', 1, 'width', 4, 'n', 16)))""")
+    parts = lent.selectExpr(
+        "concat_ws('-', cast(x - dx as string), cast(y + dy as string)) as coord", "vec_id", "x - dx as x_km", "y + dy as y_km", "side", "width",
+        "transform(sequence(0, n - 1), k -> z[((k div width) * 20 + k % width) % 64]) as dsm", "cast(null as binary) as rgb",
+    )
+    return spark.sql("select * from detect_boxes(table({parts}), 0.3D)", parts=parts)
+
+
 @query()
 def pca_fusion(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every grid of four bands, cut into four blocks, on its main components."""
