@@ -107,3 +107,12 @@ def test_validation_suppresses_before_it_matches(spark):
     assert validate(p, t, background=2, suppress=0.5).select("tp", "fp", "fn").first() == (2, 0, 0)
     assert validate(p, t, background=2).select("tp", "fp", "fn").first() == (2, 1, 0)
     assert p.where(F.col("conf") > 2).count() == 0
+
+
+def test_look_ups_are_never_broadcast(spark):
+    # a table whose size Spark knows: a thousand rows, so it would broadcast what is made of them
+    x = F.col("id").cast("double")
+    df = spark.range(1000).select(F.lit("a").alias("tile_id"), F.col("id").cast("int").alias("rk"), x.alias("xmin"), x.alias("ymin"), (x + 3).alias("xmax"), (x + 3).alias("ymax"))
+    for pairs in (self_pairs(df, "tile_id", "rk"), cross_pairs(df, df.withColumnRenamed("rk", "other"), "tile_id", 0.4)):
+        plan = pairs._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan

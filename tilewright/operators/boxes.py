@@ -78,7 +78,8 @@ def _met(a: DataFrame, b: DataFrame, key: str, threshold: float) -> DataFrame:
     width = F.pow(F.lit(2.0), c("a.level"))
     once = [F.floor(F.greatest(f"a.{x}min", f"b.{x}min") / width) == c(f"a.{cell}") for x, cell in (("x", "ci"), ("y", "cj"))]
     fits = iou("a", "b") > threshold if threshold > 0 else overlaps("a", "b")
-    return a.join(b, same & once[0] & once[1] & fits)
+    # never broadcast: Spark takes the look-ups for as small as the boxes that they come from
+    return a.join(b.hint("merge"), same & once[0] & once[1] & fits)
 
 
 def self_pairs(boxes: DataFrame, key: str, rank: str, threshold: float = 0.0) -> DataFrame:
