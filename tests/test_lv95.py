@@ -39,3 +39,13 @@ def test_near_the_approximate_series(spark):
         about = 2.6779094 + 4.728982 * y + 0.791484 * y * x + 0.1306 * y * x * x - 0.0436 * y**3
         north = 16.9023892 + 3.238272 * x - 0.270978 * y * y - 0.002528 * x * x - 0.0447 * y * y * x - 0.0140 * x**3
         assert abs(r.lon - about * 100 / 36) < 5e-5 and abs(r.lat - north * 100 / 36) < 5e-5
+
+
+def test_the_queries_hold_latitudes_as_their_sql_does(spark):
+    from tilewright.plans.files_catalogue import SOUGHT
+    from tilewright.run import box_around_coords
+
+    tiles = spark.createDataFrame([(2500, 1100), (2599, 2385)], "x_km int, y_km int")
+    # from the SQL in DuckDB over these two tiles; the run itself goes on to the true latitude
+    held, free = (box_around_coords(tiles, between=b).first().bbox for b in (SOUGHT, None))
+    assert held == "5.7802,46.0350,7.4549,54.9977" and float(free.split(",")[3]) > 57.5 and free.split(",")[1] == held.split(",")[1]

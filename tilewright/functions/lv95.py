@@ -47,10 +47,13 @@ def to_bessel(e: Column, n: Column) -> tuple[Column, Column]:
     return phi, longitude
 
 
-def to_wgs84(e: Column, n: Column, height: Column | float = 0.0) -> tuple[Column, Column]:
+def to_wgs84(e: Column, n: Column, height: Column | float = 0.0, between: tuple[float, float] | None = None) -> tuple[Column, Column]:
     """(longitude, latitude) in degrees of Swiss coordinates in metres. height: above the
-    Bessel ellipsoid; a thousand metres change the place by a decimetre."""
+    Bessel ellipsoid; a thousand metres change the place by a decimetre. between: degrees
+    of latitude on that ellipsoid at which places beyond are held; None: everywhere."""
     phi, lam = to_bessel(e, n)
+    if between:
+        phi = F.greatest(F.lit(math.radians(between[0])), F.least(F.lit(math.radians(between[1])), phi))
     across = _a / F.sqrt(1 - _e2 * F.sin(phi) * F.sin(phi))
     h = height if isinstance(height, Column) else F.lit(float(height))
     x = (across + h) * F.cos(phi) * F.cos(lam) + SHIFT[0]

@@ -48,17 +48,17 @@ class RunSettings:
             raise ValueError("rgb_urls needs dsm_urls")
 
 
-def box_around_coords(coords: DataFrame, pad_tiles: int = 1) -> DataFrame:
+def box_around_coords(coords: DataFrame, pad_tiles: int = 1, between: tuple[float, float] | None = None) -> DataFrame:
     """One row: the box of tile coordinates (x_km, y_km) and pad_tiles more on each
     side in metres, and around its projected corners as "west,south,east,north" in
-    degrees to four places."""
+    degrees to four places. between: see :func:`to_wgs84`."""
     box = coords.agg(
         ((F.min("x_km") - pad_tiles) * 1000).alias("min_e"),
         ((F.min("y_km") - pad_tiles) * 1000).alias("min_n"),
         ((F.max("x_km") + 1 + pad_tiles) * 1000).alias("max_e"),
         ((F.max("y_km") + 1 + pad_tiles) * 1000).alias("max_n"),
     )
-    corners = [to_wgs84(F.col(e), F.col(n)) for e in ("min_e", "max_e") for n in ("min_n", "max_n")]
+    corners = [to_wgs84(F.col(e), F.col(n), between=between) for e in ("min_e", "max_e") for n in ("min_n", "max_n")]
     lon, lat = [c[0] for c in corners], [c[1] for c in corners]
     text = F.format_string("%.4f,%.4f,%.4f,%.4f", F.least(*lon), F.least(*lat), F.greatest(*lon), F.greatest(*lat))
     return box.select("*", text.alias("bbox"))
