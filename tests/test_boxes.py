@@ -9,8 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tilewright.operators.boxes import cross_pairs, filed, level_of, looked_up, self_pairs
-from tilewright.operators.datasets import overlap_pairs, validate
-from tilewright.operators.dedup import nms_by_rounds
+from tilewright.operators.datasets import confusion, overlap_pairs, validate
+from tilewright.operators.dedup import matched, matched_by_rounds, nms_by_rounds, nms_of_any_size
 
 SCHEMA = "tile_id string, rk int, xmin double, ymin double, xmax double, ymax double"
 
@@ -116,3 +116,42 @@ def test_look_ups_are_never_broadcast(spark):
     for pairs in (self_pairs(df, "tile_id", "rk"), cross_pairs(df, df.withColumnRenamed("rk", "other"), "tile_id", 0.4)):
         plan = pairs._jdf.queryExecution().executedPlan().toString()
         assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def sides(spark):
+    p = spark.createDataFrame(boxes(11), SCHEMA).withColumnRenamed("tile_id", "img").withColumn("cls", F.col("rk") % 2)
+    t = spark.createDataFrame(boxes(12) + boxes(11)[:60], SCHEMA).withColumnRenamed("tile_id", "img").withColumn("cls", F.col("rk") % 3)
+    return p.withColumnRenamed("rk", "p_id"), t.withColumn("rk", F.concat(F.lit("t"), F.col("rk"), F.lit("-"), F.monotonically_increasing_id())).withColumnRenamed("rk", "t_id")
+
+
+@pytest.mark.parametrize("few", [0, 180, 4000])
+def test_matching_inside_a_task_or_in_rounds(spark, few):
+    p, t = sides(spark)
+    ids = ["img", "p_id", "t_id", "p_cls", "t_cls"]
+    want = sorted(map(tuple, matched_by_rounds(p, t, 0.3).select(*ids).collect()))
+    assert len(want) > 50 and sorted(map(tuple, matched(p, t, 0.3, few=few).select(*ids).collect())) == want
+    assert matched(p.limit(0), t, 0.3, few=few).collect() == []
+
+
+def test_matching_sends_no_pairs_and_joins_no_cells(spark):
+    p, t = sides(spark)
+    plan = matched(p, t, 0.3)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and "Generate" not in plan and "Join" not in plan
+
+
+def test_what_is_left_over_is_counted(spark):
+    p, t = sides(spark)
+    m = matched(p, t, 0.3)
+    found = {(r.pred_cls, r.true_cls): r.n for r in confusion(m, p, t, background=9).collect()}
+    hits = m.count()
+    assert sum(n for (a, b), n in found.items() if b == 9) == p.count() - hits and sum(n for (a, b), n in found.items() if a == 9) == t.count() - hits
+    # a class all of whose boxes are matched has no row
+    one, other = p.where("p_id = 2"), p.where("p_id = 2").withColumnRenamed("p_id", "t_id")
+    assert [tuple(r) for r in confusion(matched(one, other), one, other, background=9).collect()] == [(0, 0, 1)]
+
+
+@pytest.mark.parametrize("few", [0, 180, 4000])
+def test_suppression_inside_a_task_or_in_rounds(spark, few):
+    df = spark.createDataFrame(boxes(13), SCHEMA)
+    want = sorted(tuple(r) for r in nms_by_rounds(df, 0.3).select("tile_id", "rk").collect())
+    assert sorted(tuple(r) for r in nms_of_any_size(df, 0.3, few=few).select("tile_id", "rk").collect()) == want

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tilewright.functions.geo import overlaps, to_xywh
 from tilewright.functions.storage import written
 from tilewright.operators.boxes import self_pairs
-from tilewright.operators.dedup import matched, nms_by_rounds
+from tilewright.operators.dedup import matched, nms_of_any_size
 from tilewright.operators.graph import connected_components
 
 #: In the denominators of precision, recall and F scores.
@@ -94,10 +94,14 @@ def select_pseudo_labels(images: DataFrame, predictions: DataFrame, n: int, imag
 def confusion(matches: DataFrame, predictions: DataFrame, truths: DataFrame, background: int) -> DataFrame:
     """(pred_cls, true_cls, n): matched pairs, and what is left on either side
     against the class ``background``."""
-    hit = matches.select(F.col("p_cls").alias("pred_cls"), F.col("t_cls").alias("true_cls"))
-    missed = truths.join(matches.select("img", "t_id"), ["img", "t_id"], "left_anti").select(F.lit(background).alias("pred_cls"), F.col("cls").alias("true_cls"))
-    false = predictions.join(matches.select("img", "p_id"), ["img", "p_id"], "left_anti").select(F.col("cls").alias("pred_cls"), F.lit(background).alias("true_cls"))
-    return hit.union(missed).union(false).groupBy("pred_cls", "true_cls").agg(F.count("*").alias("n"))
+    # matches use each box once at most, so what is left over of a class is its count less its matches:
+    # one pass over each table, and no ids go through a join
+    c, bg, one = F.col, F.lit(background), F.lit(1)
+    sides = F.explode(F.array(*[F.struct(p.alias("pred_cls"), t.alias("true_cls"), n.alias("k")) for p, t, n in ((c("p_cls"), c("t_cls"), one), (bg, c("t_cls"), -one), (c("p_cls"), bg, -one))])).alias("s")
+    hit = matches.select(sides).select("s.*")
+    missed = truths.select(bg.alias("pred_cls"), c("cls").alias("true_cls"), one.alias("k"))
+    false = predictions.select(c("cls").alias("pred_cls"), bg.alias("true_cls"), one.alias("k"))
+    return hit.union(missed).union(false).groupBy("pred_cls", "true_cls").agg(F.sum("k").alias("n")).where("n <> 0")
 
 
 def scores(matrix: DataFrame, background: int) -> DataFrame:
@@ -132,8 +136,7 @@ def validate(predictions: DataFrame, truths: DataFrame, background: int, conf: f
     if suppress is not None:
         # the order itself is the rank, so no image is sorted in one task
         order = F.struct((-F.col("conf")).alias("c"), "p_id")
-        found = nms_by_rounds(found.withColumn("tile_id", F.col("img")).withColumn("rk", order), suppress).drop("tile_id", "rk")
-    found = written(found, "validated")
+        found = written(nms_of_any_size(found.withColumn("tile_id", F.col("img")).withColumn("rk", order), suppress).drop("tile_id", "rk"), "validated")
     return scores(confusion(matched(found, truths, iou), found, truths, background), background)
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,6 +12,11 @@ from tilewright.functions.storage import forget, written
 from tilewright.model import DEDUP_RADIUS_M
 from tilewright.operators.boxes import EDGES, cross_pairs, self_pairs
 
+#: Boxes of one image or tile (on one side) that one task takes as a group at most; those with more are settled in rounds.
+FEW = 4_000
+#: Pairs of boxes that a task compares at a time.
+AT_ONCE = 1_000_000
+
 
 def kept_by_distance(x: np.ndarray, y: np.ndarray, radius: float = DEDUP_RADIUS_M) -> np.ndarray:
     """Which points are kept, if each (in order) is dropped when a kept one lies
@@ -82,26 +88,51 @@ def dedup_by_rounds(detections: DataFrame, radius: float = DEDUP_RADIUS_M) -> Da
     return greedy_by_rounds(detections, written(near_pairs(detections, radius), "dedup-pairs"))
 
 
+def kept_by_overlap(b: np.ndarray, threshold: float) -> np.ndarray:
+    """Which boxes (rows of edges) are kept, if each (in order) is dropped when a kept one
+    has an IoU above ``threshold`` with it."""
+    area = (b[:, 2] - b[:, 0]) * (b[:, 3] - b[:, 1])
+    keep = np.ones(len(b), bool)
+    for k in range(len(b)):
+        if keep[k]:
+            w = np.minimum(b[k, 2], b[k + 1 :, 2]) - np.maximum(b[k, 0], b[k + 1 :, 0])
+            h = np.minimum(b[k, 3], b[k + 1 :, 3]) - np.maximum(b[k, 1], b[k + 1 :, 1])
+            shared = np.maximum(w, 0) * np.maximum(h, 0)
+            keep[k + 1 :] &= ~(shared > threshold * (area[k] + area[k + 1 :] - shared))
+    return keep
+
+
 def nms(boxes: DataFrame, threshold: float) -> DataFrame:
     """Greedy suppression by overlap in each tile, in order of rk: a box goes if a
     kept one has an IoU above ``threshold`` with it."""
 
     def one_tile(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("rk", kind="stable")
-        b = pdf[["xmin", "ymin", "xmax", "ymax"]].to_numpy(float)
-        area = (b[:, 2] - b[:, 0]) * (b[:, 3] - b[:, 1])
-        keep = np.ones(len(b), bool)
-        for k in range(len(b)):
-            if keep[k]:
-                w = np.minimum(b[k, 2], b[k + 1 :, 2]) - np.maximum(b[k, 0], b[k + 1 :, 0])
-                h = np.minimum(b[k, 3], b[k + 1 :, 3]) - np.maximum(b[k, 1], b[k + 1 :, 1])
-                shared = np.maximum(w, 0) * np.maximum(h, 0)
-                keep[k + 1 :] &= ~(shared > threshold * (area[k] + area[k + 1 :] - shared))
-        return pdf[keep]
+        return pdf[kept_by_overlap(pdf[list(EDGES)].to_numpy(float), threshold)]
 
     return boxes.groupBy("tile_id").applyInPandas(one_tile, boxes.schema)
 
 
+def nms_of_any_size(boxes: DataFrame, threshold: float, few: int = FEW) -> DataFrame:
+    """:func:`nms` with ranks of any kind: tiles of at most ``few`` boxes inside one task
+    each, and those with more by :func:`nms_by_rounds`. Boxes without a tile, a rank or an
+    edge stay, as they overlap with none."""
+    fine = " and ".join(f"{c} is not null" for c in ("tile_id", "rk", *EDGES))
+    many = crowded({"tile_id": boxes.where(fine)}, few)
+    whole = boxes.where(fine)
+    small = whole if many is None else whole.join(many, whole["tile_id"] == many["key"], "left_anti")
+    by = small.select(*boxes.columns, F.row_number().over(Window.partitionBy("tile_id").orderBy("rk")).alias("__by"), *[F.col(e).cast("double").alias(f"__{e}") for e in EDGES])
+    names = boxes.columns
+
+    def one_tile(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("__by")
+        keep = kept_by_overlap(np.stack([rows.column(f"__{e}").to_numpy() for e in EDGES], axis=1), threshold)
+        return rows.select(names).filter(pa.array(keep))
+
+    found = by.groupBy("tile_id").applyInArrow(one_tile, boxes.schema).union(boxes.where(f"not ({fine})"))
+    return found if many is None else found.union(nms_by_rounds(whole.join(many, whole["tile_id"] == many["key"], "left_semi"), threshold))
+
+
 def nms_by_rounds(boxes: DataFrame, threshold: float) -> DataFrame:
     """:func:`nms` for tiles and boxes of any size: pairs come from a join on cells of
     the boxes' own levels, and the greedy order is settled in rounds of joins."""
@@ -109,13 +140,72 @@ def nms_by_rounds(boxes: DataFrame, threshold: float) -> DataFrame:
     return greedy_by_rounds(held, written(self_pairs(held, "tile_id", "rk", threshold), "nms-pairs"))
 
 
-def matched(predictions: DataFrame, truths: DataFrame, threshold: float = 0.5) -> DataFrame:
+def crowded(tables: dict[str, DataFrame], few: int) -> DataFrame | None:
+    """(key) of the groups with more than ``few`` rows in one of the tables by key
+    column, or None if there are none."""
+    found = None
+    for key, table in tables.items():
+        part = table.groupBy(F.col(key).alias("key")).count().where(F.col("count") > few).select("key")
+        found = part if found is None else found.union(part)
+    found = written(found.where("key is not null").distinct(), "crowded")
+    return None if found.isEmpty() else found
+
+
+def _greedy_matches(p: pa.Table, t: pa.Table, threshold: float) -> pa.Table:
+    """The greedy matching of one image. p and t: ids, classes, edges and by, the order of the ids."""
+    edges = [[x.column(c).to_numpy() for c in EDGES] for x in (p, t)]
+    by = [x.column("by").to_numpy() for x in (p, t)]
+    (pw, ps, pe, pn), (tw, ts, te, tn) = edges
+    areas = (pe - pw) * (pn - ps), (te - tw) * (tn - ts)
+    found = []
+    for low in range(0, len(pw), step := max(1, AT_ONCE // max(1, len(tw)))):
+        at = slice(low, low + step)
+        w = np.maximum(0.0, np.minimum(pe[at, None], te) - np.maximum(pw[at, None], tw))
+        h = np.maximum(0.0, np.minimum(pn[at, None], tn) - np.maximum(ps[at, None], ts))
+        rest = areas[0][at, None] + areas[1] - w * h
+        i, j = np.nonzero((w * h > 0) & (rest != 0))
+        iou = (w * h)[i, j] / rest[i, j]
+        over = iou > threshold
+        found.append((iou[over], i[over] + low, j[over]))
+    iou, i, j = (np.concatenate(x) for x in zip(*found, strict=True)) if found else (np.empty(0), np.empty(0, int), np.empty(0, int))
+    free_p, free_t, hits = [True] * len(pw), [True] * len(tw), []
+    order = np.lexsort((by[1][j], by[0][i], -iou))
+    for k, a, b in zip(order.tolist(), i[order].tolist(), j[order].tolist(), strict=True):
+        if free_p[a] and free_t[b]:
+            free_p[a] = free_t[b] = False
+            hits.append(k)
+    p, t = p.take(pa.array(i[hits], pa.int64())), t.take(pa.array(j[hits], pa.int64()))
+    return pa.table([p.column("img"), p.column("p_id"), t.column("t_id"), p.column("p_cls"), t.column("t_cls"), pa.array(iou[hits], pa.float64())], names=["img", "p_id", "t_id", "p_cls", "t_cls", "iou"])
+
+
+def matched(predictions: DataFrame, truths: DataFrame, threshold: float = 0.5, few: int = FEW) -> DataFrame:
     """Predictions (img, p_id, cls, xmin..ymax) matched with truths (img, t_id,
     cls, xmin..ymax): pairs of one image with an IoU above ``threshold``, each side
-    used once. A pair counts if it is the best of both its sides (larger IoU, then
-    lesser ids); such pairs leave and the rest is looked at again. Boxes meet in
-    cells of their image and level, so an image with many boxes is not one task's
-    work, nor does a large box make it so."""
+    used once, in the order of IoU (larger first), then ids.
+
+    An image with at most ``few`` boxes on either side is matched inside one task, so
+    that its boxes are shuffled once and its pairs never. Images with more are matched
+    in rounds, see :func:`matched_by_rounds`; none of them is one task's work."""
+    p = predictions.select("img", "p_id", F.col("cls").alias("p_cls"), *EDGES).dropna(subset=["img", *EDGES])
+    t = truths.select("img", "t_id", F.col("cls").alias("t_cls"), *EDGES).dropna(subset=["img", *EDGES])
+    many = crowded({"img": p.select("img").unionAll(t.select("img"))}, few)
+    small = [x if many is None else x.join(many, x["img"] == many["key"], "left_anti") for x in (p, t)]
+    # ids of any kind become numbers in their order; the shuffle for that is the one that the groups need
+    by = [x.select("*", F.row_number().over(Window.partitionBy("img").orderBy(i)).alias("by")).select(*x.columns, "by", *[F.col(e).cast("double").alias(f"__{e}") for e in EDGES]).drop(*EDGES).withColumnsRenamed({f"__{e}": e for e in EDGES}) for x, i in zip(small, ("p_id", "t_id"), strict=True)]
+    kinds = {f.name: f.dataType.simpleString() for x in (p, t) for f in x.schema.fields}
+    schema = ", ".join(f"{c} {kinds[c]}" for c in ("img", "p_id", "t_id", "p_cls", "t_cls")) + ", iou double"
+    found = by[0].groupBy("img").cogroup(by[1].groupBy("img")).applyInArrow(lambda a, b: _greedy_matches(a, b, threshold), schema)
+    if many is None:
+        return found
+    rest = [x.join(many, x["img"] == many["key"], "left_semi") for x in (predictions, truths)]
+    return found.unionByName(matched_by_rounds(*rest, threshold))
+
+
+def matched_by_rounds(predictions: DataFrame, truths: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """:func:`matched` for images of any size. A pair counts if it is the best of both
+    its sides (larger IoU, then lesser ids); such pairs leave and the rest is looked at
+    again. Boxes meet in cells of their image and level, so an image with many boxes is
+    not one task's work, nor does a large box make it so."""
     p = predictions.select("img", "p_id", F.col("cls").alias("p_cls"), *EDGES)
     t = truths.select("img", "t_id", F.col("cls").alias("t_cls"), *EDGES)
     pairs = cross_pairs(p, t, "img", threshold).select("img", "p_id", "t_id", "p_cls", "t_cls", "iou")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tilewright.functions.geo import box_around, tile_id, to_map, to_xywh, x_km, y_km
 from tilewright.functions.storage import fresh_path, written
 from tilewright.operators import datasets, dedup, raster, tiles
-from tilewright.plans.fixtures import duck, view
+from tilewright.plans.fixtures import duck, ranked, view
 from tilewright.streaming.tiles import counts_by_key, to_memory
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -261,7 +261,8 @@ def normalised_boxes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def matrix_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p, t = view(spark, sf_dir, "match_preds"), view(spark, sf_dir, "match_truths")
+    raw = ranked(spark, sf_dir)
+    p, t = view(spark, sf_dir, "match_preds", raw), view(spark, sf_dir, "match_truths", raw)
     return datasets.confusion(dedup.matched(p, t, 0.5), p, t, background=2)
 
 

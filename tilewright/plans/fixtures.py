@@ -9,6 +9,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tilewright.functions.storage import written
+
 VIEWS: dict[str, str] = {}
 
 VIEWS["det_raw"] = """
@@ -120,18 +122,25 @@ VIEWS["colour_files"] = "select concat('patch_', cast(vec_id as string), '.tif')
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages")
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A view or table. Views may build on each other."""
+def view(spark: SparkSession, sf_dir: str, name: str, given: dict[str, DataFrame] | None = None) -> DataFrame:
+    """A view or table. Views may build on each other. given: views that are there already."""
+    if given and name in given:
+        return given[name]
     if name not in VIEWS:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
     source, used = VIEWS[name], {}
     for t in (*TABLES, *VIEWS):
         if t != name and f"from {t}" in source:
             source = source.replace(f"from {t}", f"from {{{t}}}")
-            used[t] = view(spark, sf_dir, t)
+            used[t] = view(spark, sf_dir, t, given)
     return spark.sql(source, **used)
 
 
+def ranked(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """det_raw, ranked once and written, for queries that read it more than once."""
+    return {"det_raw": written(view(spark, sf_dir, "det_raw").select("tile_id", "rk", "k1", "k2", "easting", "northing", "confidence"), "ranked")}
+
+
 def duck(*names: str) -> str:
     """The views as the WITH entries of a DuckDB query."""
     needed: list[str] = []
