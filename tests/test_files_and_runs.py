@@ -234,3 +234,15 @@ def test_components_of_a_star_and_a_long_path(spark):
     edges = [(1, 1000 + k) for k in range(500)] + [(5000 + k, 5001 + k) for k in range(300)]
     found = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert set(found.values()) == {1, 5000} and len(found) == 501 + 301
+
+
+def test_known_files_are_read_by_few_tasks(spark, tmp_path):
+    from tilewright.sources.files import TASKS_PER_CORE, read_annotations, read_texts, write_files
+
+    rows = spark.range(700).selectExpr("concat('d', id % 3, '/', id, '.json') as file_path", """concat('{"info":{}, "dataset":[{"file_name":"', id, '","coord":[0,0,1,1],"rocks_annotations":[{"relative_within_patch_location":[0.5,', id, ']}]}]}') as content""")
+    put = write_files(rows, f"file://{tmp_path}").localCheckpoint()
+    found = read_texts(put, f"file://{tmp_path}")
+    assert found.rdd.getNumPartitions() == TASKS_PER_CORE * spark.sparkContext.defaultParallelism
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, rows.collect()))
+    listed, known = (sorted(map(tuple, x[1].collect())) for x in (read_annotations(spark, f"file://{tmp_path}/*"), read_annotations(spark, f"file://{tmp_path}", put)))
+    assert listed == known and len(known) == 700

@@ -136,9 +136,10 @@ def view(spark: SparkSession, sf_dir: str, name: str, given: dict[str, DataFrame
     return spark.sql(source, **used)
 
 
-def ranked(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """det_raw, ranked once and written, for queries that read it more than once."""
-    return {"det_raw": written(view(spark, sf_dir, "det_raw").select("tile_id", "rk", "k1", "k2", "easting", "northing", "confidence"), "ranked")}
+def ranked(spark: SparkSession, sf_dir: str, *more: str) -> dict[str, DataFrame]:
+    """det_raw with the columns that most views need and ``more``, ranked once and written, for
+    queries that read it more than once."""
+    return {"det_raw": written(view(spark, sf_dir, "det_raw").select("tile_id", "rk", "k1", "k2", "easting", "northing", "confidence", *more), "ranked")}
 
 
 def duck(*names: str) -> str:

@@ -13,6 +13,8 @@ from tilewright.functions import tiff
 from tilewright.functions.storage import open_store
 
 ANNOTATIONS = "info map<string, string>, dataset array<struct<file_name: string, coord: array<double>, rocks_annotations: array<struct<relative_within_patch_location: array<double>>>>>"
+#: Tasks among which known files are dealt out to be read.
+TASKS_PER_CORE = 8
 RASTER = "width int, height int, bands int, a double, c double, e double, f double"
 
 
@@ -51,10 +53,15 @@ def read_patches(spark: SparkSession, folder: str, any_case: bool = False) -> Da
     return files.mapInArrow(described, f"file_name string, content binary, {RASTER}")
 
 
-def read_annotations(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+def read_annotations(spark: SparkSession, path: str, names: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(patches: file_name, xmin, ymin, xmax, ymax, n; annotations: file_name, seq,
-    cx, cy) of annotation files: JSON objects with info and dataset."""
-    samples = spark.read.schema(ANNOTATIONS).json(path, multiLine=True).select(F.explode("dataset").alias("s"))
+    cx, cy) of annotation files: JSON objects with info and dataset. names: (file_path)
+    of the files, if they are known; otherwise the folder is listed."""
+    if names is None:
+        parsed = spark.read.schema(ANNOTATIONS).json(path, multiLine=True)
+    else:
+        parsed = read_texts(names, path).select(F.from_json("content", ANNOTATIONS).alias("j")).select("j.*")
+    samples = parsed.select(F.explode("dataset").alias("s"))
     notes = F.coalesce("s.rocks_annotations", F.array())
     corner = [F.get("s.coord", F.lit(k)).alias(n) for k, n in enumerate(("xmin", "ymin", "xmax", "ymax"))]
     patches = samples.select("s.file_name", *corner, F.size(notes).alias("n"))
@@ -88,6 +95,24 @@ def write_files(rows: DataFrame, folder: str) -> DataFrame:
     return rows.select("file_path", "content").mapInArrow(put, "file_path string, bytes long")
 
 
+def read_texts(names: DataFrame, folder: str) -> DataFrame:
+    """(file_path, content) of the files of ``names`` (file_path) below a folder of the
+    shared store. The tasks open them: no folder is listed by the driver, and a task
+    has many small files."""
+
+    def get(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, place = open_store(folder)
+        for batch in batches:
+            texts = []
+            for name in batch.column(0).to_pylist():
+                with store.open_input_stream(f"{place}/{name}", compression=None) as f:
+                    texts.append(f.read().decode())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.string())], ["file_path", "content"])
+
+    tasks = TASKS_PER_CORE * names.sparkSession.sparkContext.defaultParallelism
+    return names.select("file_path").repartition(tasks, "file_path").mapInArrow(get, "file_path string, content string")
+
+
 def label_files(labels: DataFrame, split: str = "split") -> DataFrame:
     """(file_path, content) of label rows (file_name, label, split): a text for each
     image under labels/{split}, a line end after every line, empty without lines."""
