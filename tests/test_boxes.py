@@ -155,3 +155,31 @@ def test_suppression_inside_a_task_or_in_rounds(spark, few):
     df = spark.createDataFrame(boxes(13), SCHEMA)
     want = sorted(tuple(r) for r in nms_by_rounds(df, 0.3).select("tile_id", "rk").collect())
     assert sorted(tuple(r) for r in nms_of_any_size(df, 0.3, few=few).select("tile_id", "rk").collect()) == want
+
+
+def test_points_are_sent_to_few_cells(spark):
+    from tilewright.operators.dedup import near_pairs
+
+    rng = random.Random(5)
+    rows = [(rng.choice("ab"), k, 2_500_000 + 1.5 * rng.randrange(60), 1_200_000 + 1.5 * rng.randrange(60)) for k in range(500)]
+    found = near_pairs(spark.createDataFrame(rows, "tile_id string, rk int, easting double, northing double"), 7.5)
+    want = [(a[0], a[1], b[1]) for i, a in enumerate(rows) for b in rows[i + 1 :] if a[0] == b[0] and (a[2] - b[2]) ** 2 + (a[3] - b[3]) ** 2 < 56.25]
+    assert sorted(map(tuple, found.collect())) == sorted(want)
+    # the cells that its circle touches, not all nine around
+    assert "sequence(" in found._jdf.queryExecution().toString()
+
+
+def test_kept_by_overlap_in_pieces(monkeypatch):
+    import numpy as np
+
+    from tilewright.operators import dedup
+
+    rows = [r for r in boxes(17) if None not in r and r[0] == "a"]
+    kept = []
+    for r in rows:
+        if not any(share(k, r)[1] > 0.3 for k in kept):
+            kept.append(r)
+    for at_once in (1, 1000, 10**6):
+        monkeypatch.setattr(dedup, "AT_ONCE", at_once)
+        keep = dedup.kept_by_overlap(np.array([r[2:] for r in rows], float), 0.3)
+        assert [r for r, k in zip(rows, keep, strict=True) if k] == kept

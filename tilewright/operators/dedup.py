@@ -51,14 +51,16 @@ def dedup_per_tile(detections: DataFrame, radius: float = DEDUP_RADIUS_M, order:
 
 
 def near_pairs(points: DataFrame, radius: float) -> DataFrame:
-    """(tile_id, first, second) of points nearer than ``radius``, by rank. Every
-    point goes to its own cell and, as the second of a pair, to those around."""
-    cell = [F.floor(F.col(c) / radius).cast("long") for c in ("easting", "northing")]
-    at = points.select("tile_id", "rk", "easting", "northing", cell[0].alias("i"), cell[1].alias("j"))
-    step = F.explode(F.array(*[F.struct(F.lit(a).alias("i"), F.lit(b).alias("j")) for a in (-1, 0, 1) for b in (-1, 0, 1)])).alias("s")
-    sent = at.select("tile_id", "rk", "easting", "northing", "i", "j", step).select("tile_id", F.col("rk").alias("second"), F.col("easting").alias("x"), F.col("northing").alias("y"), (F.col("i") + F.col("s.i")).alias("i"), (F.col("j") + F.col("s.j")).alias("j"))
+    """(tile_id, first, second) of points nearer than ``radius``, by rank. Every point
+    goes to its own cell, four radii wide, and as the second of a pair to those that
+    its circle touches: two or three rows on average, at most four."""
+    side, reach = 4 * radius, radius * (1 + 1e-6)
+    at = points.select("tile_id", "rk", "easting", "northing", *[F.floor(F.col(c) / side).cast("long").alias(k) for c, k in (("easting", "i"), ("northing", "j"))])
+    cells = [F.explode(F.sequence(F.floor((F.col(c) - reach) / side), F.floor((F.col(c) + reach) / side))).alias(k) for c, k in (("x", "i"), ("y", "j"))]
+    sent = points.select("tile_id", F.col("rk").alias("second"), F.col("easting").alias("x"), F.col("northing").alias("y")).dropna()
+    sent = sent.select("*", cells[0]).select("*", cells[1])
     d2 = (F.col("easting") - F.col("x")) ** 2 + (F.col("northing") - F.col("y")) ** 2
-    return at.join(sent, ["tile_id", "i", "j"]).where((F.col("rk") < F.col("second")) & (d2 < radius * radius)).select("tile_id", F.col("rk").alias("first"), "second")
+    return at.join(sent.hint("merge"), ["tile_id", "i", "j"]).where((F.col("rk") < F.col("second")) & (d2 < radius * radius)).select("tile_id", F.col("rk").alias("first"), "second")
 
 
 def greedy_by_rounds(points: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -93,12 +95,17 @@ def kept_by_overlap(b: np.ndarray, threshold: float) -> np.ndarray:
     has an IoU above ``threshold`` with it."""
     area = (b[:, 2] - b[:, 0]) * (b[:, 3] - b[:, 1])
     keep = np.ones(len(b), bool)
-    for k in range(len(b)):
-        if keep[k]:
-            w = np.minimum(b[k, 2], b[k + 1 :, 2]) - np.maximum(b[k, 0], b[k + 1 :, 0])
-            h = np.minimum(b[k, 3], b[k + 1 :, 3]) - np.maximum(b[k, 1], b[k + 1 :, 1])
-            shared = np.maximum(w, 0) * np.maximum(h, 0)
-            keep[k + 1 :] &= ~(shared > threshold * (area[k] + area[k + 1 :] - shared))
+    # overlaps of some rows with all after them at a time; the order matters for those few pairs only
+    for low in range(0, len(b), step := max(1, AT_ONCE // max(1, len(b)))):
+        at, after = slice(low, low + step), slice(low + 1, None)
+        w = np.minimum(b[at, 2, None], b[after, 2]) - np.maximum(b[at, 0, None], b[after, 0])
+        h = np.minimum(b[at, 3, None], b[after, 3]) - np.maximum(b[at, 1, None], b[after, 1])
+        shared = np.maximum(w, 0) * np.maximum(h, 0)
+        i, j = np.nonzero(shared > threshold * (area[at, None] + area[after] - shared))
+        i, j = i[j >= i] + low, j[j >= i] + low + 1
+        for first, second in zip(i.tolist(), j.tolist(), strict=True):
+            if keep[first]:
+                keep[second] = False
     return keep
 
 
