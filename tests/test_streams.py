@@ -142,3 +142,11 @@ def test_stream_of_pages_goes_on_from_its_offset(spark, tmp_path):
     write_pages(tmp_path, "rgb", range(3, 40))
     assert take("all") == list(range(40))
     assert take("late", rgb=37) == [37, 38, 39]
+
+
+def test_pages_of_a_layer_are_read_by_few_tasks():
+    from tilewright.sources.pages import MOST_TASKS, _ranges
+
+    for n in (0, 1, 16, 17, 1600, 45_001):
+        found = [p.value for p in _ranges("rgb", 5, 5 + n)]
+        assert len(found) <= MOST_TASKS and [k for _, a, b in found for k in range(a, b)] == list(range(5, 5 + n))

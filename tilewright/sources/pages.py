@@ -19,8 +19,8 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStrea
 from tilewright.functions.storage import fresh_path, open_store
 
 ITEMS = "layer string, page long, pos int, item_id string, href string, west double, south double, east double, north double"
-#: Pages that a task reads.
-PAGES_PER_TASK = 16
+#: Pages that a task reads at least, and tasks that read the pages of one layer at most.
+PAGES_PER_TASK, MOST_TASKS = 16, 96
 EDGES = ("west", "south", "east", "north")
 _TESTS = {EqualTo: lambda a, b: a == b, GreaterThan: lambda a, b: a > b, GreaterThanOrEqual: lambda a, b: a >= b, LessThan: lambda a, b: a < b, LessThanOrEqual: lambda a, b: a <= b}
 
@@ -91,7 +91,8 @@ def count_pages(root: str, layer: str, known: int = 0) -> int:
 
 
 def _ranges(layer: str, start: int, end: int) -> list[InputPartition]:
-    return [InputPartition((layer, k, min(k + PAGES_PER_TASK, end))) for k in range(start, end, PAGES_PER_TASK)]
+    step = max(PAGES_PER_TASK, -(-(end - start) // MOST_TASKS))
+    return [InputPartition((layer, k, min(k + step, end))) for k in range(start, end, step)]
 
 
 def read_range(root: str, layer: str, start: int, end: int, pushed: Pushed) -> Iterator[tuple]:
