@@ -57,6 +57,22 @@ def test_shards_are_those_of_one_by_one_insertion(spark, monkeypatch):
     assert {(r.size, r.text_crc32) for r in found if r.doc_id is None} == {(1, 0)}
 
 
+def test_full_shards_are_found_in_few_jobs(spark):
+    """A bucket in which a shard fills up takes one job, however many partitions its sort would have."""
+    rows = docs(spark, [(k, f"text {k}", "s") for k in range(300)])
+    before, name = spark.conf.get("spark.sql.shuffle.partitions"), "shards-in-few-jobs"
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.sparkContext.setJobGroup(name, name)
+    try:
+        shard_documents(rows)
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(name)) < 40
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_one_more_shard_moves_few(spark):
     rows = [(k, f"t{k}", "s") for k in range(2000)]
     before = {r.doc_id: r.shard for r in shard_documents(docs(spark, rows), 8, capacities=[320] * 8).collect()}

@@ -110,7 +110,8 @@ def cut_offs(rows: DataFrame, ring: Ring, capacities: list[int]) -> list[tuple[i
                 else:
                     walk(inner, -(2**63), 64, "row")
                 continue
-            for p, r, arc in inner.select("priority", "row", "arc").orderBy("priority", "row").toLocalIterator():
+            # FEW_ROWS at most, in one job: an iterator would start a job for every partition of the sort
+            for p, r, arc in sorted(map(tuple, inner.select("priority", "row", "arc").collect())):
                 s = targets_one(arc)
                 room[s] -= 1
                 if room[s] == 0:
