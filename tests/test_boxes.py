@@ -183,3 +183,10 @@ def test_kept_by_overlap_in_pieces(monkeypatch):
         monkeypatch.setattr(dedup, "AT_ONCE", at_once)
         keep = dedup.kept_by_overlap(np.array([r[2:] for r in rows], float), 0.3)
         assert [r for r, k in zip(rows, keep, strict=True) if k] == kept
+
+
+def test_dealt_boxes_of_one_size_are_never_broadcast(spark):
+    x = F.col("id").cast("double") * 100
+    df = spark.range(1000).select("id", x.alias("xmin"), x.alias("ymin"), (x + 320).alias("xmax"), (x + 320).alias("ymax")).withColumnRenamed("id", "idx")
+    plan = overlap_pairs(df, 320)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan

@@ -35,7 +35,8 @@ def overlap_pairs(boxes: DataFrame, side: float | None = None) -> DataFrame:
     a, b = dealt.alias("a"), dealt.alias("b")
     same = (F.col("a.ci") == F.col("b.ci")) & (F.col("a.cj") == F.col("b.cj")) & (F.col("a.idx") < F.col("b.idx"))
     once = (F.floor(F.greatest("a.xmin", "b.xmin") / side) == F.col("a.ci")) & (F.floor(F.greatest("a.ymin", "b.ymin") / side) == F.col("a.cj"))
-    return a.join(b, same & overlaps("a", "b") & once).select(F.col("a.idx").alias("i"), F.col("b.idx").alias("j"))
+    # never broadcast: Spark takes the dealt boxes for as small as the boxes themselves
+    return a.join(b.hint("merge"), same & overlaps("a", "b") & once).select(F.col("a.idx").alias("i"), F.col("b.idx").alias("j"))
 
 
 def overlap_groups(boxes: DataFrame, pairs: DataFrame) -> DataFrame:
