@@ -67,6 +67,29 @@ def test_any_order_and_dealing_gives_one_state(spark, tmp_path, few_partitions):
         assert (r.done_at, r.done_seq, r.n_detections, r.skip_reason or "") == expected[coord, "done"]
 
 
+def test_state_is_folded_without_python(spark, capfd):
+    from tilewright.streaming.state import CHANGES, folded_by_coord
+
+    events = spark.createDataFrame([item("1-1", "rgb", None, 1), item("1-1", "rgb", 1, 2, "b"), item("1-1", "map", 9, 9), done("1-1", 1, 1, None, "")], EVENTS).localCheckpoint()
+    states = folded_by_coord(events)
+    states.explain()
+    assert not {"Python", "Pandas", "Arrow"} & set(capfd.readouterr().out.replace("In", " ").split())
+    assert [tuple(r)[:4] for r in states.collect()] == [("1-1", 1, 2, "b")]
+    assert [(r.n_detections, r.skip_reason) for r in states.collect()] == [(0, None)]
+    assert CHANGES.split(", ")[:-1] == ["coord string", *(f"{f.name} {'long' if f.dataType.simpleString() == 'bigint' else f.dataType.simpleString()}" for f in states.schema.fields[1:])]
+
+
+def test_events_are_written_by_all_tasks_and_folded_in_four_batches(spark, tmp_path, monkeypatch, few_partitions):
+    from tilewright.plans import stream_catalogue
+
+    monkeypatch.setattr(stream_catalogue, "fresh_path", lambda spark, name: f"file://{tmp_path}/{name}")
+    rows = [item(f"{k % 50}-0", "rgb", 2000 + k % 3, k, f"h{k}") for k in range(600)]
+    states = stream_catalogue.folded(spark, spark.createDataFrame(rows, EVENTS).repartition(5))
+    assert len(list(tmp_path.glob("events/*.parquet"))) == 20
+    assert len(list(tmp_path.glob("states/batch-*"))) == 4
+    assert sorted((r.coord, r.rgb_seq) for r in states.collect()) == sorted((f"{k}-0", min(j for j in range(k, 600, 50) if j % 3 == 2)) for k in range(50))
+
+
 def test_events_leave_out_what_has_no_key(spark):
     items = spark.createDataFrame([(1, "rgb", "x_2020_2500-1100", "u"), (2, "rgb", "x", "u"), (3, "rgb", "x_2020_2500-1100", None), (4, "map", "x_2020_2500-1100", "u"), (None, "dsm", "2500-1100", "u")], "seq long, layer string, item_id string, href string")
     assert sorted((r.coord, r.kind, r.year, r.seq) for r in item_events(items).collect()) == [("2500-1100", "dsm", 0, 2**63 - 1), ("2500-1100", "rgb", 2020, 1)]

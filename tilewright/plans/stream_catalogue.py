@@ -17,15 +17,19 @@ from tilewright.streaming.state import EVENTS, fold_events, item_events, newest_
 
 def folded(spark: SparkSession, *events: DataFrame) -> DataFrame:
     """The states after all events have come: a half of them in two batches, and after
-    a stop the other half, with some of the first half again."""
+    a stop the other half, with some of the first half again. As many tasks write
+    events as read the tables; a batch takes half of the files that have come."""
     source, root, checkpoint = (fresh_path(spark, n) for n in ("events", "states", "stream"))
     every = reduce(DataFrame.unionByName, events)
     half = F.pmod(F.xxhash64("kind", "seq"), F.lit(8))
+    before = 0
     for rows in (half < 4, half >= 3):
         for part in (half % 2 == 0, half % 2 == 1):
-            every.where(rows & part).coalesce(2).write.mode("append").parquet(source)
-        stream = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", 2).parquet(source)
+            every.where(rows & part).write.mode("append").parquet(source)
+        files = len(spark.read.schema(EVENTS).parquet(source).inputFiles())
+        stream = spark.readStream.schema(EVENTS).option("maxFilesPerTrigger", max(1, -(-(files - before) // 2))).parquet(source)
         fold_events(stream, root, checkpoint).awaitTermination()
+        before = files
     return tile_states(spark, root)
 
 

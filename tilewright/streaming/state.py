@@ -3,28 +3,24 @@ layer and the last outcome, kept across micro-batches and restarts.
 
 Events may come in any order and more than once: what is kept is a maximum, so
 the state after a batch does not depend on the order, nor on how events are dealt
-to batches. State is one row for each coordinate, in RocksDB, so it does not have
-to fit in memory.
+to batches. It is a streaming aggregation, with one row for each coordinate in
+RocksDB, so it does not have to fit in memory.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 
 from tilewright.functions.geo import coord_of, year_of
-from tilewright.operators.tiles import latest_by_key
 
 #: What happens to a coordinate: an item of a layer (year, seq, href), or an outcome
 #: (at, seq, n_detections, skip_reason).
 EVENTS = "coord string, kind string, year int, seq long, href string, at timestamp, n_detections int, skip_reason string"
 _ITEM = "{0}_year int, {0}_seq long, {0}_href string"
-STATE = ", ".join([_ITEM.format("rgb"), _ITEM.format("dsm"), "done_at timestamp, done_seq long, n_detections int, skip_reason string, version long"])
-CHANGES = f"coord string, {STATE}"
+STATE = ", ".join([_ITEM.format("rgb"), _ITEM.format("dsm"), "done_at timestamp, done_seq long, n_detections int, skip_reason string"])
+CHANGES = f"coord string, {STATE}, batch long"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -50,88 +46,50 @@ def outcome_events(log: DataFrame) -> DataFrame:
 
 
 _FIELDS = [c.split()[0] for c in STATE.split(", ")]
-_PLACE = {"rgb": 0, "dsm": 3, "done": 6}
-
-
-def _none(x):
-    return None if x is None or x is pd.NaT or x != x else x
-
-
-class TileState(StatefulProcessor):
-    """Folds the events of a coordinate into its state, and tells it if it changed."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.kept = handle.getValueState("tile", STATE)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        held = self.kept.get() if self.kept.exists() else None
-        now = [None] * len(_FIELDS) if held is None else [_none(x) for x in held]
-        before = list(now)
-        for part in rows:
-            for e in part[["kind", "year", "seq", "href", "at", "n_detections", "skip_reason"]].itertuples(index=False):
-                _take(now, e)
-        if now != before:
-            now[-1] = (before[-1] or 0) + 1
-            self.kept.update(tuple(now))
-            yield pd.DataFrame([(key[0], *now)], columns=["coord", *_FIELDS]).astype({"done_at": "datetime64[us]"})
-
-    def close(self) -> None:
-        pass
-
-
-def _take(now: list, e) -> None:
-    """The newest item of a layer is that of the largest year, then the least seq; the
-    last outcome that of the latest time, then the largest seq."""
-    k = _PLACE[e.kind]
-    if e.kind == "done":
-        # after the order, the content: a repeated line decides nothing by its arrival
-        new = (e.at.to_pydatetime(), int(e.seq), int(_none(e.n_detections) or 0), _none(e.skip_reason) or "")
-        old = None if now[k] is None else (now[k], now[k + 1], now[k + 2], now[k + 3] or "")
-        if old is None or new > old:
-            now[k : k + 4] = [*new[:3], _none(e.skip_reason)]
-    else:
-        new, old = (-int(e.year), int(e.seq), e.href), None if now[k] is None else (-now[k], now[k + 1], now[k + 2])
-        if old is None or new < old:
-            now[k : k + 3] = [int(e.year), int(e.seq), e.href]
-
-
-def best_of_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Of each coordinate and kind, the event of an Arrow batch that would win, so that a
-    coordinate with very many events sends few of them through the shuffle."""
-    for part in batches:
-        done = part["kind"] == "done"
-        items = part[~done].sort_values(["year", "seq", "href"], ascending=[False, True, True]).drop_duplicates(["coord", "kind"])
-        last = part[done].fillna({"skip_reason": ""}).sort_values(["at", "seq", "n_detections", "skip_reason"], ascending=False).drop_duplicates("coord")
-        if len(last):
-            last["skip_reason"] = last["skip_reason"].where(last["skip_reason"] != "", None)
-        yield from (p for p in (items, last) if len(p))
+
+
+def folded_by_coord(events: DataFrame) -> DataFrame:
+    """The state of each coordinate. The newest item of a layer is that of the largest
+    year (an item without one is of the year 0), then the least seq and href; the last
+    outcome that of the latest time, then the largest seq, n_detections and
+    skip_reason. Other kinds of events are none."""
+    c = F.col
+    year = F.coalesce("year", F.lit(0)).cast("long")
+    item = F.struct((-year).alias("before"), "seq", "href")
+    # after the order, the content: a repeated line decides nothing by its arrival
+    outcome = F.struct("at", "seq", F.coalesce("n_detections", F.lit(0)).alias("n"), F.coalesce("skip_reason", F.lit("")).alias("why"))
+    best = [F.min(F.when(c("kind") == k, item)).alias(k) for k in ("rgb", "dsm")]
+    kept = events.where("kind in ('rgb', 'dsm', 'done')").groupBy("coord").agg(*best, F.max(F.when(c("kind") == "done", outcome)).alias("done"))
+    sides = [x for k in ("rgb", "dsm") for x in ((-c(f"{k}.before")).cast("int").alias(f"{k}_year"), c(f"{k}.seq").alias(f"{k}_seq"), c(f"{k}.href").alias(f"{k}_href"))]
+    return kept.select("coord", *sides, c("done.at").alias("done_at"), c("done.seq").alias("done_seq"), c("done.n").alias("n_detections"), F.nullif("done.why", F.lit("")).alias("skip_reason"))
 
 
 def fold_events(events: DataFrame, root: str, checkpoint: str) -> StreamingQuery:
     """Folds a stream of EVENTS into the state of each coordinate until it has taken
-    in all that has arrived, and appends what changed to ``root``. Started again on
-    the same checkpoint, it goes on from the state that it had. A batch that is
-    done again replaces what it had written."""
+    in all that has arrived, and appends the states of the coordinates that a batch
+    has events of to ``root``. Started again on the same checkpoint, it goes on from
+    the state that it had. A batch that is done again replaces what it had written."""
     spark = events.sparkSession
-    few = events.mapInPandas(best_of_batch, EVENTS)
-    changed = few.groupBy("coord").transformWithStateInPandas(TileState(), CHANGES, "Update", "none")
 
     def store(df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{root}/batch-{batch_id}")
+        df.withColumn("batch", F.lit(batch_id).cast("long")).write.mode("overwrite").parquet(f"{root}/batch-{batch_id}")
 
     key = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(key)
     spark.conf.set(key, ROCKSDB)
     try:
-        return changed.writeStream.outputMode("update").foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        return folded_by_coord(events).writeStream.outputMode("update").foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     finally:
         spark.conf.set(key, before)
 
 
 def tile_states(spark: SparkSession, root: str) -> DataFrame:
-    """The last state of each coordinate."""
-    changes = spark.read.schema(CHANGES).option("recursiveFileLookup", "true").parquet(root)
-    return latest_by_key(changes, "coord", ["version"])
+    """The last state of each coordinate, and as version the number of its different
+    states so far; none comes back once it has changed."""
+    stored = spark.read.schema(CHANGES).option("recursiveFileLookup", "true").parquet(root)
+    state = F.struct(*_FIELDS)
+    last = stored.groupBy("coord").agg(F.max(F.struct("batch", state.alias("s"))).alias("m"), F.count_distinct(state).alias("version"))
+    return last.select("coord", *[F.col(f"m.s.{c}").alias(c) for c in _FIELDS], "version")
 
 
 def newest_items(states: DataFrame) -> DataFrame:
