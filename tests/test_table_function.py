@@ -56,3 +56,26 @@ def test_columns_follow_the_argument(spark):
         spark.sql("select * from detect_boxes(table(select *, 1 as easting from flat))")
     with pytest.raises(AnalysisException, match="must be a table"):
         spark.sql("select * from detect_boxes(1)")
+
+
+def test_patches_of_a_tile_are_shrunk_together(monkeypatch):
+    from tilewright.functions.kernels import shrink
+    from tilewright.operators import detect
+
+    calls = []
+    monkeypatch.setattr(detect, "shrink", lambda band, scale: calls.append(band.shape) or shrink(band, scale))
+    rng = np.random.default_rng(3)
+    dsm, rgb = rng.integers(0, 6, (24, 24)).astype("<f4"), rng.integers(0, 256, (72, 72, 3)).astype("u1")
+    found = detect.fused_patches(rgb, dsm, 3, 8, 4)
+    assert len(calls) == 1
+    for r, c, bands in found:
+        alone = rgb[r * 12 : r * 12 + 24, c * 12 : c * 12 + 24]
+        assert all((bands[k] == shrink(alone[..., k], 3)).all() for k in (0, 2))
+    # without colours nothing is shrunk, and patches are those of a black mosaic
+    bare, black = detect.fused_patches(None, dsm, 3, 8, 4), detect.fused_patches(rgb * 0, dsm, 3, 8, 4)
+    assert len(calls) == 2 and all((p == q).all() for (*_, p), (*_, q) in zip(bare, black, strict=True))
+    # patches that are large are shrunk one band at a time
+    monkeypatch.setattr(detect, "PIXELS_AT_ONCE", 1)
+    one = detect.fused_patches(rgb, dsm, 3, 8, 4)
+    assert len(calls) == 2 + 50 and all((p == q).all() for (*_, p), (*_, q) in zip(found, one, strict=True))
+    assert BrightBlobStub().detect(np.empty((0, 3, 8, 8), np.uint8)) == []

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 import numpy as np
 
 
@@ -20,6 +22,7 @@ def overhead_shade(z: np.ndarray, res: float) -> np.ndarray:
     return 255 / np.sqrt(1 + x**2 + y**2)
 
 
+@lru_cache(maxsize=16)
 def cubic_weights(scale: int, a: float = -0.5) -> tuple[int, np.ndarray]:
     """(first pixel, weights) of cubic convolution (Keys, 1981) for the cell 0
     that a band has once shrunk by a whole factor: the kernel is stretched by the
@@ -27,14 +30,17 @@ def cubic_weights(scale: int, a: float = -0.5) -> tuple[int, np.ndarray]:
     first = -(3 * scale // 2) - 1
     t = np.abs(first + np.arange(4 * scale + 2) + 0.5 - scale / 2) / scale
     w = np.where(t < 1, (a + 2) * t**3 - (a + 3) * t**2 + 1, np.where(t < 2, a * t**3 - 5 * a * t**2 + 8 * a * t - 4 * a, 0))
-    return first, w / w.sum()
+    w = w / w.sum()
+    w.setflags(write=False)
+    return first, w
 
 
 def shrink(band: np.ndarray, scale: int) -> np.ndarray:
-    """A uint8 band shrunk by a whole factor, rounded and clipped."""
+    """A uint8 band (or many of one size: the last two axes count) shrunk by a whole
+    factor, rounded and clipped."""
     first, w = cubic_weights(scale)
     out = band.astype(np.float64)
-    for axis in (0, 1):
+    for axis in (out.ndim - 2, out.ndim - 1):
         n = out.shape[axis] // scale
         take = np.arange(n)[:, None] * scale + first + np.arange(len(w))[None, :]
         windows = np.take(out, np.clip(take, 0, out.shape[axis] - 1), axis=axis)

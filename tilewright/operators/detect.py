@@ -37,26 +37,35 @@ class BrightBlobStub:
         pass
 
     def detect(self, batch: np.ndarray) -> list[np.ndarray]:
-        out = []
-        for patch in batch:
-            band = patch[FUSION_CHANNEL]
-            y, x = np.unravel_index(int(band.argmax()), band.shape)
-            score = float(band[y, x]) / 255
-            size = band.shape[0]
-            out.append(np.array([[(x + 0.5) / size, (y + 0.5) / size, 16, 16, score, 0]]) if score >= self.confidence else np.empty((0, 6)))
-        return out
+        size = batch.shape[-1]
+        bands = batch[:, FUSION_CHANNEL].reshape(len(batch), size * size)
+        best = bands.argmax(1)
+        scores = bands[np.arange(len(batch)), best] / 255
+        boxes = np.stack([(best % size + 0.5) / size, (best // size + 0.5) / size, np.full(len(best), 16.0), np.full(len(best), 16.0), scores, np.zeros(len(best))], axis=1)
+        return [boxes[k : k + 1] if scores[k] >= self.confidence else np.empty((0, 6)) for k in range(len(batch))]
+
 
+#: Colour pixels that are shrunk at once, patches of one tile together; at least one band.
+PIXELS_AT_ONCE = 1 << 18
 
-def fused_patches(rgb: np.ndarray, dsm: np.ndarray, scale: int, size: int, stride: int) -> list[tuple[int, int, np.ndarray]]:
+
+def fused_patches(rgb: np.ndarray | None, dsm: np.ndarray, scale: int, size: int, stride: int) -> list[tuple[int, int, np.ndarray]]:
     """Patches of a mosaic: colours shrunk to the elevation's cells, the fusion
-    channel replaced by the shade. rgb: (h, w, 3); dsm: (h / scale, w / scale)."""
+    channel replaced by the shade. rgb: (h, w, 3), None: black; dsm: (h / scale, w / scale)."""
     shade = np.clip(np.rint(overhead_shade(dsm, DSM_RES)), 0, 255).astype(np.uint8)
-    out = []
-    for (r, c, s), (_, _, p) in zip(patches(shade, size, stride), patches(rgb, size * scale, stride * scale), strict=True):
-        bands = np.stack([shrink(p[..., k], scale) for k in range(3)])
-        bands[FUSION_CHANNEL] = s
-        out.append((r, c, bands))
-    return out
+    shades = patches(shade, size, stride)
+    fused = np.zeros((len(shades), 3, size, size), np.uint8)
+    for j, (*_, s) in enumerate(shades):
+        fused[j, FUSION_CHANNEL] = s
+    if rgb is not None:
+        colours = [p[..., k] for *_, p in patches(rgb, size * scale, stride * scale) for k in range(3) if k != FUSION_CHANNEL]
+        places = [(j, k) for j in range(len(shades)) for k in range(3) if k != FUSION_CHANNEL]
+        step = max(1, PIXELS_AT_ONCE // (size * scale) ** 2)
+        for at in range(0, len(places), step):
+            small = shrink(np.stack(colours[at : at + step]), scale)
+            for (j, k), band in zip(places[at : at + step], small, strict=True):
+                fused[j, k] = band
+    return [(r, c, fused[j]) for j, (r, c, _) in enumerate(shades)]
 
 
 DETECTED = "tile_id string, patch_id string, easting double, northing double, confidence float, bbox_w_m float, bbox_h_m float, class_id smallint, rgb_source string, dsm_source string"

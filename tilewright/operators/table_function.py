@@ -80,15 +80,21 @@ def detection_function(make_detector: Callable[[], Detector], shape: TileShape |
             own = self.parts.get("own")
             if own is None:
                 return
-            grids = {n: (self._dsm(p), self._rgb(p)) if p else (None, None) for n, p in ((n, self.parts.get(n)) for n in SIDES)}
-            dsm = mosaic(grids["own"][0], shape.strip, *(grids[n][0] for n in SIDES[1:]))
-            rgb = mosaic(grids["own"][1], shape.strip * shape.scale, *(grids[n][1] for n in SIDES[1:]))
+            held = [self.parts.get(n) for n in SIDES]
+            grids = [self._dsm(p) if p else None for p in held]
+            dsm = mosaic(grids[0], shape.strip, *grids[1:])
+            rgb = None
+            # a mosaic without any colours is black, and black patches are not shrunk
+            if any(p and p.rgb for p in held):
+                pixels = [self._rgb(p, len(g)) if p else None for p, g in zip(held, grids, strict=True)]
+                rgb = mosaic(pixels[0], shape.strip * shape.scale, *pixels[1:])
             found = fused_patches(rgb, dsm, shape.scale, shape.size, shape.stride)
             carried = [own.coord, *(v for n, v in own.asDict(recursive=False).items() if n not in _NEEDED)]
+            west, north = own.x_km * 1000, (own.y_km + 1) * 1000
             for at in range(0, len(found), batch_patches):
                 some = found[at : at + batch_patches]
                 for (r, c, _), boxes in zip(some, detect_in_halves(_loaded(make_detector), np.stack([p for *_, p in some])), strict=True):
-                    x0, y0 = own.x_km * 1000 + c * shape.stride * TARGET_RES, (own.y_km + 1) * 1000 - r * shape.stride * TARGET_RES
+                    x0, y0 = west + c * shape.stride * TARGET_RES, north - r * shape.stride * TARGET_RES
                     for cx, cy, w, h, score, cls in boxes.tolist():
                         if score >= self.conf:
                             yield (*carried, r, c, x0 + TARGET_RES * cx * shape.size, y0 - TARGET_RES * cy * shape.size, score, abs(w * TARGET_RES), abs(h * TARGET_RES), int(cls))
@@ -96,10 +102,10 @@ def detection_function(make_detector: Callable[[], Detector], shape: TileShape |
         def _dsm(self, part: Row) -> np.ndarray:
             return _cells(part.dsm, "<f4").reshape(-1, part.width)
 
-        def _rgb(self, part: Row) -> np.ndarray:
+        def _rgb(self, part: Row, rows: int) -> np.ndarray:
             wide = part.width * shape.scale
             if not part.rgb:
-                return np.zeros((len(self._dsm(part)) * shape.scale, wide, 3), np.uint8)
+                return np.zeros((rows * shape.scale, wide, 3), np.uint8)
             return _cells(part.rgb, "u1").reshape(-1, wide, 3)
 
     return udtf(DetectBoxes)
