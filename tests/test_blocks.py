@@ -7,7 +7,7 @@ import pytest
 
 from tilewright.functions.kernels import cubic_weights, mosaic, overhead_shade, patches, shrink
 from tilewright.model import FUSION_CHANNEL
-from tilewright.operators.blocks import BlockShape, assembled, fused_pieces, integer_cubic, patch_checksums, shrunken
+from tilewright.operators.blocks import BlockShape, assembled, fused_pieces, integer_cubic, patch_checksums, pieces, shaded, shrunken, with_borrowers
 from tilewright.operators.detect import fused_patches
 
 SIDE, STRIP, SIZE, STRIDE, SCALE = 20, 4, 8, 4, 3
@@ -77,3 +77,16 @@ def test_shrinking_flat_bands_and_ramps():
     ramp = np.repeat(np.arange(60)[None, :] * 4, 60, axis=0).astype(np.uint8)
     got = shrunken(ramp, 5, 2)
     assert got.shape == (8, 8) and (got == shrink(ramp, 5)[2:-2, 2:-2]).all()
+
+
+def test_windows_of_one_size_are_worked_on_together():
+    rng = np.random.default_rng(2)
+    dsm, rgb = rng.random((5, 12, 14)).astype(np.float32) * 40, rng.integers(0, 256, (5, 36, 42)).astype(np.uint8)
+    assert (shrunken(rgb, 3, 2) == np.stack([shrunken(x, 3, 2) for x in rgb])).all()
+    assert (shaded(dsm, 0.5, 2) == np.stack([shaded(x, 0.5, 2) for x in dsm])).all()
+
+
+def test_tiles_of_one_file_are_read_by_all_tasks(spark):
+    tiles = spark.createDataFrame([(f"{x}-{y}", x, y) for x, y in TILES], "coord string, x_km int, y_km int").coalesce(1)
+    cut = pieces(with_borrowers(tiles), loader(), BlockShape(SIDE, STRIP, SIZE, STRIDE, 7, SCALE))
+    assert cut.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))

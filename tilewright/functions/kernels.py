@@ -8,11 +8,12 @@ import numpy as np
 
 
 def horn_gradient(z: np.ndarray, res: float) -> tuple[np.ndarray, np.ndarray]:
-    """Slopes along columns and rows by Horn's 3x3 weights; edges repeat their
-    nearest cells."""
-    p = np.pad(z.astype(np.float64), 1, mode="edge")
-    left, right = p[:-2, :-2] + 2 * p[1:-1, :-2] + p[2:, :-2], p[:-2, 2:] + 2 * p[1:-1, 2:] + p[2:, 2:]
-    above, below = p[:-2, :-2] + 2 * p[:-2, 1:-1] + p[:-2, 2:], p[2:, :-2] + 2 * p[2:, 1:-1] + p[2:, 2:]
+    """Slopes along columns and rows (the last two axes) by Horn's 3x3 weights; edges
+    repeat their nearest cells."""
+    p = np.pad(z.astype(np.float64), [(0, 0)] * (z.ndim - 2) + [(1, 1)] * 2, mode="edge")
+    up, mid, down = p[..., :-2, :], p[..., 1:-1, :], p[..., 2:, :]
+    left, right = up[..., :-2] + 2 * mid[..., :-2] + down[..., :-2], up[..., 2:] + 2 * mid[..., 2:] + down[..., 2:]
+    above, below = up[..., :-2] + 2 * up[..., 1:-1] + up[..., 2:], down[..., :-2] + 2 * down[..., 1:-1] + down[..., 2:]
     return (right - left) / (8 * res), (below - above) / (8 * res)
 
 

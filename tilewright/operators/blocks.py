@@ -29,6 +29,8 @@ from tilewright.operators.tiles import NEIGHBOURS
 HALO = 2
 #: Bytes of cells after which a task hands on what it has cut.
 BATCH_BYTES = 8 << 20
+#: Bytes of cells of small windows, or of pieces of patches, that are worked on together.
+AT_ONCE = 2 << 20
 
 
 @dataclass
@@ -78,11 +80,12 @@ def integer_cubic(scale: int) -> tuple[int, np.ndarray]:
 
 
 def shrunken(window: np.ndarray, scale: int, halo: int) -> np.ndarray:
-    """The cells inside the halo of a band of colour pixels, shrunk by a whole factor.
-    Sums are whole numbers; halves are rounded up. The same for any cut of a raster."""
+    """The cells inside the halo of a band of colour pixels (or of many of one size: the
+    last two axes count), shrunk by a whole factor. Sums are whole numbers; halves are
+    rounded up. The same for any cut of a raster."""
     first, w = integer_cubic(scale)
     out = window.astype(np.int64)
-    for axis in (0, 1):
+    for axis in (out.ndim - 2, out.ndim - 1):
         n = out.shape[axis] // scale - 2 * halo
         take = (np.arange(n)[:, None] + halo) * scale + first + np.arange(len(w))[None, :]
         out = np.tensordot(np.take(out, take, axis=axis), w, axes=([axis + 1], [0]))
@@ -94,7 +97,7 @@ def shaded(window: np.ndarray, res: float, halo: int) -> np.ndarray:
     """The shade under a light from above of the cells inside the halo, as whole numbers."""
     x, y = horn_gradient(window, res)
     inside = slice(halo, -halo)
-    return np.clip(np.rint(255 / np.sqrt(1 + x * x + y * y)), 0, 255).astype(np.uint8)[inside, inside]
+    return np.clip(np.rint(255 / np.sqrt(1 + x * x + y * y)), 0, 255).astype(np.uint8)[..., inside, inside]
 
 
 _FUSED = pa.schema([("coord", pa.string()), *[(c, pa.int32()) for c in ("row", "col", "y", "x", "h", "w")], ("pixels", pa.binary())])
@@ -102,9 +105,12 @@ _PIECE = "x_km int, y_km int, tr int, tc int, layer string, r int, c int, h int,
 
 
 def pieces(tiles: DataFrame, load: Load, shape: BlockShape) -> DataFrame:
-    """The blocks of all tiles (with borrowers), cut to the windows that need them."""
+    """The blocks of all tiles (with borrowers), cut to the windows that need them. Rows
+    of tiles are few bytes and much work, so they are dealt to all tasks first (by other
+    columns than those of a join, whose partitions may have been brought together)."""
     side = -(-shape.tile // shape.block)
-    at = tiles.withColumn("__r", F.explode(F.sequence(F.lit(0), F.lit(side - 1)))).withColumn("__c", F.explode(F.sequence(F.lit(0), F.lit(side - 1))))
+    tasks = int(tiles.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    at = tiles.repartition(tasks, "x_km", "y_km").withColumn("__r", F.explode(F.sequence(F.lit(0), F.lit(side - 1)))).withColumn("__c", F.explode(F.sequence(F.lit(0), F.lit(side - 1))))
     names = [c.split()[0] for c in _PIECE.split(", ")]
     n = -(-shape.mosaic // shape.block)
 
@@ -163,51 +169,70 @@ def fused_pieces(tiles: DataFrame, load: Load, shape: BlockShape | None = None)
     """
     shape = shape or BlockShape()
 
-    def window(key: tuple, parts: list[tuple]) -> list[tuple]:
-        """The pieces of patches in one window, from what was sent to it."""
-        x_km, y_km, tr, tc = key
-        r0, c0 = tr * shape.block, tc * shape.block
-        h, w = min(shape.block, shape.mosaic - r0), min(shape.block, shape.mosaic - c0)
-        # what of the window lies inside the mosaic
-        a, b, c, d = max(0, r0 - HALO), min(shape.mosaic, r0 + h + HALO), max(0, c0 - HALO), min(shape.mosaic, c0 + w + HALO)
+    def window(key: tuple, parts: list[tuple]) -> dict[str, np.ndarray]:
+        """The cells of one window with what of its halo lies inside the mosaic."""
+        *_, (a, b, c, d) = _spans(*key[2:], shape)
         k = shape.scale
         kind = next((p[5] for p in parts if p[0] == "dsm"), "f4")
         held = {"dsm": np.zeros((b - a, d - c), kind), "rgb": np.zeros(((b - a) * k, (d - c) * k, 3), np.uint8)}
         for layer, pr, pc, ph, pw, of, cells in parts:
             m, wide = (1, ()) if layer == "dsm" else (k, (3,))
             held[layer][(pr - a) * m : (pr - a + ph) * m, (pc - c) * m : (pc - c + pw) * m] = np.frombuffer(cells, of).reshape(ph * m, pw * m, *wide)
+        return held
+
+    def cut(tr: int, tc: int, keys: list[tuple], held: list[dict[str, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        """The pieces of patches in windows that have one place in their mosaics."""
+        r0, c0, h, w, (a, b, c, d) = _spans(tr, tc, shape)
+        k = shape.scale
         around = [(HALO - (r0 - a), HALO - (b - r0 - h)), (HALO - (c0 - c), HALO - (d - c0 - w))]
-        dsm = np.pad(held["dsm"], around, mode="edge")
-        rgb = np.pad(held["rgb"], [*[(x * k, y * k) for x, y in around], (0, 0)], mode="edge")
+        dsm = np.pad(np.stack([x["dsm"] for x in held]), [(0, 0), *around], mode="edge")
+        rgb = np.pad(np.stack([x["rgb"] for x in held]), [(0, 0), *[(x * k, y * k) for x, y in around], (0, 0)], mode="edge")
         bands = [shrunken(rgb[..., j], k, HALO) if j != FUSION_CHANNEL else shaded(dsm, shape.res, HALO) for j in range(3)]
         fused = np.stack(bands, axis=-1)
-        out = []
+        coords = pa.array([f"{x_km}-{y_km}" for x_km, y_km in keys], pa.string())
         for row in _of_patches(r0, r0 + h, shape):
             for col in _of_patches(c0, c0 + w, shape):
                 y0, y1 = max(r0, row * shape.stride), min(r0 + h, row * shape.stride + shape.size)
                 x0, x1 = max(c0, col * shape.stride), min(c0 + w, col * shape.stride + shape.size)
-                part = np.ascontiguousarray(fused[y0 - r0 : y1 - r0, x0 - c0 : x1 - c0])
-                out.append((f"{x_km}-{y_km}", row, col, y0 - row * shape.stride, x0 - col * shape.stride, y1 - y0, x1 - x0, part.tobytes()))
-        return out
+                places = (row, col, y0 - row * shape.stride, x0 - col * shape.stride, y1 - y0, x1 - x0)
+                pixels = pa.array([p.tobytes() for p in fused[:, y0 - r0 : y1 - r0, x0 - c0 : x1 - c0]], pa.binary())
+                yield pa.RecordBatch.from_arrays([coords, *(pa.array(np.full(len(keys), p, np.int32)) for p in places), pixels], schema=_FUSED)
 
     def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # a partition comes sorted by window, so one window's pieces are held at a time
+        # a partition comes sorted by window, so few windows' pieces are held at a time
         flat = (r for batch in batches for r in zip(*(batch.column(j).to_pylist() for j in range(batch.num_columns)), strict=True))
-        out, size, done = [], 0, 0
+        held, size = {}, 0
+
+        def done() -> Iterator[pa.RecordBatch]:
+            some = pa.Table.from_batches([b for (tr, tc, _), (keys, cells) in held.items() for b in cut(tr, tc, keys, cells)], schema=_FUSED)
+            held.clear()
+            yield from some.combine_chunks().to_batches(max_chunksize=4096)
+
         for key, rows in groupby(flat, key=itemgetter(0, 1, 2, 3)):
-            out += window(key, [r[4:] for r in rows if r[4] is not None])
-            size += sum(len(p[-1]) for p in out[done:])
-            done = len(out)
-            if size > BATCH_BYTES or done > 4096:
-                yield pa.RecordBatch.from_pylist([dict(zip(_FUSED.names, p, strict=True)) for p in out], schema=_FUSED)
-                out, size, done = [], 0, 0
-        yield pa.RecordBatch.from_pylist([dict(zip(_FUSED.names, p, strict=True)) for p in out], schema=_FUSED)
+            cells = window(key, [r[4:] for r in rows if r[4] is not None])
+            # elevations of another type are not stacked with these, so that none is converted
+            keys, of = held.setdefault((*key[2:], cells["dsm"].dtype.str), ([], []))
+            keys.append(key[:2])
+            of.append(cells)
+            size += sum(x.nbytes for x in cells.values())
+            if size > AT_ONCE:
+                yield from done()
+                size = 0
+        yield from done()
 
     key = ["x_km", "y_km", "tr", "tc"]
     dealt = pieces(with_borrowers(tiles), load, shape).repartition(*key).sortWithinPartitions(*key)
     return dealt.mapInArrow(windows, "coord string, row int, col int, y int, x int, h int, w int, pixels binary")
 
 
+def _spans(tr: int, tc: int, shape: BlockShape) -> tuple:
+    """First row and column, height and width of a window, and first row, last, first
+    column, last of what of it and its halo lies inside the mosaic."""
+    r0, c0 = tr * shape.block, tc * shape.block
+    h, w = min(shape.block, shape.mosaic - r0), min(shape.block, shape.mosaic - c0)
+    return r0, c0, h, w, (max(0, r0 - HALO), min(shape.mosaic, r0 + h + HALO), max(0, c0 - HALO), min(shape.mosaic, c0 + w + HALO))
+
+
 def _of_patches(lo: int, hi: int, shape: BlockShape) -> range:
     """The patches of a row that hold any of the cells lo to hi."""
     return range(max(0, -(-(lo - shape.size + 1) // shape.stride)), min(shape.patches, (hi - 1) // shape.stride + 1))
@@ -237,11 +262,14 @@ def patch_checksums(found: DataFrame, size: int) -> DataFrame:
     def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
             out = []
-            for p in pdf.itertuples(index=False):
-                pixels = np.frombuffer(p.pixels, np.uint8).reshape(p.h, p.w, 3).astype(np.int64)
-                place = (p.y + np.arange(p.h))[:, None] * size + p.x + np.arange(p.w)[None, :]
-                out.append((p.coord, p.row, p.col, p.h * p.w, *np.tensordot(1 + place % PRIME, pixels, axes=([0, 1], [0, 1])).tolist()))
-            yield pd.DataFrame(out, columns=["coord", "row", "col", "n", "red", "shade", "blue"])
+            # pieces of one size and place in their patches are summed together
+            for (y, x, h, w), alike in pdf.groupby(["y", "x", "h", "w"], sort=False):
+                weights = 1 + ((y + np.arange(h))[:, None] * size + x + np.arange(w)[None, :]) % PRIME
+                step = max(1, AT_ONCE // (h * w * 24))
+                cells = alike["pixels"].to_numpy()
+                added = [np.einsum("nijk,ij->nk", np.frombuffer(b"".join(cells[at : at + step]), np.uint8).reshape(-1, h, w, 3).astype(np.int64), weights) for at in range(0, len(cells), step)]
+                out.append(alike[["coord", "row", "col"]].assign(n=h * w, **dict(zip(("red", "shade", "blue"), np.concatenate(added).T, strict=True))))
+            yield pd.concat(out) if out else pd.DataFrame(columns=["coord", "row", "col", "n", "red", "shade", "blue"])
 
     parts = found.mapInPandas(sums, "coord string, row int, col int, n long, red long, shade long, blue long")
     return parts.groupBy("coord", "row", "col").agg(*[F.sum(c).alias(c) for c in ("n", "red", "shade", "blue")])
